@@ -1,0 +1,22 @@
+"""Size guards: nothing reaches the driver or a broadcast without a bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+# A name list this small is embedded in the plan as a literal array; each
+# row then tests at most this many names. Beyond it, operators switch to a
+# shuffle-based path whose cost does not grow with the list length.
+MAX_INLINE_NAMES = 1000
+
+
+def bounded_values(df: DataFrame, column: str, max_rows: int) -> list | None:
+    """Values of ``column`` if there are at most ``max_rows`` of them, else None.
+
+    Reads at most ``max_rows + 1`` rows (``limit`` before ``collect``), so the
+    driver never receives more than the bound, however large ``df`` is.
+    """
+    rows = df.select(column).limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return None
+    return [r[0] for r in rows]
