@@ -1,6 +1,6 @@
 """Registered queries and their oracle SQL, keyed by the same names."""
 
 from .oracle import ORACLE
-from .queries import QUERIES
+from .queries import ANALYSES, QUERIES
 
-__all__ = ["ORACLE", "QUERIES"]
+__all__ = ["ANALYSES", "ORACLE", "QUERIES"]

@@ -1,7 +1,8 @@
 """Registered queries: name -> builder(spark, sf_dir) -> DataFrame.
 
-Every builder reads the whole driver tables through the film-shaped view and
-runs one analysis on it. Parameters are the analyses' own (top-k sizes,
+``ANALYSES`` maps each name to a function of the typed film view;
+``QUERIES`` wraps each one so it reads the whole driver tables through the
+film-shaped view. Parameters are the analyses' own (top-k sizes,
 thresholds, year ranges), never a way to read less data.
 """
 
@@ -24,7 +25,7 @@ RUNTIME_THRESHOLD = 101  # at sf0.01 one runtime occurs exactly 101 times, so >
 SHARE_YEARS = (1996, 2000)
 
 
-def _on_films(fn: Callable[[DataFrame], DataFrame]) -> Builder:
+def _builder(fn: Callable[[DataFrame], DataFrame]) -> Builder:
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(load_films(spark, sf_dir))
     build.__doc__ = fn.__doc__
@@ -35,57 +36,57 @@ def _rounded(df: DataFrame, column: str, decimals: int) -> DataFrame:
     return df.withColumn(column, F.round(column, decimals))
 
 
-QUERIES: dict[str, Builder] = {
+ANALYSES: dict[str, Callable[[DataFrame], DataFrame]] = {
     # A0-A8 frequency family
-    "genre_counts": _on_films(op.genre_counts),
-    "genre_counts_contains": _on_films(op.genre_counts_contains),
-    "keyword_top": _on_films(lambda f: op.keyword_top(f, KEYWORD_K)),
-    "keyword_top_xv": _on_films(lambda f: op.keyword_top(f, 100, key="x", count="value")),
-    "budget_top": _on_films(lambda f: op.budget_top(f, 10)),
-    "budget_ordered": _on_films(lambda f: op.budget_ordered(f, "budget", True, 10)),
-    "runtime_common": _on_films(lambda f: op.runtime_common(f, RUNTIME_THRESHOLD, strict=True)),
-    "runtime_common_inclusive": _on_films(lambda f: op.runtime_common(f, RUNTIME_THRESHOLD, strict=False)),
-    "company_top": _on_films(lambda f: op.company_top(f, 10)),
-    "company_top_named": _on_films(lambda f: op.company_top(f, 10, key="company")),
-    "language_top": _on_films(lambda f: op.language_top(f, 10)),
-    "language_top_nonblank": _on_films(lambda f: op.language_top(f, 10, drop_blank=True)),
+    "genre_counts": op.genre_counts,
+    "genre_counts_contains": op.genre_counts_contains,
+    "keyword_top": lambda f: op.keyword_top(f, KEYWORD_K),
+    "keyword_top_xv": lambda f: op.keyword_top(f, 100, key="x", count="value"),
+    "budget_top": lambda f: op.budget_top(f, 10),
+    "budget_ordered": lambda f: op.budget_ordered(f, "budget", True, 10),
+    "runtime_common": lambda f: op.runtime_common(f, RUNTIME_THRESHOLD, strict=True),
+    "runtime_common_inclusive": lambda f: op.runtime_common(f, RUNTIME_THRESHOLD, strict=False),
+    "company_top": lambda f: op.company_top(f, 10),
+    "company_top_named": lambda f: op.company_top(f, 10, key="company"),
+    "language_top": lambda f: op.language_top(f, 10),
+    "language_top_nonblank": lambda f: op.language_top(f, 10, drop_blank=True),
     # A9-A13, A15 point tables
-    "budget_vs_rating": _on_films(op.budget_vs_rating),
-    "budget_vs_rating_voted": _on_films(op.budget_vs_rating_voted),
-    "budget_vs_popularity": _on_films(op.budget_vs_popularity),
-    "budget_vs_votes": _on_films(op.budget_vs_votes),
-    "release_vs_rating": _on_films(op.release_vs_rating),
-    "release_vs_rating_voted": _on_films(op.release_vs_rating_voted),
-    "popularity_vs_rating": _on_films(op.popularity_vs_rating),
-    "popularity_vs_rating_voted": _on_films(op.popularity_vs_rating_voted),
-    "budget_vs_revenue": _on_films(op.budget_vs_revenue),
-    "budget_vs_revenue_any_title": _on_films(lambda f: op.budget_vs_revenue(f, require_title=False)),
+    "budget_vs_rating": op.budget_vs_rating,
+    "budget_vs_rating_voted": op.budget_vs_rating_voted,
+    "budget_vs_popularity": op.budget_vs_popularity,
+    "budget_vs_votes": op.budget_vs_votes,
+    "release_vs_rating": op.release_vs_rating,
+    "release_vs_rating_voted": op.release_vs_rating_voted,
+    "popularity_vs_rating": op.popularity_vs_rating,
+    "popularity_vs_rating_voted": op.popularity_vs_rating_voted,
+    "budget_vs_revenue": op.budget_vs_revenue,
+    "budget_vs_revenue_any_title": lambda f: op.budget_vs_revenue(f, require_title=False),
     # A14 company ratings (mean rounded: sums of doubles differ in the last bits by order)
-    "company_rating": _on_films(lambda f: _rounded(op.company_rating(f), "average", 6)),
-    "company_rating_voted": _on_films(
-        lambda f: _rounded(op.company_rating(f, drop_unrated=False), "average", 6)),
+    "company_rating": lambda f: _rounded(op.company_rating(f), "average", 6),
+    "company_rating_voted": lambda f: _rounded(op.company_rating(f, drop_unrated=False), "average", 6),
     # A16-A20 trends
-    "genre_share": _on_films(op.genre_share),
-    "genre_share_by_year": _on_films(lambda f: op.genre_share_by_year(f, *SHARE_YEARS)),
-    "genre_entries_by_year": _on_films(op.genre_entries_by_year),
-    "revenue_mean_by_year": _on_films(op.revenue_mean_by_year),
-    "revenue_total_by_year": _on_films(op.revenue_total_by_year),
-    "genre_year_counts": _on_films(op.genre_year_counts),
+    "genre_share": op.genre_share,
+    "genre_share_by_year": lambda f: op.genre_share_by_year(f, *SHARE_YEARS),
+    "genre_entries_by_year": op.genre_entries_by_year,
+    "revenue_mean_by_year": op.revenue_mean_by_year,
+    "revenue_total_by_year": op.revenue_total_by_year,
+    "genre_year_counts": op.genre_year_counts,
     # C1-C8 chart shapes
-    "budget_revenue_millions": _on_films(op.millions),
-    "language_top_share": _on_films(lambda f: op.language_top_share(f, 10)),
-    "runtime_labels": _on_films(lambda f: op.runtime_labels(f, RUNTIME_THRESHOLD)),
-    "keyword_weight": _on_films(lambda f: op.keyword_weight(f, 100)),
-    "release_date_labels": _on_films(op.release_date_labels),
-    "company_rating_rounded": _on_films(lambda f: op.company_rating_rounded(f, 2)),
-    "genre_year_matrix": _on_films(lambda f: op.genre_year_matrix(f, *SHARE_YEARS)),
+    "budget_revenue_millions": op.millions,
+    "language_top_share": lambda f: op.language_top_share(f, 10),
+    "runtime_labels": lambda f: op.runtime_labels(f, RUNTIME_THRESHOLD),
+    "keyword_weight": lambda f: op.keyword_weight(f, 100),
+    "release_date_labels": op.release_date_labels,
+    "company_rating_rounded": lambda f: op.company_rating_rounded(f, 2),
+    "genre_year_matrix": lambda f: op.genre_year_matrix(f, *SHARE_YEARS),
     # S7-S10 result encodings
-    "budget_top_document": _on_films(
-        lambda f: sinks.json_document(op.budget_top(f, 10), 10, order=["count", "budget"],
-                                      descending=[True, False])),
-    "budget_top_json_lines": _on_films(lambda f: sinks.json_lines(op.budget_top(f, 10))),
-    "revenue_total_arrays": _on_films(
-        lambda f: sinks.parallel_arrays(op.revenue_total_by_year(f), "year", "total_revenue")),
-    "genre_year_lines": _on_films(
-        lambda f: sinks.console_lines(op.genre_year_counts(f), "genre", "release_year", "count")),
+    "budget_top_document": lambda f: sinks.json_document(
+        op.budget_top(f, 10), 10, order=["count", "budget"], descending=[True, False]),
+    "budget_top_json_lines": lambda f: sinks.json_lines(op.budget_top(f, 10)),
+    "revenue_total_arrays": lambda f: sinks.parallel_arrays(
+        op.revenue_total_by_year(f), "year", "total_revenue"),
+    "genre_year_lines": lambda f: sinks.console_lines(
+        op.genre_year_counts(f), "genre", "release_year", "count"),
 }
+
+QUERIES: dict[str, Builder] = {name: _builder(fn) for name, fn in ANALYSES.items()}
