@@ -58,13 +58,15 @@ def _gram_join(rows: DataFrame, names: DataFrame, text: str, carry: tuple[str, .
     lengths = sorted(bounded_values(keyed.select("klen").distinct(), "klen", gram) or [])
     if not lengths:
         return rows.select(F.lit(None).cast("string").alias("name"), *carry).limit(0)
-    fid, t = "__film", F.col(text)
+    fid, t = "__film", F.col("__t")
     # One generator over one scan: (length, position) for every needed length.
+    def at_length(k: int):
+        return lambda p: F.struct(F.lit(k).alias("klen"), p.alias("pos"))
+
     spots = F.flatten(F.array(*[
-        F.transform(F.sequence(F.lit(1), F.greatest(F.length(t) - k + 1, F.lit(1))),
-                    lambda p, k=k: F.struct(F.lit(k).alias("klen"), p.alias("pos")))
+        F.transform(F.sequence(F.lit(1), F.greatest(F.length(t) - k + 1, F.lit(1))), at_length(k))
         for k in lengths]))
-    grams = (rows.select(F.monotonically_increasing_id().alias(fid), t.alias("__t"), *carry)
+    grams = (rows.select(F.monotonically_increasing_id().alias(fid), F.col(text).alias("__t"), *carry)
              .select(fid, "__t", *carry, F.inline(spots))
              .withColumn("key", F.substring("__t", F.col("pos"), F.col("klen"))))
     hits = (grams.join(keyed, ["key", "klen"])
