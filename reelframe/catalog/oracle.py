@@ -178,6 +178,9 @@ ORACLE: dict[str, str] = {
         coalesce(max(CASE WHEN year = 1999 THEN ratio END), 0.0) AS "1999",
         coalesce(max(CASE WHEN year = 2000 THEN ratio END), 0.0) AS "2000"
         FROM gs GROUP BY genre""",
+    "genre_counts_sql": _BASE + "SELECT p_type AS genre, count(*) AS count FROM g GROUP BY p_type",
+    "runtime_common_sql": _BASE + """SELECT runtime, count(*) AS count FROM f WHERE runtime <> 0
+        GROUP BY runtime HAVING count(*) > 101""",
     "budget_top_document": _BASE + _BUDGET_TOP + """SELECT
         to_json(list(struct_pack(budget := budget, count := count) ORDER BY count DESC, budget))::VARCHAR
         AS document FROM bt""",

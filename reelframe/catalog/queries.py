@@ -79,6 +79,9 @@ ANALYSES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "release_date_labels": op.release_date_labels,
     "company_rating_rounded": lambda f: op.company_rating_rounded(f, 2),
     "genre_year_matrix": lambda f: op.genre_year_matrix(f, *SHARE_YEARS),
+    # S3/S4 SQL text over a registered view
+    "genre_counts_sql": lambda f: op.entry_counts_sql(f, "genres", "genre"),
+    "runtime_common_sql": lambda f: op.runtime_common_sql(f, RUNTIME_THRESHOLD, strict=True),
     # S7-S10 result encodings
     "budget_top_document": lambda f: sinks.json_document(
         op.budget_top(f, 10), 10, order=["count", "budget"], descending=[True, False]),

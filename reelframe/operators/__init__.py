@@ -10,11 +10,12 @@ from .ratings import company_rating
 from .shapes import (company_rating_rounded, genre_year_matrix, keyword_weight,
                      language_top_share, millions, release_date_labels, runtime_labels, scaled,
                      top_share)
+from .sql import entry_counts_sql, register, runtime_common_sql
 from .trends import (genre_entries_by_year, genre_share, genre_share_by_year,
                      revenue_mean_by_year, revenue_total_by_year)
 
 __all__ = [
-    "budget_ordered", "budget_top", "budget_vs_popularity", "budget_vs_rating",
+    "budget_ordered", "budget_top", "entry_counts_sql", "register", "runtime_common_sql", "budget_vs_popularity", "budget_vs_rating",
     "budget_vs_rating_voted", "budget_vs_revenue", "budget_vs_votes", "company_rating",
     "company_rating_rounded", "company_top", "containment_matches", "distinct_names",
     "entry_counts", "genre_counts", "genre_counts_contains", "genre_entries_by_year",

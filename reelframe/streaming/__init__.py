@@ -1 +1,5 @@
 """Incremental (Structured Streaming) forms of the count analyses."""
+
+from .incremental import film_stream, start_counts
+
+__all__ = ["film_stream", "start_counts"]

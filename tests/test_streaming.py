@@ -1,0 +1,27 @@
+from __future__ import annotations
+
+import os
+
+from edge_fixture import write_csv
+from reelframe import operators as op
+from reelframe.sources import read_films_csv, typed_films
+from reelframe.streaming import film_stream, start_counts
+
+
+def test_incremental_genre_counts_equal_batch(spark, scratch):
+    films = typed_films(read_films_csv(spark, write_csv(scratch)))
+    landing = os.path.join(scratch, "landing")
+    # Two arrivals: the first half of the records, then the rest.
+    films.filter("id <= 7").write.parquet(os.path.join(landing, "part=1"))
+    query = start_counts(film_stream(spark, landing, films.schema, files_per_trigger=1),
+                         op.genre_counts, "stream_genres", output_mode="complete")
+    try:
+        query.processAllAvailable()
+        first = {r.genre: r["count"] for r in spark.table("stream_genres").collect()}
+        assert first == {"Action": 2, "Drama": 3}
+        films.filter("id > 7").write.parquet(os.path.join(landing, "part=2"))
+        query.processAllAvailable()
+        latest = {r.genre: r["count"] for r in spark.table("stream_genres").collect()}
+    finally:
+        query.stop()
+    assert latest == {r.genre: r["count"] for r in op.genre_counts(films).collect()}
