@@ -14,7 +14,8 @@ Two exact strategies, chosen by the size of the distinct name list:
 * q-gram join (more names): every name is keyed by its first ``q``
   characters (shorter names by themselves); every text emits its substrings
   of the needed lengths with their positions; an equi-join on the key finds
-  candidates and ``substring(text, pos, len(name)) = name`` verifies them.
+  candidates and ``instr(text, name) = pos`` verifies them (and keeps only
+  the first occurrence, so each film counts once per name).
   Work is linear in text length, fully shuffled, and a hot key is split by
   adaptive skew-join handling instead of landing in one task.
 """
@@ -58,22 +59,24 @@ def _gram_join(rows: DataFrame, names: DataFrame, text: str, carry: tuple[str, .
     lengths = sorted(bounded_values(keyed.select("klen").distinct(), "klen", gram) or [])
     if not lengths:
         return rows.select(F.lit(None).cast("string").alias("name"), *carry).limit(0)
-    fid, t = "__film", F.col("__t")
-    # One generator over one scan: (length, position) for every needed length.
+    t = F.col("__t")
+
     def at_length(k: int):
         return lambda p: F.struct(F.lit(k).alias("klen"), p.alias("pos"))
 
+    # One generator over one scan: (length, position) for every needed length.
     spots = F.flatten(F.array(*[
         F.transform(F.sequence(F.lit(1), F.greatest(F.length(t) - k + 1, F.lit(1))), at_length(k))
         for k in lengths]))
-    grams = (rows.select(F.monotonically_increasing_id().alias(fid), F.col(text).alias("__t"), *carry)
-             .select(fid, "__t", *carry, F.inline(spots))
+    grams = (rows.select(F.col(text).alias("__t"), *carry)
+             .select("__t", *carry, F.inline(spots))
              .withColumn("key", F.substring("__t", F.col("pos"), F.col("klen"))))
-    hits = (grams.join(keyed, ["key", "klen"])
-            .filter(F.substring("__t", F.col("pos"), F.length("name")) == F.col("name"))
-            .select(fid, "name", *carry)
-            .dropDuplicates([fid, "name"]))
-    return hits.select("name", *carry)
+    # A candidate survives only at the name's first occurrence in the text, so
+    # every (film, name) match yields exactly one row: no film key and no
+    # de-duplication are needed, and a recomputed task yields the same rows.
+    return (grams.join(keyed, ["key", "klen"])
+            .filter(F.expr("instr(__t, name)") == F.col("pos"))
+            .select("name", *carry))
 
 
 def genre_counts_contains(films: DataFrame, **kw) -> DataFrame:
