@@ -8,6 +8,7 @@ tasks. Nothing is assembled on the driver.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
 
@@ -38,16 +39,23 @@ DEFAULT_JOBS: Mapping[str, Job] = {
 }
 
 
-def run_jobs(films: DataFrame, base: str, jobs: Mapping[str, Job] = DEFAULT_JOBS) -> dict[str, str]:
+def run_jobs(films: DataFrame, base: str, jobs: Mapping[str, Job] = DEFAULT_JOBS, *,
+             parallelism: int = 1) -> dict[str, str]:
     """Run each job on ``films`` and write it under ``base``; returns name -> path.
 
-    Callers that run many jobs over one expensive input should materialize
-    ``films`` first (``plans.storage.materialize``) so each job scans a table
-    rather than recomputing the input.
+    ``parallelism > 1`` submits that many jobs at once from driver threads;
+    Spark's scheduler runs them side by side, which keeps a large cluster
+    busy when each job alone is small. Callers that run many jobs over one
+    expensive input should store it first (``sources.ingest_films``) so each
+    job scans a table rather than recomputing the input.
     """
-    written = {}
-    for name, (fn, file_name, bounded) in jobs.items():
+    def one(item):
+        name, (fn, file_name, bounded) = item
         path = f"{base.rstrip('/')}/{file_name}"
         write_json(fn(films), path, single_file=bounded)
-        written[name] = path
-    return written
+        return name, path
+
+    if parallelism <= 1:
+        return dict(one(item) for item in jobs.items())
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        return dict(pool.map(one, jobs.items()))

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from .schema import BIGINT_COLUMNS, DATE_FORMAT, DOUBLE_COLUMNS, JSON_COLUMNS
 
@@ -23,15 +24,19 @@ def typed_films(raw: DataFrame) -> DataFrame:
 
     ``release_date`` stays text (A12 and A20 use the text form).
     """
+    text = {f.name for f in raw.schema.fields if isinstance(f.dataType, StringType)}
     cols = []
     for name in raw.columns:
+        if name not in text:  # already typed: pass through (the view is idempotent)
+            cols.append(F.col(name))
+            continue
         c = _blank_to_null(F.col(name))
         if name in BIGINT_COLUMNS:
             c = c.try_cast("bigint")
         elif name in DOUBLE_COLUMNS:
             c = c.try_cast("double")
         cols.append(c.alias(name))
-    if "release_date" in raw.columns:
+    if "release_date" in raw.columns and "release_day" not in raw.columns:
         cols.append(F.try_to_date(_blank_to_null(F.col("release_date")), DATE_FORMAT).alias("release_day"))
     return raw.select(*cols)
 

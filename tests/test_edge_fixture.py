@@ -107,3 +107,9 @@ def test_header_like_record_is_not_data(films):
     # Record 9 has text where numbers belong: every typed column is null.
     row = films.filter("title = 'title'").collect()[0]
     assert row.budget is None and row.vote_average is None and row.release_day is None
+
+
+def test_typed_view_is_idempotent(films):
+    again = typed_films(films)
+    assert again.schema == films.schema
+    assert sorted(map(repr, again.collect())) == sorted(map(repr, films.collect()))

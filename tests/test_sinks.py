@@ -46,8 +46,9 @@ def test_console_lines(films):
     assert lines and all(line.endswith("&") and line.count(",") == 2 for line in lines)
 
 
-def test_run_jobs_writes_every_file(films, scratch):
-    written = sinks.run_jobs(films, scratch)
+@pytest.mark.parametrize("parallelism", [1, 4])
+def test_run_jobs_writes_every_file(films, scratch, parallelism):
+    written = sinks.run_jobs(films, scratch, parallelism=parallelism)
     assert set(written) == set(sinks.DEFAULT_JOBS)
     for path in written.values():
         assert os.path.isdir(path) and any(f.startswith("part-") for f in os.listdir(path))
