@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.schema import JSON_COLUMNS, NAME_SCHEMA
+from ..sources.schema import JSON_COLUMNS, NAME_SCHEMA, NAMES_SUFFIX
 
 
 def parsed_entries(column: str, schema: str | None = None) -> Column:
@@ -19,6 +19,16 @@ def entry_names(column: str, schema: str | None = None) -> Column:
     return parsed_entries(column, schema).getField("name")
 
 
-def exploded_name(column: str, schema: str | None = None) -> Column:
+def names_of(films: DataFrame, column: str) -> Column:
+    """The entry names of ``column``: the stored ``<column>_names`` array when
+    the table was ingested with parsed lists, else parsed from the JSON text.
+    Both give the same array, so operators accept either form."""
+    stored = column + NAMES_SUFFIX
+    return F.col(stored) if stored in films.columns else entry_names(column)
+
+
+def exploded_name(column: str, schema: str | None = None, films: DataFrame | None = None) -> Column:
     """One row per entry (generator column); null or unparseable text yields no row."""
+    if films is not None and schema is None:
+        return F.explode(names_of(films, column))
     return F.explode(entry_names(column, schema))

@@ -32,7 +32,7 @@ GRAM = 3
 
 
 def distinct_names(films: DataFrame, column: str = "genres") -> DataFrame:
-    return (films.select(exploded_name(column).alias("name"))
+    return (films.select(exploded_name(column, films=films).alias("name"))
             .filter(F.col("name").isNotNull() & (F.col("name") != ""))
             .distinct())
 

@@ -25,7 +25,7 @@ def entry_counts(films: DataFrame, column: str, *, key: str = "name", count: str
     Counts entries, not films: a name listed twice in one film counts twice.
     Null and unparseable text contribute nothing.
     """
-    names = films.select(exploded_name(column).alias(key))
+    names = films.select(exploded_name(column, films=films).alias(key))
     if drop_blank:
         names = names.filter(F.col(key) != "")
     return names.groupBy(key).agg(F.count(F.lit(1)).alias(count))

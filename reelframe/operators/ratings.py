@@ -11,18 +11,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.json import exploded_name
-from ..functions.predicates import above, all_of, nonzero, not_blank
+from ..functions.predicates import above, all_of, nonzero
 
 
 def company_rating(films: DataFrame, min_votes: int = 100, *, drop_unrated: bool = True) -> DataFrame:
-    """A14 (``drop_unrated=True``) and A14p (``drop_unrated=False``, companies
-    text must be non-empty). Output ``company, average, count``."""
+    """A14 (``drop_unrated=True``: a zero rating is excluded) and A14p
+    (``drop_unrated=False``). Output ``company, average, count``.
+
+    The source also requires the companies text to be present (A14) or
+    non-empty (A14p); ``explode`` of a null, empty or unparseable list
+    yields no rows, so both tests hold without reading the text again.
+    """
     keep = [above("vote_count", min_votes)]
     if drop_unrated:
-        keep += [F.col("production_companies").isNotNull(), nonzero("vote_average")]
-    else:
-        keep += [not_blank("production_companies")]
+        keep.append(nonzero("vote_average"))
     entries = films.filter(all_of(*keep)).select(
-        exploded_name("production_companies").alias("company"), "vote_average")
+        exploded_name("production_companies", films=films).alias("company"), "vote_average")
     return entries.groupBy("company").agg(
         F.avg("vote_average").alias("average"), F.count(F.lit(1)).alias("count"))

@@ -28,7 +28,7 @@ def _ratio(num: str, den) -> F.Column:
 
 def genre_share(films: DataFrame) -> DataFrame:
     """Genre entries per genre / all genre entries. Output ``genre, ratio``."""
-    counts = (films.select(exploded_name("genres").alias("genre"))
+    counts = (films.select(exploded_name("genres", films=films).alias("genre"))
               .groupBy("genre").agg(F.count(F.lit(1)).alias("count")))
     # The total is summed from the per-genre counts, so the subquery reuses
     # the counts' shuffle instead of scanning and parsing the films again.
@@ -44,7 +44,7 @@ def _genre_years(films: DataFrame, first: int | None, last: int | None) -> DataF
         rows = rows.filter(F.col("release_day") >= F.lit(datetime.date(first, 1, 1)))
     if last is not None:
         rows = rows.filter(F.col("release_day") <= F.lit(datetime.date(last, 12, 31)))
-    return rows.select(exploded_name("genres").alias("genre"),
+    return rows.select(exploded_name("genres", films=rows).alias("genre"),
                        F.year("release_day").cast("bigint").alias("year"))
 
 

@@ -2,7 +2,7 @@
 film-shaped view over the driver's tables."""
 
 from .csv import ingest_csv, read_films_csv
-from .schema import JSON_COLUMNS, RAW_COLUMNS, RAW_SCHEMA
+from .schema import JSON_COLUMNS, NAMES_SUFFIX, RAW_COLUMNS, RAW_SCHEMA
 from .testdata import films_from_tables, read_table
 from .typed import rejected_rows, typed_films
 
@@ -12,18 +12,27 @@ def load_films(spark, sf_dir: str):
     return typed_films(films_from_tables(spark, sf_dir))
 
 
-def ingest_films(raw, name: str = "films"):
+def ingest_films(raw, name: str = "films", *, parse_lists: bool = True):
     """Type the raw film rows once and store them as Parquet in the shared
     checkpoint folder; return the stored table.
 
     Stored numbers and dates are typed, so analysis predicates such as
     ``budget <> 0`` reach the Parquet reader (row-group skipping) and each
-    analysis reads only its columns. Rows are sorted by release day within
-    each task (no shuffle), which keeps the day statistics of each row group
-    narrow for the yearly analyses.
+    analysis reads only its columns. With ``parse_lists`` each JSON list
+    column also gets a ``<column>_names`` array, parsed here once instead of
+    in every analysis (the JSON text is kept for containment and the
+    rejected-row report). Rows are sorted by release day within each task
+    (no shuffle), which keeps the day statistics of each row group narrow.
     """
+    from pyspark.sql import functions as F
+
+    from ..functions.json import entry_names
     from ..plans.storage import materialize
-    return materialize(typed_films(raw).sortWithinPartitions("release_day"), name)
+    films = typed_films(raw)
+    if parse_lists:
+        films = films.select("*", *[entry_names(c).alias(c + NAMES_SUFFIX)
+                                    for c in JSON_COLUMNS if c in films.columns])
+    return materialize(films.sortWithinPartitions(F.col("release_day")), name)
 
 
 __all__ = [

@@ -33,3 +33,6 @@ JSON_COLUMNS: dict[str, str] = {
     "production_companies": ENTRY_SCHEMA,
     "spoken_languages": NAME_SCHEMA,
 }
+
+# Stored name arrays written by ``ingest_films``: ``<column>_names``.
+NAMES_SUFFIX = "_names"

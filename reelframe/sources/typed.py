@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from .schema import BIGINT_COLUMNS, DATE_FORMAT, DOUBLE_COLUMNS, JSON_COLUMNS
+from .schema import BIGINT_COLUMNS, DATE_FORMAT, DOUBLE_COLUMNS
 
 
 def _blank_to_null(c: Column) -> Column:
@@ -45,7 +45,8 @@ def rejected_rows(films: DataFrame, column: str = "genres") -> DataFrame:
     """Rows whose JSON column holds text that does not parse (Q20).
 
     ``from_json`` turns such text into null and ``explode`` then drops the
-    row, so analyses never fail on it; this reports what was dropped.
+    row, so analyses never fail on it; this reports what was dropped, using
+    the same parse the analyses use.
     """
-    parsed = F.from_json(F.col(column), JSON_COLUMNS.get(column, JSON_COLUMNS["genres"]))
-    return films.filter(F.col(column).isNotNull() & parsed.isNull()).select("id", "title", column)
+    from ..functions.json import entry_names
+    return films.filter(F.col(column).isNotNull() & entry_names(column).isNull()).select("id", "title", column)
