@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from ..sources.schema import ENTRY_SCHEMA
+from ..sources.schema import ENTRY_SCHEMA, NAMES_SUFFIX
 
 VIEW = "films"
 
@@ -42,6 +42,11 @@ def entry_counts_sql(films: DataFrame, column: str = "genres", key: str = "genre
     register(films, view)
     if not column.isidentifier() or not key.isidentifier():
         raise ValueError("column and key must be plain identifiers")
+    stored = column + NAMES_SUFFIX
+    if stored in films.columns:  # names parsed once at ingest
+        return spark.sql(
+            f"SELECT name AS {key}, count(*) AS count "
+            f"FROM {view} LATERAL VIEW explode({stored}) t AS name GROUP BY name")
     return spark.sql(
         f"SELECT e.name AS {key}, count(*) AS count "
         f"FROM {view} LATERAL VIEW explode(from_json({column}, :schema)) t AS e "

@@ -55,3 +55,12 @@ def test_gram_path_equals_inline_on_tables(spark):
     inline = sorted(tuple(r) for r in op.genre_year_counts(films).collect())
     grams = sorted(tuple(r) for r in op.genre_year_counts(films, max_inline=0).collect())
     assert inline == grams
+
+
+def test_missing_and_empty_dates_share_the_null_year_group(spark):
+    from reelframe.sources import typed_films
+    rows = [("1", '[{"id": 1, "name": "Drama"}]', ""), ("2", '[{"id": 1, "name": "Drama"}]', None),
+            ("3", '[{"id": 1, "name": "Drama"}]', "2009-13-40")]
+    films = typed_films(spark.createDataFrame(rows, "id string, genres string, release_date string"))
+    got = {(r.genre, r.release_year): r["count"] for r in op.genre_year_counts(films).collect()}
+    assert got == {("Drama", None): 2, ("Drama", "2009"): 1}
