@@ -7,13 +7,13 @@ source layout (20 text columns, JSON text for the list columns), so it goes
 through the same typed view and JSON parsing as a real film CSV would.
 
 Plan shape: one scan of each table with pruned columns; line items meet
-``part`` and ``supplier`` on equi-joins (Spark broadcasts those only when
-its size statistics fall under ``autoBroadcastJoinThreshold``, otherwise
-sort-merge); ``nation`` is the fixed 25-row table and is broadcast
-explicitly. The per-order aggregate shuffles once on the order key and the
-join to ``orders`` reuses that partitioning, so only ``orders`` is
-shuffled for it. Each per-order list is de-duplicated in the map-side
-partial aggregate before the shuffle.
+``part``, ``supplier`` and ``nation`` on equi-joins, which Spark broadcasts
+only when its size statistics for that side fall under
+``autoBroadcastJoinThreshold`` (otherwise sort-merge, with adaptive skew
+splitting). The per-order aggregate shuffles once on the order key and the
+join to ``orders`` reuses that partitioning, so only ``orders`` is shuffled
+for it. Each per-order list is de-duplicated in the map-side partial
+aggregate before the shuffle.
 """
 
 from __future__ import annotations
@@ -43,7 +43,7 @@ def films_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
 
-    supplier_nation = supplier.join(F.broadcast(nation), supplier.s_nationkey == nation.n_nationkey)
+    supplier_nation = supplier.join(nation, supplier.s_nationkey == nation.n_nationkey)
     detail = (lines.join(part, lines.l_partkey == part.p_partkey)
               .join(supplier_nation, lines.l_suppkey == supplier_nation.s_suppkey))
 
