@@ -76,3 +76,10 @@ def test_film_view_shuffles_lines_once_per_order(spark):
 
 def test_registered_queries_cover_analyses():
     assert set(QUERIES) == set(ANALYSES)
+
+
+def test_year_shares_scan_films_once(stored):
+    df = op.genre_share_by_year(stored, 1996, 2000)
+    df.collect()  # finalize the adaptive plan
+    final = physical_plan(df).split("== Initial Plan ==")[0]
+    assert final.count("FileScan parquet") == 1 and "ReusedExchange" in final
