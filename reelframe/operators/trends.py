@@ -55,14 +55,16 @@ def genre_entries_by_year(films: DataFrame, first: int | None = None, last: int
 
 def genre_share_by_year(films: DataFrame, first: int = 2005, last: int = 2015) -> DataFrame:
     """Per (genre, year) entry count / that year's entry count, for
-    years ``first..last`` inclusive. Output ``genre, year, ratio``."""
+    years ``first..last`` inclusive. Output ``genre, year, ratio``, ordered
+    by genre, then year."""
     if last < first:
         raise ValueError("last year must not precede first year")
     counts = _genre_years(films, first, last).groupBy("genre", "year").agg(F.count(F.lit(1)).alias("count"))
     # At most last-first+1 rows: a size proven by the parameters.
     totals = counts.groupBy("year").agg(F.sum("count").alias("total"))
     return (counts.join(F.broadcast(totals), "year")
-            .select("genre", "year", _ratio("count", F.col("total")).alias("ratio")))
+            .select("genre", "year", _ratio("count", F.col("total")).alias("ratio"))
+            .orderBy("genre", "year"))
 
 
 def _revenue_years(films: DataFrame) -> DataFrame:
