@@ -12,7 +12,7 @@ def load_films(spark, sf_dir: str):
     return typed_films(films_from_tables(spark, sf_dir))
 
 
-def ingest_films(raw, name: str = "films", *, parse_lists: bool = True):
+def ingest_films(raw, name: str = "films", *, parse_lists: bool = True, partitions: int | None = None):
     """Type the raw film rows once and store them as Parquet in the shared
     checkpoint folder; return the stored table.
 
@@ -23,12 +23,18 @@ def ingest_films(raw, name: str = "films", *, parse_lists: bool = True):
     in every analysis (the JSON text is kept for containment and the
     rejected-row report). Rows are sorted by release day within each task
     (no shuffle), which keeps the day statistics of each row group narrow.
+
+    ``partitions`` spreads the rows evenly over that many tasks before the
+    per-row work: a multi-line CSV is read one task per file, so a source
+    made of a few very large files would otherwise type, parse and write in
+    a few tasks. (Spark sorts locally before a round-robin repartition, so a
+    retried task produces the same rows.)
     """
     from pyspark.sql import functions as F
 
     from ..functions.json import entry_names
     from ..plans.storage import materialize
-    films = typed_films(raw)
+    films = typed_films(raw.repartition(partitions) if partitions else raw)
     if parse_lists:
         films = films.select("*", *[entry_names(c).alias(c + NAMES_SUFFIX)
                                     for c in JSON_COLUMNS if c in films.columns])

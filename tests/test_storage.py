@@ -46,3 +46,13 @@ def test_settings_helpers(spark):
                 spark.conf.set(k, v)
     assert shuffle_partitions_for(10 << 40) == 81920  # 10 TiB at 128 MiB each
     assert shuffle_partitions_for(1 << 20) == 8
+
+
+def test_ingest_spreads_few_large_files(spark, scratch):
+    from reelframe.sources import ingest_films
+    raw = read_films_csv(spark, write_csv(scratch))  # one multi-line file: one task
+    assert raw.rdd.getNumPartitions() == 1
+    stored = ingest_films(raw, "spread", partitions=4)
+    assert len(stored.inputFiles()) == 4
+    counts = {r.genre: r["count"] for r in op.genre_counts(stored).collect()}
+    assert counts == {"Action": 3, "Drama": 7, "Music": 1, "Musical": 2}
