@@ -52,3 +52,15 @@ def test_run_jobs_writes_every_file(films, scratch, parallelism):
     assert set(written) == set(sinks.DEFAULT_JOBS)
     for path in written.values():
         assert os.path.isdir(path) and any(f.startswith("part-") for f in os.listdir(path))
+
+
+def test_command_line_runs_selected_jobs(spark, scratch):
+    from edge_fixture import write_csv
+    from reelframe.__main__ import main
+    out = os.path.join(scratch, "out")
+    written = main(["--csv", write_csv(scratch), "--out", out, "--jobs", "genres", "budget",
+                    "--parallelism", "2"])
+    assert set(written) == {"genres", "budget"}
+    rows = [json.loads(line) for f in sorted(os.listdir(written["genres"])) if f.startswith("part-")
+            for line in open(os.path.join(written["genres"], f))]
+    assert {r["genre"]: r["count"] for r in rows} == {"Action": 3, "Drama": 7, "Music": 1, "Musical": 2}
