@@ -1,6 +1,6 @@
 """Run the export jobs: ingest the films, run every job, write its JSON.
 
-    spark-submit -m reelframe --csv hdfs:///data/films.csv --out hdfs:///out/films
+    spark-submit --py-files reelframe.zip export_jobs.py --csv hdfs:///data/films.csv --out hdfs:///out/films
     python -m reelframe --tables /root/testdata/sf0.01 --out /tmp/out --parallelism 4
 
 The session comes from the launcher (``getOrCreate``); no master is set
