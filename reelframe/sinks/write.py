@@ -45,7 +45,8 @@ def run_jobs(films: DataFrame, base: str, jobs: Mapping[str, Job] = DEFAULT_JOBS
 
     ``parallelism > 1`` submits that many jobs at once from driver threads;
     Spark's scheduler runs them side by side, which keeps a large cluster
-    busy when each job alone is small. Callers that run many jobs over one
+    busy when each job alone is small (with ``spark.scheduler.mode=FAIR``
+    they also share executors evenly). Callers that run many jobs over one
     expensive input should store it first (``sources.ingest_films``) so each
     job scans a table rather than recomputing the input.
     """
