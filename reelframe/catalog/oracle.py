@@ -155,7 +155,10 @@ ORACLE: dict[str, str] = {
     "budget_revenue_millions": _BASE + """SELECT title, budget / 1e6 AS budget_millions,
         revenue / 1e6 AS revenue_millions FROM f
         WHERE title <> '' AND budget <> 0 AND revenue <> 0""",
-    "language_top_share": _BASE + _TOP_LANG + """SELECT language, count,
+    "language_top_share": _BASE + """, lt AS (
+          SELECT n_name AS language, count(*) AS count FROM la
+          GROUP BY n_name ORDER BY count DESC, language LIMIT 10)
+        SELECT language, count,
         CAST(count AS DOUBLE) / CAST(sum(count) OVER () AS DOUBLE) AS share FROM lt""",
     "runtime_labels": _BASE + """SELECT runtime, count(*) AS count,
         CAST(runtime AS VARCHAR) || ' min.' AS label FROM f WHERE runtime <> 0

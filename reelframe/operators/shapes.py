@@ -39,9 +39,11 @@ def top_share(top: DataFrame, count: str = "count", *, decimals: int | None = No
     return out
 
 
-def language_top_share(films: DataFrame, k: int = 10, *, decimals: int | None = None) -> DataFrame:
-    """C2 over A8p: language, count, share of the top-k total."""
-    return top_share(language_top(films, k, drop_blank=True), decimals=decimals)
+def language_top_share(films: DataFrame, k: int = 10, *, drop_blank: bool = False,
+                       decimals: int | None = None) -> DataFrame:
+    """C2 over A8 (blank names kept, as in the ranking the chart reads):
+    language, count, share of the top-k total."""
+    return top_share(language_top(films, k, drop_blank=drop_blank), decimals=decimals)
 
 
 def runtime_labels(films: DataFrame, threshold: int = 100, *, strict: bool = True) -> DataFrame:
