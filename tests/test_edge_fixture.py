@@ -113,3 +113,24 @@ def test_typed_view_is_idempotent(films):
     again = typed_films(films)
     assert again.schema == films.schema
     assert sorted(map(repr, again.collect())) == sorted(map(repr, films.collect()))
+
+
+def test_chart_shapes(films):
+    labels = {r.runtime: r.label for r in op.runtime_labels(films, 2).collect()}
+    assert labels == {90: "90 min.", 95: "95 min.", 100: "100 min."}
+    dates = {r.title: r.label for r in op.release_date_labels(films).collect()}
+    assert dates["Say \"Hi\""] == "2009-1-1" and dates["BadDate"] is None
+    share = op.language_top_share(films, 10).collect()
+    assert abs(sum(r.share for r in share) - 1.0) < 1e-12 and {r.language for r in share} == {"English", "", "Français"}
+    weights = {r.language: r.weight for r in op.scaled(op.language_top(films, 10)).collect()}
+    assert weights == {"English": 40.0, "": pytest.approx(24 + 16 / 7), "Français": 24.0}
+    money = op.millions(films).filter("title = 'Plain'").collect()[0]
+    assert money.budget_millions == 100 / 1e6 and money.revenue_millions == 10 / 1e6
+    rounded = op.company_rating_rounded(films).collect()
+    assert rounded == []  # the fixture lists no companies
+
+
+def test_genre_year_matrix_fills_missing_cells(films):
+    grid = {r.genre: r.asDict() for r in op.genre_year_matrix(films, 2009, 2011).collect()}
+    assert grid["Drama"]["2011"] == 1.0 and grid["Action"]["2011"] == 0.0
+    assert grid["Action"]["2009"] == pytest.approx(1 / 3)
