@@ -34,6 +34,12 @@ def _text(c):
     return c.cast("string")
 
 
+def _sorted_set(entry):
+    """Distinct entries of one film in a fixed order, so a recomputed task
+    yields the same JSON text."""
+    return F.array_sort(F.collect_set(entry))
+
+
 def films_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_totalprice", "o_orderdate", "o_orderstatus", "o_orderpriority")
@@ -53,13 +59,13 @@ def films_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum("l_quantity").cast("bigint").alias("vote_count"),
         F.floor(F.sum(F.col("l_extendedprice").cast("decimal(12,2)"))).cast("bigint").alias("revenue"),
         F.max("l_quantity").cast("bigint").alias("runtime"),
-        F.to_json(F.collect_set(F.struct(
+        F.to_json(_sorted_set(F.struct(
             F.length("p_type").alias("id"), F.col("p_type").alias("name")))).alias("genres"),
-        F.to_json(F.collect_set(F.struct(
+        F.to_json(_sorted_set(F.struct(
             F.col("l_partkey").alias("id"), F.col("p_name").alias("name")))).alias("keywords"),
-        F.to_json(F.collect_set(F.struct(
+        F.to_json(_sorted_set(F.struct(
             F.col("s_name").alias("name"), F.col("l_suppkey").alias("id")))).alias("production_companies"),
-        F.to_json(F.collect_set(F.struct(
+        F.to_json(_sorted_set(F.struct(
             _text(F.col("n_nationkey")).alias("iso_639_1"), F.col("n_name").alias("name")))).alias("spoken_languages"),
     )
 
