@@ -8,9 +8,10 @@ test without treating ``%``, ``_`` or quotes in a name as syntax.
 Two exact strategies, chosen by the size of the distinct name list:
 
 * inline (at most ``MAX_INLINE_NAMES`` names, checked by a bounded probe):
-  the names become a literal array and each film row keeps the names its
-  text contains (``filter`` + ``contains``), then one aggregate. One scan,
-  no join, no broadcast exchange.
+  the names become a literal array, each film row is paired with each name
+  (``explode``) and the pairs whose text contains the name are kept
+  (``contains``), then one aggregate. One scan, no join, no broadcast
+  exchange, all inside whole-stage code generation.
 * q-gram join (more names): every name is keyed by its first ``q``
   characters (shorter names by themselves); every text emits its substrings
   of the needed lengths with their positions; an equi-join on the key finds
@@ -45,9 +46,12 @@ def containment_matches(films: DataFrame, names: DataFrame, text: str, *carry: s
     if listed is not None:
         if not listed:
             return rows.select(F.lit(None).cast("string").alias("name"), *carry).limit(0)
+        # Pair each row with each listed name and keep the contained ones;
+        # explode + filter stay inside whole-stage code generation.
         candidates = F.array(*[F.lit(n) for n in sorted(listed)])
-        found = F.filter(candidates, lambda n: F.col(text).contains(n))
-        return rows.select(F.explode(found).alias("name"), *carry)
+        return (rows.select(F.explode(candidates).alias("name"), F.col(text).alias("__t"), *carry)
+                .filter(F.col("__t").contains(F.col("name")))
+                .select("name", *carry))
     return _gram_join(rows, names, text, carry, gram)
 
 
