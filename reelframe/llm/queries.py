@@ -10,6 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import documents
 
 
+def op7_compression_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import fit, held_out, identify, training_rows
+
+    docs = documents(spark, sf_dir)
+    found = identify(docs.select("doc_id", "text"), fit(training_rows(docs)))
+    return found.select("doc_id", held_out(found).alias("held_out"), "lang_pred", "score", "lang_rejected")
+
+
 def op9_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack_documents
 
@@ -23,6 +31,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op7_compression_language": op7_compression_language,
     "op9_sum_of_squares_packing": op9_sum_of_squares_packing,
     "op10_token_counts": op10_token_counts,
 }
