@@ -38,7 +38,7 @@ def fit(train: DataFrame, *, text_col: str = "text", lang_col: str = "lang",
         order_cols: tuple[str, ...] = ("doc_id",), sample_docs: int = SAMPLE_DOCS,
         dict_bytes: int = DICT_BYTES) -> dict[str, bytes]:
     """Dictionaries by language, from the rows whose language and text are
-    not null. The driver gets at most ``sample_docs`` texts of at most
+    not null; the language of most such rows comes first. The driver gets at most ``sample_docs`` texts of at most
     ``dict_bytes`` characters for each language; equal inputs give equal
     dictionaries, whatever the order of the rows. A language none of whose
     texts has a letter gets an empty dictionary; no rows give no languages.
@@ -54,13 +54,14 @@ def fit(train: DataFrame, *, text_col: str = "text", lang_col: str = "lang",
     for lang, text in chosen.orderBy("lang", "n").select("lang", "text").collect():
         if len(texts[lang]) < dict_bytes:
             texts[lang] += letters_only(text).encode()
-    return {lang: raw[:dict_bytes] for lang, raw in texts.items()}
+    common = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()
+    return {row["lang"]: texts[row["lang"]][:dict_bytes] for row in common}
 
 
 def _compressors(dictionaries: dict[str, bytes]) -> list:
-    """One compressor per language, in the languages' code point order, made
-    once per worker and set of dictionaries."""
-    key = tuple(sorted(dictionaries.items()))
+    """One compressor per language, in the dictionaries' order, made once per
+    worker and set of dictionaries."""
+    key = tuple(dictionaries.items())
     if key not in _COMPRESSORS:
         import zstandard as zstd
 
@@ -81,7 +82,7 @@ def _compressors(dictionaries: dict[str, bytes]) -> list:
 
 def classify(text: str | None, compressors: list) -> tuple[str, float]:
     """Language and margin (0 to 1) of one whole text; ``und`` and 0 for a
-    text without a letter. The smaller code point order wins a tie."""
+    text without a letter. The language of more training rows wins a tie."""
     plain = letters_only(text or "")
     if not compressors or not any(map(str.isalpha, plain)):
         return "und", 0.0
