@@ -10,6 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import documents
 
 
+def op3_multi_index_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .simhash import hex_fingerprint, near_duplicates
+
+    found = near_duplicates(documents(spark, sf_dir), shingle=3, max_bits=2)
+    return found.select("doc_id", hex_fingerprint().alias("fingerprint"), "component_id")
+
+
 def op7_compression_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .langid import fit, held_out, identify, training_rows
 
@@ -31,6 +38,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_multi_index_simhash": op3_multi_index_simhash,
     "op7_compression_language": op7_compression_language,
     "op9_sum_of_squares_packing": op9_sum_of_squares_packing,
     "op10_token_counts": op10_token_counts,
