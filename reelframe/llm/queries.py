@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import quality
 from .common import documents
 
 
@@ -17,6 +18,20 @@ def op3_multi_index_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+def op5_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import failed, ledger
+
+    book = ledger(documents(spark, sf_dir))
+    return book.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                       failed("base").alias("base_failed"), (~failed()).alias("kept"), "fail_bits")
+
+
+def op6_entropy_balancing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import mix
+
+    return mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
 def op7_compression_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .langid import fit, held_out, identify, training_rows
 
@@ -39,10 +54,14 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_multi_index_simhash": op3_multi_index_simhash,
+    "op5_rule_ledger": op5_rule_ledger,
+    "op6_entropy_balancing": op6_entropy_balancing,
     "op7_compression_language": op7_compression_language,
     "op9_sum_of_squares_packing": op9_sum_of_squares_packing,
     "op10_token_counts": op10_token_counts,
 }
 
 # DuckDB SQL for the queries that SQL can express.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_rule_ledger": quality.ORACLE,
+}
