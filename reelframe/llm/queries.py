@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality
+from . import quality, topk
 from .common import documents
 
 
@@ -40,6 +40,15 @@ def op7_compression_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(found).alias("held_out"), "lang_pred", "score", "lang_rejected")
 
 
+def op8_branch_and_bound_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from .topk import top_k
+
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return top_k(vectors.filter(F.col("vec_id") % 100 == 0), vectors, k=10, scale=1024.0)
+
+
 def op9_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack_documents
 
@@ -57,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_rule_ledger": op5_rule_ledger,
     "op6_entropy_balancing": op6_entropy_balancing,
     "op7_compression_language": op7_compression_language,
+    "op8_branch_and_bound_top_k": op8_branch_and_bound_top_k,
     "op9_sum_of_squares_packing": op9_sum_of_squares_packing,
     "op10_token_counts": op10_token_counts,
 }
@@ -64,4 +74,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 # DuckDB SQL for the queries that SQL can express.
 ORACLE: dict[str, str] = {
     "op5_rule_ledger": quality.ORACLE,
+    "op8_branch_and_bound_top_k": topk.ORACLE,
 }
