@@ -11,6 +11,12 @@ from . import quality, topk
 from .common import documents
 
 
+def op2_deobfuscated_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .pii import find_pii
+
+    return find_pii(documents(spark, sf_dir))
+
+
 def op3_multi_index_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .simhash import hex_fingerprint, near_duplicates
 
@@ -62,6 +68,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_deobfuscated_pii": op2_deobfuscated_pii,
     "op3_multi_index_simhash": op3_multi_index_simhash,
     "op5_rule_ledger": op5_rule_ledger,
     "op6_entropy_balancing": op6_entropy_balancing,
