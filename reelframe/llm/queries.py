@@ -24,6 +24,12 @@ def op3_multi_index_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hex_fingerprint().alias("fingerprint"), "component_id")
 
 
+def op4_line_template_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .line_templates import drop_recurring
+
+    return drop_recurring(documents(spark, sf_dir)).select("doc_id", "n_lines", "n_dropped", "text")
+
+
 def op5_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import failed, ledger
 
@@ -70,6 +76,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_deobfuscated_pii": op2_deobfuscated_pii,
     "op3_multi_index_simhash": op3_multi_index_simhash,
+    "op4_line_template_dedup": op4_line_template_dedup,
     "op5_rule_ledger": op5_rule_ledger,
     "op6_entropy_balancing": op6_entropy_balancing,
     "op7_compression_language": op7_compression_language,
