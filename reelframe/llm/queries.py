@@ -11,6 +11,12 @@ from . import quality, topk
 from .common import documents
 
 
+def op1_chained_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .substring import repeated_passages
+
+    return repeated_passages(documents(spark, sf_dir))
+
+
 def op2_deobfuscated_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .pii import find_pii
 
@@ -74,6 +80,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chained_passages": op1_chained_passages,
     "op2_deobfuscated_pii": op2_deobfuscated_pii,
     "op3_multi_index_simhash": op3_multi_index_simhash,
     "op4_line_template_dedup": op4_line_template_dedup,
