@@ -71,13 +71,12 @@ def _ids_encoder(name: str):
 
         from .tokens import PieceEncoder, load_tokenizer
 
-        pieces = PieceEncoder(load_tokenizer(name), lambda e: np.array(e.ids, "<u4").tobytes())
-        _ENCODERS[name] = lambda texts: map(b"".join, pieces.values(texts))
+        _ENCODERS[name] = PieceEncoder(load_tokenizer(name), lambda e: np.array(e.ids, "<u4").tobytes()).ids
     return _ENCODERS[name]
 
 
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, *,
-                 id_col: str = "doc_id", text_col: str = "text", slice_bytes: int = 4 << 20,
+                 id_col: str = "doc_id", text_col: str = "text", slice_bytes: int = 8 << 20,
                  with_ids: bool = False) -> DataFrame:
     """Pieces ``(id, piece, start, length, ids_crc32, deal)`` of each text.
 
@@ -103,7 +102,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, *,
             sizes = pc.binary_length(texts).to_pylist()
             for a, b in byte_slices(sizes, slice_bytes):
                 row, piece, start, length, crc, ids = [], [], [], [], [], []
-                for i, raw in enumerate(encode(texts.slice(a, b - a).to_pylist()), a):
+                for i, raw in enumerate(encode(texts.slice(a, b - a)), a):
                     raw += end
                     total, at, k = len(raw) // 4, 0, 0
                     while at < total:

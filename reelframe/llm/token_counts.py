@@ -13,7 +13,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 8 << 20
 _ENCODERS: dict = {}
 
 
@@ -26,12 +26,11 @@ def _length_encoder(name: str):
             from .tokens import tokenizer_path
 
             model = SentencePieceProcessor(model_file=tokenizer_path(name))
-            _ENCODERS[name] = lambda texts: [len(ids) for ids in model.encode(texts, num_threads=1)]
+            _ENCODERS[name] = lambda texts: [len(ids) for ids in model.encode(texts.to_pylist(), num_threads=1)]
         else:
             from .tokens import PieceEncoder, load_tokenizer
 
-            pieces = PieceEncoder(load_tokenizer(name), len)
-            _ENCODERS[name] = lambda texts: list(map(sum, pieces.values(texts)))
+            _ENCODERS[name] = PieceEncoder(load_tokenizer(name), len).counts
     return _ENCODERS[name]
 
 
@@ -62,7 +61,7 @@ def token_counts(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", limit: i
             sizes = pc.binary_length(texts).cast(pa.int64())
             counts: list[int] = []
             for a, b in byte_slices(sizes.to_pylist(), slice_bytes):
-                counts += encode(texts.slice(a, b - a).to_pylist())
+                counts += encode(texts.slice(a, b - a))
             n = pa.array(counts, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), sizes, n, pc.greater(n, limit)], ["id", "n_bytes", "n_tokens", "over_limit"])

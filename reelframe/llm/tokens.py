@@ -16,6 +16,13 @@ from collections.abc import Callable, Iterator
 
 _LINE = re.compile(r"(?<=\S)\n(?=\S)")
 _GAP = re.compile(r"(?<=\S) (?=\S)")
+# A piece that ends in marks after a letter or number: also cut there.
+_MARKS = re.compile(r"(?s)(.*[^\W_])([^\w\s]+)\Z")
+
+# White space beside white space or at an end (for Arrow's regular expressions).
+_SPACE = (r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200b}\x{2028}\x{2029}\x{202f}"
+          r"\x{205f}\x{3000}\x{feff}]")
+_ODD = rf"\A{_SPACE}|{_SPACE}{_SPACE}|{_SPACE}\z"
 
 # Pieces kept per worker and values kind (about 150 bytes each), and the
 # longest piece that is kept.
@@ -57,55 +64,108 @@ def has_safe_boundaries(tokenizer) -> bool:
 
 
 class PieceEncoder:
-    """Values of the pieces of texts: ``value(encoding)`` of each piece, in
-    order, so that adding them up gives the value of the whole text."""
+    """Token ids of whole texts, from the values of their pieces.
+
+    A piece is named without the space before it; a newline before it is
+    part of its name. ``value(encoding)`` is what is kept of an encoding (a
+    count, or ids as bytes): something that ``+`` adds up.
+    """
 
     def __init__(self, tokenizer, value: Callable, limit: int = MEMO_PIECES):
         self.tokenizer, self.value, self.limit = tokenizer, value, limit
         self.safe = has_safe_boundaries(tokenizer)
+        self.special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
         self.memo: dict[str, object] = {}
+        self.tails: dict[str, object] = {}
+        self.newline = self.encode(["\n"])[0]
 
-    def _encode(self, texts: list[str]) -> list:
+    def encode(self, texts: list[str]) -> list:
         return [self.value(e) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def pieces(self, text: str) -> list[str]:
-        """The text cut at its safe boundaries. The space before a piece is
-        left out of its name; a newline is kept, and so is the text's start."""
+    def _learn(self, names: list[str]) -> dict[str, object]:
+        """Values of unseen pieces. Marks at a piece's end are words of their
+        own to the tokenizer, so "word," and "word." share what "word" cost."""
+        parts = {w: m.groups() for w in names if (m := _MARKS.match(w)) and not any(t in w for t in self.special)}
+        stems = {w for w in names if w not in parts}
+        stems.update(stem for stem, _ in parts.values() if stem not in self.memo)
+        stems = list(stems)
+        known = dict(zip(stems, self.encode([w if w[0] == "\n" else " " + w for w in stems])))
+        tails = list({tail for _, tail in parts.values()} - self.tails.keys())
+        self.tails.update(zip(tails, self.encode(tails)))
+        for w, (stem, tail) in parts.items():
+            known[w] = (known[stem] if stem in known else self.memo[stem]) + self.tails[tail]
+        return known
+
+    def lookup(self, names: list[str]) -> list:
+        """Values of distinct pieces, the unseen ones encoded in one batch."""
+        if len(self.memo) + len(self.tails) > self.limit:
+            self.memo.clear()
+            self.tails.clear()
+        found = list(map(self.memo.get, names))
+        unseen = [i for i, v in enumerate(found) if v is None]
+        if unseen:
+            new = self._learn([names[i] for i in unseen])
+            for i in unseen:
+                found[i] = new[names[i]]
+            self.memo.update((w, v) for w, v in new.items() if len(w) <= MEMO_CHARS)
+        return found
+
+    def _spaced(self, text: str) -> list:
+        """Values of a text that has white space next to white space, or at
+        its ends: the pieces between its safe boundaries."""
         first, *rest = _LINE.split(text)
-        words = _GAP.split(first)
+        head, *words = _GAP.split(first)
         for line in rest:
             more = _GAP.split(line)
-            more[0] = "\n" + more[0]
-            words += more
-        return words
+            words += ["\n" + more[0], *more[1:]]
+        names = list(dict.fromkeys(words))
+        values = dict(zip(names, self.lookup(names)))
+        return [self.encode([head])[0], *map(values.__getitem__, words)]
+
+    def texts(self, texts, add_up: Callable, join: Callable) -> list:
+        """One value per text of an Arrow array without nulls.
+
+        ``add_up(values, indices, ends)`` takes the values of the distinct
+        pieces, the piece numbers of all texts one after the other and where
+        each text begins and ends there, and takes off the newline that
+        stands for a text's start; ``join`` adds up the values of one text.
+        """
+        import pyarrow.compute as pc
 
-    def values(self, texts: list[str]) -> Iterator[list]:
-        """For each text the values of its pieces. One pass looks pieces up,
-        the missing ones of all texts are encoded in one batch."""
         if not self.safe:
-            yield from ([v] for v in self._encode(texts))
-            return
-        if len(self.memo) > self.limit:
-            self.memo.clear()
-        get, rows, missing, heads = self.memo.get, [], set(), []
-        for text in texts:
-            words = self.pieces(text)
-            heads.append(words[0])
-            words[0] = None  # starts the text: no space before it, never looked up
-            found = list(map(get, words))
-            at = [0]
-            if None in found[1:]:
-                at = [i for i, v in enumerate(found) if v is None]
-                missing.update(words[i] for i in at)
-            rows.append((found, at, {i: words[i] for i in at}))
-        missing.discard(None)
-        names = list(missing)
-        new = dict(zip(names, self._encode([w if w[0] == "\n" else " " + w for w in names])))
-        for (found, at, words), head in zip(rows, self._encode(heads)):
-            for i in at:
-                found[i] = new[words[i]] if i else head
-            yield found
-        self.memo.update((w, v) for w, v in new.items() if len(w) <= MEMO_CHARS)
+            return self.encode(texts.to_pylist())
+        odd = pc.or_(pc.equal(texts, ""), pc.match_substring_regex(texts, _ODD))
+        plain = texts.filter(pc.invert(odd))
+        # "\n" stands for a text's start; a text without odd white space is
+        # then a list of names, one space apart.
+        named = pc.binary_join_element_wise("\n", pc.replace_substring(plain, "\n", " \n"), "")
+        lists = pc.split_pattern(named, " ")
+        coded = lists.flatten().dictionary_encode()
+        sums = iter(add_up(self.lookup(coded.dictionary.to_pylist()), coded.indices, lists.offsets.to_numpy()) if len(plain) else [])
+        return [join(self._spaced(t.as_py())) if o else next(sums) for t, o in zip(texts, odd.to_pylist())]
+
+    def counts(self, texts) -> list[int]:
+        """Token counts; ``value`` must be ``len``."""
+        import numpy as np
+
+        def add_up(values, indices, offsets):
+            each = np.array(values, np.int64)[indices.to_numpy()]
+            return (np.add.reduceat(each, offsets[:-1]) - self.newline).tolist()
+
+        return self.texts(texts, add_up, sum)
+
+    def ids(self, texts) -> list[bytes]:
+        """Ids as bytes; ``value`` must give bytes."""
+        import numpy as np
+        import pyarrow as pa
+
+        def add_up(values, indices, offsets):
+            data = pa.array(values, pa.binary()).take(indices)
+            at = np.frombuffer(data.buffers()[1], np.int32, len(data) + 1, 4 * data.offset)[offsets].tolist()
+            raw, skip = memoryview(data.buffers()[2]), len(self.newline)
+            return (bytes(raw[a + skip:b]) for a, b in zip(at, at[1:]))
+
+        return self.texts(texts, add_up, b"".join)
 
 
 def byte_slices(sizes: list[int], budget: int) -> Iterator[tuple[int, int]]:
