@@ -44,3 +44,16 @@ def word_count(text: Column) -> Column:
 def text_digest(text: Column) -> Column:
     """64-bit key that tells texts of one doc_id apart; null has its own."""
     return F.when(text.isNull(), F.lit(0).cast("bigint")).otherwise(F.xxhash64(text))
+
+
+def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``(doc, id, digest)``: whole rows in one column, whatever their columns
+    are called, beside the key that joins use."""
+    text = F.col(text_col).cast("string")
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
+                       F.col(id_col).alias("id"), text_digest(text).alias("digest"))
+
+
+def same_key(left: str, right: str) -> Column:
+    """Join condition on (id, digest); null ids are equal."""
+    return F.col(f"{left}.id").eqNullSafe(F.col(f"{right}.id")) & (F.col(f"{left}.digest") == F.col(f"{right}.digest"))

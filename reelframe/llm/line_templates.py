@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, text_digest
+from .common import keyed, same_key, stored, text_digest
 
 DEPTH = 3             # leading tokens that choose the leaf; lines with fewer tokens are no templates
 MIN_DOCS = 5
@@ -113,17 +113,15 @@ def drop_recurring(docs: DataFrame, min_docs: int = MIN_DOCS, depth: int = DEPTH
     table stays empty.
     """
     gone = recurring_lines(docs, min_docs, depth, id_col=id_col, text_col=text_col).filter(~F.col("is_first"))
-    gone = stored(gone.groupBy(F.col("id").alias("_id"), F.col("digest").alias("_d")).agg(
-        F.collect_list("pos").alias("_gone")), "dropped")
+    gone = stored(gone.groupBy("id", "digest").agg(F.collect_list("pos").alias("gone")), "dropped")
+    rows = keyed(docs, id_col, text_col).alias("r").join(gone.alias("g"), same_key("r", "g"), "left").select("doc", "gone")
     own = [c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped")]
-    text = F.col(text_col).cast("string")
-    rows = docs.select(*[F.col(f"`{c}`") for c in own], text_digest(text).alias("_digest"))
-    rows = rows.join(gone, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_d")), "left")
+    text = F.col(f"doc.`{text_col}`").cast("string")
     lines, n = F.split(text, "\n"), F.size(F.split(text, "\n"))
-    kept = F.array_except(F.sequence(F.lit(0), n - 1), "_gone")
+    kept = F.array_except(F.sequence(F.lit(0), n - 1), "gone")
     left = F.element_at(F.transform(F.array(lines), lambda a: F.array_join(F.transform(kept, lambda i: F.get(a, i)), "\n")), 1)
-    new = {c: F.col(f"`{c}`") for c in own}
-    new[next(c for c in own if c.lower() == text_col.lower())] = F.when(F.col("_gone").isNull(), text).otherwise(left)
+    new = {c: F.col(f"doc.`{c}`") for c in own}
+    new[next(c for c in own if c.lower() == text_col.lower())] = F.when(F.col("gone").isNull(), text).otherwise(left)
     return rows.select(*[v.alias(c) for c, v in new.items()],
                        F.when(text.isNull(), 0).otherwise(n).cast("bigint").alias("n_lines"),
-                       F.coalesce(F.size("_gone"), F.lit(0)).cast("bigint").alias("n_dropped"))
+                       F.coalesce(F.size("gone"), F.lit(0)).cast("bigint").alias("n_dropped"))

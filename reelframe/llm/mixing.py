@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored, text_digest, word_count
+from .common import keyed, same_key, stored, text_digest, word_count
 
 WEIGHTS = (5, 2, 1)   # of the sources by code point, null last, repeating
 MAX_RATE = 3
@@ -163,11 +163,10 @@ def mixed(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_rate: int = M
     """``docs`` with each row as often as the mix takes it. Of several rows
     equal in id, text and source, one stands for all their copies."""
     plan = copy_plan(docs, weights, max_rate, id_col=id_col, text_col=text_col, source_col=source_col)
-    plan = stored(plan.filter("copies > 0").select(F.col("id").alias("_id"), "digest", F.col("source").alias("_source"),
-                                                   F.col("rows").alias("_rows"), F.col("copies").alias("_copies")), "copies")
-    rows = docs.withColumn("_digest", text_digest(F.col(text_col).cast("string")))
-    taken = rows.join(plan, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("digest"))
-                      & F.col(source_col).eqNullSafe(F.col("_source")))
-    one = taken.filter("_rows = 1").unionByName(taken.filter("_rows > 1").dropDuplicates([id_col, "_digest", source_col]))
-    again = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies")))
-    return one.withColumn("_again", again).select(*[F.col(f"`{c}`") for c in docs.columns])
+    plan = stored(plan.filter("copies > 0").select("id", "digest", "source", "rows", "copies"), "copies")
+    rows = keyed(docs, id_col, text_col).withColumn("source", F.col(f"doc.`{source_col}`"))
+    taken = rows.alias("r").join(plan.alias("p"), same_key("r", "p") & F.col("r.source").eqNullSafe(F.col("p.source")))
+    taken = taken.select("r.*", "p.rows", "p.copies")
+    one = taken.filter("rows = 1").unionByName(taken.filter("rows > 1").dropDuplicates(["id", "digest", "source"]))
+    again = F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))
+    return one.select("doc", again).select("doc.*")

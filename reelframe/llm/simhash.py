@@ -24,7 +24,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored, text_digest
+from .common import keyed, same_key, stored, text_digest
 from .components import connected_components
 
 MAX_ENTRY = 64
@@ -159,9 +159,8 @@ def one_per_group(docs: DataFrame, shingle: int = 3, max_bits: int = 2, *, id_co
     smallest id (null before any), then text digest. Of rows equal in both,
     one stays."""
     found = near_duplicates(docs, shingle, max_bits, id_col=id_col, text_col=text_col)
-    best = found.groupBy("component_id").agg(F.min(F.struct(id_col, "digest")).alias("best"))
-    best = stored(best.select(F.col(f"best.{id_col}").alias("_id"), F.col("best.digest").alias("_digest")).distinct(), "kept")
-    rows = docs.withColumn("_digest", text_digest(F.col(text_col).cast("string")))
-    kept = rows.join(best.withColumnRenamed("_digest", "_d"),
-                     F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_digest") == F.col("_d")), "left_semi")
-    return kept.dropDuplicates([id_col, "_digest"]).drop("_digest")
+    best = found.groupBy("component_id").agg(F.min(F.struct(F.col(id_col).alias("id"), "digest")).alias("best"))
+    best = stored(best.select("best.*").distinct(), "kept")
+    rows = keyed(docs, id_col, text_col).alias("r")
+    kept = rows.join(best.alias("k"), same_key("r", "k"), "left_semi")
+    return kept.dropDuplicates(["id", "digest"]).select("doc.*")
