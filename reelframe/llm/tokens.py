@@ -26,7 +26,7 @@ _ODD = rf"\A{_SPACE}|{_SPACE}{_SPACE}|{_SPACE}\z"
 
 # Pieces kept per worker and values kind (about 150 bytes each), and the
 # longest piece that is kept.
-MEMO_PIECES = 1_000_000
+MEMO_PIECES = 700_000
 MEMO_CHARS = 64
 
 
