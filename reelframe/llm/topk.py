@@ -105,7 +105,8 @@ def search_block(best: _Best, queries, ids, cells, slab: int = SLAB) -> None:
         for i, own in enumerate(best.ids.tolist()):
             q = [int(v) for v in queries[:, i]]
             other = np.flatnonzero(ids != own)
-            best.add(i, [sum(a * b for a, b in zip(q, columns[j])) for j in other], ids[other].tolist())
+            scores = [sum(a * b for a, b in zip(q, columns[j])) for j in other]
+            best.add(i, [max(-2 ** 63, min(2 ** 63 - 1, s)) for s in scores], ids[other].tolist())
         return
     norms = (cells * cells).sum(axis=0)
     for i, own in enumerate(best.ids.tolist()):
@@ -151,7 +152,7 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int = 10, scale: float = 10
     vectors all score 0 with each other; a repeated row of ``vectors`` is a
     candidate each time, a repeated query is answered once, by the union of
     its rows' candidates; empty tables give no rows; scores beyond 64 bits
-    are cut there. Other columns are not read.
+    are cut there before they are ranked. Other columns are not read.
     """
     import pyarrow as pa
 
@@ -170,7 +171,7 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int = 10, scale: float = 10
         import numpy as np
 
         def winners(best: _Best) -> pa.RecordBatch:
-            rows = [(int(q), int(v), max(-2 ** 63, min(2 ** 63 - 1, int(s)))) for q, found in zip(best.ids, best.found) for s, v in found]
+            rows = [(int(q), int(v), int(s)) for q, found in zip(best.ids, best.found) for s, v in found]
             return pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], pa.int64()) for j in range(3)],
                                               ["query_id", "id", "score"])
 

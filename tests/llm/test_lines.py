@@ -1,0 +1,91 @@
+"""Line templates against a plain Python version of the same rules."""
+
+from __future__ import annotations
+
+import re
+from collections import defaultdict
+
+import pytest
+
+from reelframe.llm.line_templates import (CONSTANT_SHARE, DEPTH, FIELD, MIN_CONSTANTS, MIN_DOCS, drop_recurring,
+                                          recurring_lines)
+
+
+def brute(rows, min_docs=MIN_DOCS):
+    """{(id, text): (lines, dropped, text left)} of the distinct rows."""
+    docs = sorted({(i, t) for i, t in rows if t is not None}, key=lambda r: (r[0] is not None, r[0] or 0))
+    lines = []
+    for d, (_, text) in enumerate(docs):
+        for pos, line in enumerate(text.split("\n")):
+            tokens = [FIELD if re.search("[0-9]", w) else w for w in re.findall(r"[^\x20\x09-\x0D]+", line)]
+            if len(tokens) >= DEPTH:
+                lines.append((d, pos, tuple(tokens)))
+    shape_docs = defaultdict(set)
+    for d, _, t in lines:
+        shape_docs[t].add(d)
+    rare = {t for t, ds in shape_docs.items() if len(ds) < min_docs}
+    leaf = lambda t: (len(t), t[:DEPTH])
+    count, kinds = defaultdict(int), defaultdict(int)
+    for t in rare:
+        count[leaf(t)] += len(shape_docs[t])
+        kinds[leaf(t)] += 1
+    place = defaultdict(int)
+    wide = {t for t in rare if count[leaf(t)] >= min_docs and kinds[leaf(t)] > 1}
+    for t in wide:
+        for i, w in enumerate(t):
+            place[leaf(t), i, w] += len(shape_docs[t])
+    template = {t: t for t in shape_docs if t not in rare}
+    for t in wide:
+        fixed = tuple(w if place[leaf(t), i, w] >= min_docs else None for i, w in enumerate(t))
+        n = sum(w is not None for w in fixed)
+        if n >= MIN_CONSTANTS and n >= CONSTANT_SHARE * len(t):
+            template[t] = ("general", leaf(t), tuple((i, w) for i, w in enumerate(fixed) if w is not None))
+    found = defaultdict(list)
+    for d, pos, t in lines:
+        if t in template:
+            found[template[t]].append((d, pos))
+    gone = set()
+    for hits in found.values():
+        if len({d for d, _ in hits}) >= min_docs:
+            gone.update(set(hits) - {min(hits)})
+    out = {}
+    for d, (i, text) in enumerate(docs):
+        parts = text.split("\n")
+        left = [x for pos, x in enumerate(parts) if (d, pos) not in gone]
+        out[i, text] = (len(parts), len(parts) - len(left), "\n".join(left))
+    return out
+
+
+LOGS = ([(i, f"User u{i} logged in from host{i}\nplain text {i % 3} of its own kind {chr(97 + i)}") for i in range(8)]
+        + [(20 + i, f"job {w} ended with state ok today\nanother line number here") for i, w in enumerate("abcdefg")]
+        + [(40 + i, f"connection of the worker {w} was closed by its peer\n\nx y") for i, w in enumerate("pqrstuv")]
+        + [(60, "another  line\tnumber here \nall of it is new"), (61, ""), (62, None), (63, "too short\nab")])
+
+
+@pytest.mark.parametrize("min_docs", [2, 5, 7])
+def test_logs(spark, min_docs):
+    df = spark.createDataFrame(LOGS, "doc_id bigint, text string")
+    got = {r.doc_id: (r.n_lines, r.n_dropped, r.text) for r in drop_recurring(df, min_docs).collect()}
+    want = {i: v for (i, _), v in brute(LOGS, min_docs).items()}
+    assert got == {**want, 62: (0, 0, None)}
+
+
+def test_a_word_that_varies_is_a_field(spark):
+    df = spark.createDataFrame(LOGS, "doc_id bigint, text string")
+    kept = {r.doc_id: r.text for r in drop_recurring(df).collect()}
+    assert kept[40].startswith("connection of") and all(kept[40 + i] == "\nx y" for i in range(1, 7))
+
+
+def test_documents(docs):
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    got = {(r.doc_id, r.old): (r.n_lines, r.n_dropped, r.text) for r in drop_recurring(docs.withColumn("old", docs.text)).collect()}
+    assert got == brute(rows)
+
+
+def test_odd(odd, none):
+    out = drop_recurring(odd, 2)
+    assert [c for c in out.columns if c not in odd.columns] == ["n_dropped"] and out.count() == odd.count()
+    assert {r.text for r in out.filter("doc_id = 5").collect()} == {odd.filter("doc_id = 5").first().text}
+    same = {(r.doc_id, r.text) for r in out.filter("doc_id in (6, 7)").collect()}
+    assert same == {(6, "same text here"), (6, "other text of the same id"), (7, "")}
+    assert drop_recurring(none).count() == 0 and recurring_lines(none).count() == 0

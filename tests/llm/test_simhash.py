@@ -1,0 +1,98 @@
+"""Fingerprints, links and components against brute force."""
+
+from __future__ import annotations
+
+import random
+import re
+
+import pytest
+import xxhash
+
+from reelframe.llm.components import connected_components
+from reelframe.llm.simhash import fingerprints, hamming_links, hex_fingerprint, near_duplicates, one_per_group, simhash
+
+
+def brute_fingerprint(text: str | None, n: int = 3) -> int:
+    words = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+    if not words:
+        return 0
+    hashes = [xxhash.xxh64_intdigest(" ".join(words[i:i + n]).encode(), 42) for i in range(max(1, len(words) - n + 1))]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def roots(values, links):
+    parent = {v: v for v in values}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        if a != b:
+            parent[max(a, b)] = min(a, b)
+    return {v: find(v) for v in values}
+
+
+def signed(v: int) -> int:
+    return v - (1 << 64) if v >> 63 else v
+
+
+@pytest.mark.parametrize("max_entry", [64, 3])
+@pytest.mark.parametrize("max_bits", [0, 1, 2])
+def test_links_connect_all_close_pairs(spark, max_entry, max_bits):
+    rnd = random.Random(1)
+    base = rnd.getrandbits(64)
+    values = {base ^ sum(1 << b for b in rnd.sample(range(64), rnd.choice([1, 2, 3, 4]))) for _ in range(300)}
+    values |= {0, 2**64 - 1, 1 << 63, 1 << 63 | 1, 1 << 31, 1 << 31 | 1 << 32} | {rnd.getrandbits(64) for _ in range(100)}
+    nodes = spark.createDataFrame([(signed(v),) for v in values], "fp bigint")
+    found = {r.node: r.root for r in connected_components(hamming_links(nodes, max_bits, max_entry)).collect()}
+    order = sorted(values)
+    close = [(signed(a), signed(b)) for i, a in enumerate(order) for b in order[i + 1:] if (a ^ b).bit_count() <= max_bits]
+    want = roots([signed(v) for v in values], close)
+    assert {v: found.get(v, v) for v in want} == want
+
+
+@pytest.mark.parametrize("which", ["docs", "odd"])
+def test_components_match_brute_force(request, which):
+    table = request.getfixturevalue(which)
+    rows = [(r.doc_id, brute_fingerprint(r.text)) for r in table.select("doc_id", "text").collect()]
+    values = {v for _, v in rows}
+    order = sorted(values)
+    root = roots(values, [(a, b) for i, a in enumerate(order) for b in order[i + 1:] if (a ^ b).bit_count() <= 2])
+    least: dict = {}
+    for i, v in rows:
+        if i is not None:
+            least[root[v]] = min(i, least.get(root[v], i))
+    got = near_duplicates(table).select("doc_id", hex_fingerprint().alias("f"), "component_id").collect()
+    key = lambda r: (r[0] is None, r[0] or 0, r[1])
+    assert sorted(map(tuple, got), key=key) == sorted(((i, f"{v:016x}", least.get(root[v])) for i, v in rows), key=key)
+
+
+def test_one_stays_of_each_group(odd):
+    kept = one_per_group(odd)
+    assert kept.columns == odd.columns
+    groups = near_duplicates(odd).select("component_id").distinct().count()
+    rows = kept.select("doc_id", "text").collect()
+    assert len(rows) == groups == len({brute_fingerprint(r.text) for r in rows})
+    assert {r.doc_id for r in rows} >= {1, 5, 6, 8}
+
+
+def test_long_texts_in_parts(monkeypatch):
+    import reelframe.llm.simhash as module
+
+    text = " ".join(str(i * i % 97) for i in range(500))
+    whole = simhash(text, 3)
+    monkeypatch.setattr(module, "_HASHES_AT_ONCE", 7)
+    assert simhash(text, 3) == whole == brute_fingerprint(text)
+
+
+def test_a_long_path_is_one_component(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(300, 300), (None, 4)], "a bigint, b bigint")
+    assert {tuple(r) for r in connected_components(edges).collect()} == {(i, 0) for i in range(201)}
+
+
+def test_empty(none, odd):
+    assert near_duplicates(none).count() == 0 and one_per_group(none).count() == 0
+    assert fingerprints(odd, 3).count() == odd.count()
