@@ -6,11 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def strip_brackets(c: Column) -> Column:
-    """Remove ``[`` and ``]`` from a name."""
-    return F.translate(c, "[]", "")
-
-
 def suffixed(c: Column, suffix: str) -> Column:
     return F.concat(c.cast("string"), F.lit(suffix))
 

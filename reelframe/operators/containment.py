@@ -2,32 +2,27 @@
 
 The source semantics are ``genres like '%name%'`` for every distinct genre
 name: a film counts once per name found anywhere in its text, so a name that
-is a substring of another name matches both. ``contains`` gives the same
-test without treating ``%``, ``_`` or quotes in a name as syntax.
-
-Two exact strategies, chosen by the size of the distinct name list:
-
-* inline (at most ``MAX_INLINE_NAMES`` names, checked by a bounded probe):
-  the names become a literal array, each film row is paired with each name
-  (``explode``) and the pairs whose text contains the name are kept
-  (``contains``), then one aggregate. One scan, no join, no broadcast
-  exchange, all inside whole-stage code generation.
-* q-gram join (more names): every name is keyed by its first ``q``
-  characters (shorter names by themselves); every text emits its substrings
-  of the needed lengths with their positions; an equi-join on the key finds
-  candidates and ``instr(text, name) = pos`` verifies them (and keeps only
-  the first occurrence, so each film counts once per name).
-  Work is linear in text length, fully shuffled, and a hot key is split by
-  adaptive skew-join handling instead of landing in one task.
+is a substring of another name matches both. Names are decoded from JSON,
+where the text may spell them with escapes, so a film matches when its text
+or one of its decoded names contains the name. ``contains`` gives the test
+without treating ``%``, ``_`` or quotes in a name as syntax.
+
+One lazy plan for any number of names. Films are counted per distinct text
+first, so all that follows grows with distinct texts. Every distinct text is
+listed with its distinct grams (substrings of ``GRAM`` characters, shorter
+ones only if there are shorter names),
+every name is keyed by its first ``GRAM`` characters, and an equi-join on
+the gram finds candidates; a name has one key and a gram is listed once, so
+a text meets a name at most once. The texts themselves are attached to the
+candidates only then, for the exact test.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.json import exploded_name
-from ..plans.guards import MAX_INLINE_NAMES, bounded_values
+from ..functions.json import entry_names, exploded_name
 
 GRAM = 3
 
@@ -38,65 +33,65 @@ def distinct_names(films: DataFrame, column: str = "genres") -> DataFrame:
             .distinct())
 
 
-def containment_matches(films: DataFrame, names: DataFrame, text: str, *carry: str,
-                        max_inline: int = MAX_INLINE_NAMES, gram: int = GRAM) -> DataFrame:
-    """One row ``(name, *carry)`` per film row and name its ``text`` contains."""
-    listed = bounded_values(names, "name", max_inline)
-    rows = films.filter(F.col(text).isNotNull())
-    if listed is not None:
-        if not listed:
-            return rows.select(F.lit(None).cast("string").alias("name"), *carry).limit(0)
-        # Pair each row with each listed name and keep the contained ones;
-        # explode + filter stay inside whole-stage code generation.
-        candidates = F.array(*[F.lit(n) for n in sorted(listed)])
-        return (rows.select(F.explode(candidates).alias("name"), F.col(text).alias("__t"), *carry)
-                .filter(F.col("__t").contains(F.col("name")))
-                .select("name", *carry))
-    return _gram_join(rows, names, text, carry, gram)
-
-
-def _gram_join(rows: DataFrame, names: DataFrame, text: str, carry: tuple[str, ...],
-               gram: int) -> DataFrame:
-    keyed = names.select("name", F.least(F.length("name"), F.lit(gram)).alias("klen"))
-    keyed = keyed.select("name", "klen", F.substring("name", 1, gram).alias("key"))
-    # Only the key lengths some name needs (at most ``gram`` values).
-    lengths = sorted(bounded_values(keyed.select("klen").distinct(), "klen", gram) or [])
-    if not lengths:
-        return rows.select(F.lit(None).cast("string").alias("name"), *carry).limit(0)
-    t = F.col("__t")
-
-    def at_length(k: int):
-        return lambda p: F.struct(F.lit(k).alias("klen"), p.alias("pos"))
-
-    # One generator over one scan: (length, position) for every needed length.
-    spots = F.flatten(F.array(*[
-        F.transform(F.sequence(F.lit(1), F.greatest(F.length(t) - k + 1, F.lit(1))), at_length(k))
-        for k in lengths]))
-    grams = (rows.select(F.col(text).alias("__t"), *carry)
-             .select("__t", *carry, F.inline(spots))
-             .withColumn("key", F.substring("__t", F.col("pos"), F.col("klen"))))
-    # A candidate survives only at the name's first occurrence in the text, so
-    # every (film, name) match yields exactly one row: no film key and no
-    # de-duplication are needed, and a recomputed task yields the same rows.
-    return (grams.join(keyed, ["key", "klen"])
-            .filter(F.expr("instr(__t, name)") == F.col("pos"))
-            .select("name", *carry))
-
-
-def genre_counts_contains(films: DataFrame, **kw) -> DataFrame:
+def _key(text: Column) -> list[Column]:
+    """128 bits that stand for a text where the text itself need not travel."""
+    return [F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text).alias("k2")]
+
+
+def _grams(text: Column, gram: int, shortest: Column) -> Column:
+    """Distinct substrings of ``gram`` characters, and of fewer (the empty one
+    too) as far as the ``shortest`` name asks for them."""
+    def of_length(k: int) -> Column:
+        def starts(t: Column) -> Column:
+            at = F.sequence(F.lit(1), F.greatest(F.length(t) - k + 1, F.lit(1)))
+            return F.array_distinct(F.transform(at, lambda p: F.substring(t, p, F.lit(k))))
+
+        return F.element_at(F.transform(F.array(text), starts), 1)  # ``text`` is computed once
+
+    none = F.array().cast("array<string>")
+    short = [F.when(shortest <= k, of_length(k) if k else F.array(F.lit(""))).otherwise(none) for k in range(gram)]
+    return F.concat(of_length(gram), *short)
+
+
+def containment_counts(films: DataFrame, names: DataFrame, text: str, *carry: str, gram: int = GRAM) -> DataFrame:
+    """``(name, *carry, count)``: films by the names (distinct, column
+    ``name``) that their JSON ``text`` or one of its decoded names contains.
+
+    Null texts match nothing; text that does not parse is searched as it is;
+    an empty name is contained in every text.
+    """
+    counted = films.filter(F.col(text).isNotNull()).groupBy(F.col(text).alias("_text"), *carry).agg(
+        F.count(F.lit(1)).alias("_n"))
+    # Names spelled differently in the text are searched beside it.
+    hay = F.concat_ws("\u0000", F.col("_text"), entry_names("_text"))
+    shortest = names.agg(F.min(F.length("name")).alias("n")).scalar()
+    grams = counted.select("_text").distinct().select(
+        *_key(F.col("_text")), F.explode(F.array_distinct(_grams(hay, gram, shortest))).alias("gram"))
+    keyed = names.select("name", F.substring("name", 1, gram).alias("gram"))
+    candidates = grams.join(keyed, "gram").select("k1", "k2", "name")
+    texts = counted.select(*_key(F.col("_text")), "_text", "_n", *carry)
+    inside = F.col("_text").contains(F.col("name")) | F.coalesce(
+        F.exists(entry_names("_text"), lambda n: n.contains(F.col("name"))), F.lit(False))
+    return (candidates.join(texts, ["k1", "k2"]).filter(inside)
+            .groupBy("name", *carry).agg(F.sum("_n").alias("count")))
+
+
+def counts_contains(films: DataFrame, column: str, key: str) -> DataFrame:
+    """Films per distinct entry name of ``column``, by containment."""
+    return containment_counts(films, distinct_names(films, column), column).withColumnRenamed("name", key)
+
+
+def genre_counts_contains(films: DataFrame) -> DataFrame:
     """A2: films per genre name by containment. Output ``genre, count``."""
-    hits = containment_matches(films, distinct_names(films), "genres", **kw)
-    return hits.groupBy(F.col("name").alias("genre")).agg(F.count(F.lit(1)).alias("count"))
+    return counts_contains(films, "genres", "genre")
 
 
-def genre_year_counts(films: DataFrame, **kw) -> DataFrame:
+def genre_year_counts(films: DataFrame) -> DataFrame:
     """Films per genre name (containment) and release-year text.
 
     ``release_year`` is the first four characters of the release-date text;
     missing dates form the null group. Ordered by genre, then year.
     """
     dated = films.withColumn("release_year", F.substring("release_date", 1, 4))
-    hits = containment_matches(dated, distinct_names(films), "genres", "release_year", **kw)
-    return (hits.groupBy(F.col("name").alias("genre"), "release_year")
-            .agg(F.count(F.lit(1)).alias("count"))
-            .orderBy("genre", "release_year"))
+    hits = containment_counts(dated, distinct_names(films), "genres", "release_year")
+    return hits.withColumnRenamed("name", "genre").orderBy("genre", "release_year")

@@ -1,13 +1,12 @@
-"""Plan-level helpers: size guards, storage for intermediate tables,
+"""Plan-level helpers: storage for intermediate tables,
 session settings for scale, and plan inspection."""
 
-from .config import SCALE_DEFAULTS, apply_defaults, shuffle_partitions_for
-from .guards import MAX_INLINE_NAMES, bounded_values
+from .config import SCALE_DEFAULTS, apply_defaults
 from .inspect import count_nodes, formatted_plan, physical_plan, python_nodes
-from .storage import checkpoint_dir, ensure_checkpoint_dir, materialize
+from .storage import checkpoint_dir, drop_table, ensure_checkpoint_dir, materialize, shared_folder
 
 __all__ = [
-    "MAX_INLINE_NAMES", "SCALE_DEFAULTS", "apply_defaults", "bounded_values", "checkpoint_dir",
-    "count_nodes", "ensure_checkpoint_dir", "formatted_plan", "materialize", "physical_plan",
-    "python_nodes", "shuffle_partitions_for",
+    "SCALE_DEFAULTS", "apply_defaults", "checkpoint_dir", "count_nodes", "drop_table",
+    "ensure_checkpoint_dir", "formatted_plan", "materialize", "physical_plan", "python_nodes",
+    "shared_folder",
 ]

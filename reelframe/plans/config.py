@@ -21,9 +21,3 @@ def apply_defaults(spark: SparkSession, overrides: dict[str, str] | None = None)
     """Apply ``SCALE_DEFAULTS`` (and ``overrides``) to the caller's session."""
     for key, value in {**SCALE_DEFAULTS, **(overrides or {})}.items():
         spark.conf.set(key, value)
-
-
-def shuffle_partitions_for(input_bytes: int, target_bytes: int = 128 << 20, floor: int = 8) -> int:
-    """Shuffle partitions so each holds about ``target_bytes`` of input;
-    AQE coalesces small ones at run time."""
-    return max(floor, -(-input_bytes // target_bytes))

@@ -8,6 +8,7 @@ in a local test session, does ``ensure_checkpoint_dir`` set one.
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,19 +36,33 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     return fallback
 
 
-def materialize(df: DataFrame, name: str, *, partition_by: str | None = None,
-                base: str | None = None) -> DataFrame:
-    """Write ``df`` as Parquet under the shared checkpoint folder and return
-    a scan of it. Cuts lineage: later jobs read the table instead of
-    recomputing ``df``. ``partition_by`` lays the table out for partition
-    pruning (for example by release year)."""
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``. Only a session in one local
+    process, as in tests, may get a temporary folder when none is set."""
+    found = checkpoint_dir(spark)
+    if not found:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError(f"{CONF_KEY} is not set; configure a shared folder for intermediate tables")
+        found = tempfile.mkdtemp(prefix="reelframe-")
+    return ensure_checkpoint_dir(spark, found)
+
+
+def table_path(spark: SparkSession, name: str) -> str:
+    """A new path for an intermediate table in the shared folder."""
+    return f"{shared_folder(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, name: str, *, path: str | None = None) -> DataFrame:
+    """Write ``df`` as Parquet under the shared folder (or to ``path``) and
+    return a scan of it. Cuts lineage: later jobs read the table instead of
+    recomputing ``df``."""
     spark = df.sparkSession
-    root = base or checkpoint_dir(spark)
-    if not root:
-        raise RuntimeError(f"{CONF_KEY} is not set; configure a shared folder for intermediate tables")
-    path = f"{root.rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+    path = path or table_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def drop_table(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table, wherever Spark's file system has it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
