@@ -1,10 +1,10 @@
 """Sources: the raw film schema, the CSV reader, the typed view and the
 film-shaped view over the driver's tables."""
 
-from .csv import ingest_csv, read_films_csv
+from .csv import ingest_csv, malformed_records, read_films_csv, write_films_csv
 from .schema import JSON_COLUMNS, NAMES_SUFFIX, RAW_COLUMNS, RAW_SCHEMA
 from .testdata import films_from_tables, read_table
-from .typed import rejected_rows, typed_films
+from .typed import rejected_rows, rejected_values, typed_films
 
 
 def load_films(spark, sf_dir: str):
@@ -12,9 +12,10 @@ def load_films(spark, sf_dir: str):
     return typed_films(films_from_tables(spark, sf_dir))
 
 
-def ingest_films(raw, name: str = "films", *, parse_lists: bool = True, partitions: int | None = None):
+def ingest_films(raw, name: str = "films", *, parse_lists: bool = True, partitions: int | None = None,
+                 path: str | None = None):
     """Type the raw film rows once and store them as Parquet in the shared
-    checkpoint folder; return the stored table.
+    checkpoint folder (or at ``path``); return the stored table.
 
     Stored numbers and dates are typed, so analysis predicates such as
     ``budget <> 0`` reach the Parquet reader (row-group skipping) and each
@@ -38,10 +39,11 @@ def ingest_films(raw, name: str = "films", *, parse_lists: bool = True, partitio
     if parse_lists:
         films = films.select("*", *[entry_names(c).alias(c + NAMES_SUFFIX)
                                     for c in JSON_COLUMNS if c in films.columns])
-    return materialize(films.sortWithinPartitions(F.col("release_day")), name)
+    return materialize(films.sortWithinPartitions(F.col("release_day")), name, path=path)
 
 
 __all__ = [
     "JSON_COLUMNS", "RAW_COLUMNS", "RAW_SCHEMA", "films_from_tables", "ingest_csv", "ingest_films",
-    "load_films", "read_films_csv", "read_table", "rejected_rows", "typed_films",
+    "load_films", "malformed_records", "read_films_csv", "read_table", "rejected_rows", "rejected_values",
+    "typed_films", "write_films_csv",
 ]

@@ -9,15 +9,23 @@ converted to Parquet once (``ingest_csv``) and every analysis run on that.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .schema import NULL_MARKER, RAW_SCHEMA
 
+MALFORMED = "_malformed"
 
-def read_films_csv(spark: SparkSession, path: str, *, multiline: bool = True) -> DataFrame:
+
+def read_films_csv(spark: SparkSession, path: str, *, multiline: bool = True, malformed: bool = False) -> DataFrame:
     """Raw film rows, every column text. ``multiline=False`` reproduces the
-    line-wise reader, which splits records at embedded newlines."""
+    line-wise reader, which splits records at embedded newlines. Missing
+    fields of a short record are null; with ``malformed`` the column
+    ``_malformed`` holds the text of records with too few or too many."""
+    schema = StructType([*RAW_SCHEMA.fields, StructField(MALFORMED, StringType())]) if malformed else RAW_SCHEMA
     return (
-        spark.read.schema(RAW_SCHEMA)
+        spark.read.schema(schema)
+        .option("columnNameOfCorruptRecord", MALFORMED)
         .option("header", "false")
         .option("sep", ",")
         .option("quote", '"')
@@ -29,6 +37,18 @@ def read_films_csv(spark: SparkSession, path: str, *, multiline: bool = True) ->
     )
 
 
+def malformed_records(spark: SparkSession, path: str, *, multiline: bool = True) -> DataFrame:
+    """``(id, title, record)`` of the records without exactly 20 fields."""
+    rows = read_films_csv(spark, path, multiline=multiline, malformed=True)
+    return rows.filter(F.col(MALFORMED).isNotNull()).select("id", "title", F.col(MALFORMED).alias("record"))
+
+
+def write_films_csv(raw: DataFrame, path: str) -> None:
+    """Raw film rows as CSV in the form that ``read_films_csv`` reads."""
+    (raw.select(*RAW_SCHEMA.names).write.mode("overwrite").option("header", "false").option("quote", '"')
+     .option("escape", '"').option("nullValue", NULL_MARKER).option("emptyValue", "").csv(path))
+
+
 def ingest_csv(spark: SparkSession, csv_path: str, parquet_path: str) -> DataFrame:
     """Convert the CSV to Parquet once (overwrite), return the Parquet scan.
 

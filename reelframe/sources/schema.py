@@ -19,7 +19,6 @@ RAW_SCHEMA = StructType([StructField(c, StringType(), True) for c in RAW_COLUMNS
 # How the text columns are read.
 BIGINT_COLUMNS: tuple[str, ...] = ("budget", "id", "revenue", "runtime", "vote_count")
 DOUBLE_COLUMNS: tuple[str, ...] = ("popularity", "vote_average")
-DATE_FORMAT = "yyyy-MM-dd"
 NULL_MARKER = "\\N"
 
 # JSON-in-text columns: an array of objects that each carry a "name".

@@ -1,19 +1,18 @@
 """Film-shaped view over the driver's star-schema tables.
 
-One film per order. Line items are joined to part, supplier and the
-supplier's nation, then reduced per order in a single aggregation; orders
-without lines keep zeros and empty arrays. The output has exactly the raw
-source layout (20 text columns, JSON text for the list columns), so it goes
-through the same typed view and JSON parsing as a real film CSV would.
-
-Plan shape: one scan of each table with pruned columns; line items meet
-``part``, ``supplier`` and ``nation`` on equi-joins, which Spark broadcasts
-only when its size statistics for that side fall under
-``autoBroadcastJoinThreshold`` (otherwise sort-merge, with adaptive skew
-splitting). The per-order aggregate shuffles once on the order key and the
-join to ``orders`` reuses that partitioning, so only ``orders`` is shuffled
-for it. Each per-order list is de-duplicated in the map-side partial
-aggregate before the shuffle.
+One film per order. The measures and each list column are separate
+aggregates per order, left-joined to ``orders`` on the order key, which is
+unique in each of them: Spark drops the joins whose columns an analysis does
+not use, so point tables read ``orders`` and ``lineitem`` alone, genres and
+keywords add only ``part``, companies only ``supplier`` and languages
+``supplier`` and ``nation``. Orders without lines keep zeros and empty
+arrays. The output has exactly the raw source layout (20 text columns, JSON
+text for the list columns) and ``release_day`` as a date, so that a year
+range reaches the scan of ``orders``.
+
+Dimension joins are equi-joins that Spark broadcasts only when its size
+statistics for that side fall under ``autoBroadcastJoinThreshold``
+(otherwise sort-merge, with adaptive skew splitting).
 """
 
 from __future__ import annotations
@@ -34,42 +33,42 @@ def _text(c):
     return c.cast("string")
 
 
-def _sorted_set(entry):
-    """Distinct entries of one film in a fixed order, so a recomputed task
-    yields the same JSON text."""
-    return F.array_sort(F.collect_set(entry))
+def _entries(lines: DataFrame, entry, name: str) -> DataFrame:
+    """Per order the distinct entries as JSON text, in a fixed order, so that
+    a recomputed task yields the same text."""
+    return lines.groupBy(F.col("l_orderkey").alias(f"{name}_key")).agg(
+        F.to_json(F.array_sort(F.collect_set(entry))).alias(name))
 
 
 def films_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_totalprice", "o_orderdate", "o_orderstatus", "o_orderpriority")
-    lines = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
-    part = read_table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_name")
-    supplier = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-
-    supplier_nation = supplier.join(nation, supplier.s_nationkey == nation.n_nationkey)
-    detail = (lines.join(part, lines.l_partkey == part.p_partkey)
-              .join(supplier_nation, lines.l_suppkey == supplier_nation.s_suppkey))
-
-    per_order = detail.groupBy("l_orderkey").agg(
+    lines = read_table(spark, sf_dir, "lineitem")
+    part = read_table(spark, sf_dir, "part")
+    supplier = read_table(spark, sf_dir, "supplier")
+    nation = read_table(spark, sf_dir, "nation")
+
+    of_part = lines.join(part, lines.l_partkey == part.p_partkey)
+    of_supplier = lines.join(supplier, lines.l_suppkey == supplier.s_suppkey)
+    of_nation = of_supplier.join(nation, of_supplier.s_nationkey == nation.n_nationkey)
+    measures = lines.groupBy(F.col("l_orderkey").alias("measures_key")).agg(
         F.max("l_tax").alias("popularity"),
         F.round(F.max("l_discount") * 100, 1).alias("vote_average"),
         F.sum("l_quantity").cast("bigint").alias("vote_count"),
         F.floor(F.sum(F.col("l_extendedprice").cast("decimal(12,2)"))).cast("bigint").alias("revenue"),
-        F.max("l_quantity").cast("bigint").alias("runtime"),
-        F.to_json(_sorted_set(F.struct(
-            F.length("p_type").alias("id"), F.col("p_type").alias("name")))).alias("genres"),
-        F.to_json(_sorted_set(F.struct(
-            F.col("l_partkey").alias("id"), F.col("p_name").alias("name")))).alias("keywords"),
-        F.to_json(_sorted_set(F.struct(
-            F.col("s_name").alias("name"), F.col("l_suppkey").alias("id")))).alias("production_companies"),
-        F.to_json(_sorted_set(F.struct(
-            _text(F.col("n_nationkey")).alias("iso_639_1"), F.col("n_name").alias("name")))).alias("spoken_languages"),
-    )
-
-    films = orders.join(per_order, orders.o_orderkey == per_order.l_orderkey, "left")
+        F.max("l_quantity").cast("bigint").alias("runtime"))
+    lists = {
+        "genres": _entries(of_part, F.struct(F.length("p_type").alias("id"), F.col("p_type").alias("name")), "genres"),
+        "keywords": _entries(of_part, F.struct(F.col("l_partkey").alias("id"), F.col("p_name").alias("name")), "keywords"),
+        "production_companies": _entries(of_supplier, F.struct(F.col("s_name").alias("name"), F.col("l_suppkey").alias("id")),
+                                         "production_companies"),
+        "spoken_languages": _entries(of_nation, F.struct(_text(F.col("n_nationkey")).alias("iso_639_1"),
+                                                         F.col("n_name").alias("name")), "spoken_languages"),
+    }
+
+    films = orders.join(measures, orders.o_orderkey == measures.measures_key, "left")
+    for name, entries in lists.items():
+        films = films.join(entries, films.o_orderkey == entries[f"{name}_key"], "left")
     empty = F.lit("[]")
     zero = F.lit(0)
     out = {
@@ -94,4 +93,4 @@ def films_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         "vote_average": _text(F.coalesce(F.col("vote_average"), F.lit(0.0))),
         "vote_count": _text(F.coalesce(F.col("vote_count"), zero.cast("bigint"))),
     }
-    return films.select(*[out[c].alias(c) for c in RAW_COLUMNS])
+    return films.select(*[out[c].alias(c) for c in RAW_COLUMNS], F.col("o_orderdate").cast("date").alias("release_day"))

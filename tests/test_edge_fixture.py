@@ -6,7 +6,7 @@ import pytest
 
 from edge_fixture import record_ids, write_csv
 from reelframe import operators as op
-from reelframe.sources import read_films_csv, rejected_rows, typed_films
+from reelframe.sources import malformed_records, read_films_csv, rejected_rows, rejected_values, typed_films
 
 
 @pytest.fixture(scope="module")
@@ -34,15 +34,6 @@ def test_containment_counts_a2(films):
     assert as_dict(op.genre_counts_contains(films)) == {"Action": 4, "Drama": 6, "Music": 2, "Musical": 2}
 
 
-def test_containment_gram_join_matches_inline(films):
-    inline = as_dict(op.genre_counts_contains(films))
-    grams = as_dict(op.genre_counts_contains(films, max_inline=0))
-    assert grams == inline
-    a = sorted(tuple(r) for r in op.genre_year_counts(films).collect())
-    b = sorted(tuple(r) for r in op.genre_year_counts(films, max_inline=1).collect())
-    assert a == b
-
-
 def test_budget_top_tie_break_a5(films):
     got = [(r.budget, r["count"]) for r in op.budget_top(films, 10).collect()]
     assert got == [(300, 3), (100, 2), (200, 2), (400, 2), (500, 2), (600, 1)]
@@ -134,3 +125,36 @@ def test_genre_year_matrix_fills_missing_cells(films):
     grid = {r.genre: r.asDict() for r in op.genre_year_matrix(films, 2009, 2011).collect()}
     assert grid["Drama"]["2011"] == 1.0 and grid["Action"]["2011"] == 0.0
     assert grid["Action"]["2009"] == pytest.approx(1 / 3)
+
+
+def test_readable_numbers_and_dates_are_kept(spark):
+    rows = [("1", "a", "10.0", "90.0", "2009-1-5", "7.5"), ("2", "b", "1e3", " 95 ", "2009", "8"), ("3", "c", "ten", "", "2009-13-40", "x"),
+            ("4", "d", None, "99999999999999999999999", "", None)]
+    raw = spark.createDataFrame(rows, "id string, title string, budget string, runtime string, release_date string, vote_average string")
+    got = {r.id: (r.budget, r.runtime, str(r.release_day), r.vote_average) for r in typed_films(raw).collect()}
+    assert got == {1: (10, 90, "2009-01-05", 7.5), 2: (1000, 95, "2009-01-01", 8.0), 3: (None, None, "None", None),
+                   4: (None, None, "None", None)}
+    bad = {(r.id, r.column): r.value for r in rejected_values(raw).collect()}
+    assert bad == {("3", "budget"): "ten", ("3", "release_date"): "2009-13-40", ("3", "vote_average"): "x",
+                   ("4", "runtime"): "99999999999999999999999"}
+
+
+def test_rejected_values_of_the_fixture(spark, tmp_path):
+    raw = read_films_csv(spark, write_csv(str(tmp_path)))
+    bad = {(r.title, r.column) for r in rejected_values(raw).collect()}
+    assert {("BadJson", "genres"), ("BadDate", "release_date"), ("title", "budget"), ("title", "release_date")} <= bad
+    assert {t for t, _ in bad} == {"BadJson", "BadDate", "title"}
+
+
+def test_short_and_long_records_are_reported(spark, tmp_path):
+    path = tmp_path / "films.csv"
+    with open(write_csv(str(tmp_path))) as whole:
+        text = whole.read()
+    path.write_text("1,[],x,77\n" + text)
+    assert read_films_csv(spark, str(path)).count() == 15
+    assert [r.record for r in malformed_records(spark, str(path)).collect()] == ["1,[],x,77"]
+
+
+def test_matrix_is_cut_not_rounded(films):
+    grid = {r.genre: r.asDict() for r in op.genre_year_matrix(films, 2009, 2009, decimals=3).collect()}
+    assert grid["Drama"]["2009"] == 0.666 and grid["Action"]["2009"] == 0.333
