@@ -1,7 +1,7 @@
 """Sinks and result encodings."""
 
-from .encode import console_lines, json_document, json_lines, parallel_arrays
-from .write import DEFAULT_JOBS, run_jobs, write_json
+from .encode import array_lines, console_lines, json_document, json_lines, parallel_arrays
+from .write import DEFAULT_JOBS, Job, run_jobs, write_json, write_text
 
-__all__ = ["DEFAULT_JOBS", "console_lines", "json_document", "json_lines", "parallel_arrays",
-           "run_jobs", "write_json"]
+__all__ = ["DEFAULT_JOBS", "Job", "array_lines", "console_lines", "json_document", "json_lines", "parallel_arrays",
+           "run_jobs", "write_json", "write_text"]

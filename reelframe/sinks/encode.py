@@ -15,10 +15,21 @@ from pyspark.sql import functions as F
 
 from ..functions.text import delimited
 
+NULLS = {"ignoreNullFields": "false"}
+
 
 def json_lines(df: DataFrame, column: str = "json") -> DataFrame:
-    """One JSON object text per row."""
-    return df.select(F.to_json(F.struct(*df.columns)).alias(column))
+    """One JSON object text per row; null fields are written as null."""
+    return df.select(F.to_json(F.struct(*df.columns), NULLS).alias(column))
+
+
+def array_lines(df: DataFrame, column: str = "json") -> DataFrame:
+    """One JSON array text per row, ``["title", 1, 2.5]``."""
+    def value(c: str) -> Column:
+        one = F.to_json(F.array(F.col(c)), NULLS)
+        return F.substring(one, 2, F.length(one) - 2)
+
+    return df.select(F.concat(F.lit("["), F.concat_ws(",", *(value(c) for c in df.columns)), F.lit("]")).alias(column))
 
 
 def _comparator(keys: Sequence[str], descending: Sequence[bool]):
@@ -46,14 +57,12 @@ def json_document(df: DataFrame, bound: int, *, order: Sequence[str] = (),
     arr = F.col("_rows")
     if order:
         arr = F.array_sort(arr, _comparator(order, desc))
-    return rows.select(F.to_json(arr).alias(column))
+    return rows.select(F.to_json(arr, NULLS).alias(column))
 
 
-def parallel_arrays(df: DataFrame, key: str, value: str, bound: int = 10_000) -> DataFrame:
+def parallel_arrays(df: DataFrame, key: str, value: str, bound: int) -> DataFrame:
     """A keys array and a values array, both in key order, as JSON texts.
-
-    The default bound fits one row per calendar year of a four-digit date.
-    """
+    ``bound`` follows from how ``df`` was made: a k, or a range of years."""
     rows = df.select(key, value).limit(bound + 1).agg(
         _gathered(df.select(key, value), bound).alias("_rows"))
     ordered = F.array_sort("_rows")

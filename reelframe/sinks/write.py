@@ -1,41 +1,69 @@
 """Write results, replacing what is there, and the job registry.
 
 Writes go through Spark's file committer: each task writes its own part
-file and the job commits atomically, so a lost executor only reruns its
-tasks. Nothing is assembled on the driver.
+file, so a lost executor only reruns its tasks. Overwriting deletes the old
+result before the job runs: a job that fails leaves none. Nothing is
+assembled on the driver, and a result is gathered into one document only
+where a k bounds its rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
 from .. import operators as op
+from .encode import array_lines, json_document, json_lines
 
 
-def write_json(df: DataFrame, path: str, *, single_file: bool = False) -> None:
-    """JSON lines at ``path`` (overwrite). ``single_file`` is for
-    bounded results only (top-k, shapes) and coalesces to one part file."""
-    out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").json(path)
+def write_json(df: DataFrame, path: str) -> None:
+    """JSON lines at ``path`` (overwrite), null fields included."""
+    df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
-# The analyses the reference exports as files, with their file names.
-Job = tuple[Callable[[DataFrame], DataFrame], str, bool]
+def write_text(df: DataFrame, path: str) -> None:
+    """One text column as lines at ``path`` (overwrite)."""
+    df.write.mode("overwrite").text(path)
+
+
+@dataclass(frozen=True)
+class Job:
+    """An analysis and the file it is exported to. With ``bound`` (a k) the
+    file is one JSON array of at most so many rows, in ``order``; without,
+    it has one JSON value per line. ``points`` writes rows as arrays."""
+
+    analysis: Callable[[DataFrame], DataFrame]
+    file: str
+    bound: int | None = None
+    order: Sequence[str] = ()
+    descending: Sequence[bool] = ()
+    points: bool = False
+
+    def write(self, films: DataFrame, base: str) -> str:
+        df, path = self.analysis(films), f"{base.rstrip('/')}/{self.file}"
+        if self.bound is not None:
+            write_text(json_document(df, self.bound, order=self.order, descending=self.descending), path)
+        else:
+            write_text(array_lines(df) if self.points else json_lines(df), path)
+        return path
+
+
+# The exported files' names and forms, as a consumer expects them.
 DEFAULT_JOBS: Mapping[str, Job] = {
-    "genres": (op.genre_counts, "genres.json", True),
-    "keywords": (lambda f: op.keyword_top(f, 100, key="x", count="value"), "keywords.json", True),
-    "company_count": (lambda f: op.company_top(f, 10, key="company"), "company_count.json", True),
-    "budget": (lambda f: op.budget_ordered(f), "budget.json", True),
-    "language": (lambda f: op.language_top(f, 10, drop_blank=True), "language.json", True),
-    "runtime": (lambda f: op.runtime_common(f, 100, strict=False), "runtime.json", True),
-    "budget_vote": (op.budget_vs_rating_voted, "budget_vote.json", False),
-    "date_vote": (op.release_vs_rating_voted, "date_vote.json", False),
-    "pop_vote": (op.popularity_vs_rating_voted, "pop_vote.json", False),
-    "movies_vote": (lambda f: op.company_rating(f, drop_unrated=False), "movies_vote.json", False),
-    "budget_revenue": (lambda f: op.budget_vs_revenue(f, require_title=False), "budget_revenue.json", False),
+    "genres": Job(op.genre_counts, "genres.json"),
+    "keywords": Job(lambda f: op.keyword_top(f, 100, key="x", count="value"), "keywords.json", 100, ("value", "x"), (True, False)),
+    "company_count": Job(lambda f: op.company_top(f, 10, key="company"), "company_count.json", 10, ("count", "company"), (True, False)),
+    "budget": Job(lambda f: op.budget_ordered(f, k=10), "budget.json", 10, ("count", "budget"), (True, False)),
+    "language": Job(lambda f: op.language_top(f, 10, drop_blank=True), "language.json", 10, ("count", "language"), (True, False)),
+    "runtime": Job(lambda f: op.runtime_common(f, 100, strict=False), "runtime.json"),
+    "budget_vote": Job(op.budget_vs_rating_voted, "budget_vote.json", points=True),
+    "date_vote": Job(op.release_vs_rating_voted, "date_vote.json", points=True),
+    "pop_vote": Job(op.popularity_vs_rating_voted, "pop_vote.json", points=True),
+    "movies_vote": Job(lambda f: op.company_rating(f, drop_unrated=False), "movies_vote.json", points=True),
+    "budget_revenue": Job(lambda f: op.budget_vs_revenue(f, require_title=False), "budget_revenue.json", points=True),
 }
 
 
@@ -51,10 +79,8 @@ def run_jobs(films: DataFrame, base: str, jobs: Mapping[str, Job] = DEFAULT_JOBS
     job scans a table rather than recomputing the input.
     """
     def one(item):
-        name, (fn, file_name, bounded) = item
-        path = f"{base.rstrip('/')}/{file_name}"
-        write_json(fn(films), path, single_file=bounded)
-        return name, path
+        name, job = item
+        return name, job.write(films, base)
 
     if parallelism <= 1:
         return dict(one(item) for item in jobs.items())

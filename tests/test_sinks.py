@@ -35,7 +35,7 @@ def test_empty_document_is_empty_array(films):
 
 
 def test_parallel_arrays_in_key_order(films):
-    row = sinks.parallel_arrays(op.revenue_total_by_year(films), "year", "total_revenue").collect()[0]
+    row = sinks.parallel_arrays(op.revenue_total_by_year(films, 1995, 2001), "year", "total_revenue", 7).collect()[0]
     years, values = json.loads(row["keys"]), json.loads(row["values"])
     expected = [(r.year, r.total_revenue) for r in op.revenue_total_by_year(films).collect()]
     assert list(zip(years, values)) == expected
@@ -50,8 +50,24 @@ def test_console_lines(films):
 def test_run_jobs_writes_every_file(films, scratch, parallelism):
     written = sinks.run_jobs(films, scratch, parallelism=parallelism)
     assert set(written) == set(sinks.DEFAULT_JOBS)
-    for path in written.values():
+    texts = {}
+    for name, path in written.items():
         assert os.path.isdir(path) and any(f.startswith("part-") for f in os.listdir(path))
+        texts[name] = [x for f in sorted(os.listdir(path)) if f.startswith("part-") for x in open(os.path.join(path, f))]
+    [budgets] = texts["budget"]  # one JSON array
+    assert json.loads(budgets) == [r.asDict() for r in op.budget_ordered(films, k=10).collect()]
+    points = sorted(map(tuple, map(json.loads, texts["budget_vote"])))
+    assert points == sorted(map(tuple, op.budget_vs_rating_voted(films).collect()))
+    assert {len(json.loads(x)) for x in texts["movies_vote"]} == {3}
+
+
+def test_null_fields_are_written(spark, scratch):
+    df = spark.createDataFrame([("A", None, 'q"'), (None, 2.5, "b")], "title string, popularity double, note string")
+    assert [r.json for r in sinks.json_lines(df).collect()] == ['{"title":"A","popularity":null,"note":"q\\""}', '{"title":null,"popularity":2.5,"note":"b"}']
+    assert [json.loads(r.json) for r in sinks.array_lines(df).collect()] == [["A", None, 'q"'], [None, 2.5, "b"]]
+    sinks.write_json(df, scratch + "/nulls")
+    back = [json.loads(x) for f in sorted(os.listdir(scratch + "/nulls")) if f.startswith("part-") for x in open(os.path.join(scratch, "nulls", f))]
+    assert sorted(map(str, back)) == sorted(map(str, [r.asDict() for r in df.collect()]))
 
 
 def test_command_line_runs_selected_jobs(spark, scratch):
@@ -64,3 +80,21 @@ def test_command_line_runs_selected_jobs(spark, scratch):
     rows = [json.loads(line) for f in sorted(os.listdir(written["genres"])) if f.startswith("part-")
             for line in open(os.path.join(written["genres"], f))]
     assert {r["genre"]: r["count"] for r in rows} == {"Action": 3, "Drama": 7, "Music": 1, "Musical": 2}
+
+
+def test_command_line_reuses_a_stored_table_and_drops_its_own(spark, scratch):
+    from edge_fixture import write_csv
+    from reelframe.__main__ import main
+    from reelframe.plans import checkpoint_dir
+
+    tables = os.path.join(checkpoint_dir(spark).replace("file:", ""), "tables")
+    before = set(os.listdir(tables)) if os.path.isdir(tables) else set()
+    csv_path, stored = write_csv(scratch), os.path.join(scratch, "stored")
+    main(["--csv", csv_path, "--out", os.path.join(scratch, "a"), "--jobs", "genres"])
+    assert (set(os.listdir(tables)) if os.path.isdir(tables) else set()) == before
+    main(["--csv", csv_path, "--out", os.path.join(scratch, "b"), "--jobs", "genres", "--stored", stored])
+    os.rename(csv_path, csv_path + ".gone")
+    main(["--csv", csv_path, "--out", os.path.join(scratch, "c"), "--jobs", "genres", "--stored", stored])
+    read = lambda d: sorted(x for f in os.listdir(os.path.join(scratch, d, "genres.json")) if f.startswith("part-")
+                            for x in open(os.path.join(scratch, d, "genres.json", f)))
+    assert read("a") == read("b") == read("c") != []

@@ -5,7 +5,7 @@ import os
 from edge_fixture import write_csv
 from reelframe import operators as op
 from reelframe.plans import (SCALE_DEFAULTS, apply_defaults, checkpoint_dir, ensure_checkpoint_dir,
-                             materialize, shuffle_partitions_for)
+                             drop_table, materialize)
 from reelframe.sources import ingest_csv, read_films_csv, typed_films
 
 
@@ -35,6 +35,14 @@ def test_materialize_cuts_lineage_into_the_shared_folder(spark):
     assert sorted(r.id for r in stored.collect()) == list(range(100))
 
 
+def test_dropped_tables_are_gone(spark, scratch):
+    path = os.path.join(scratch, "table")
+    materialize(spark.range(3).toDF("id"), "x", path=path)
+    assert os.path.isdir(path)
+    drop_table(spark, path)
+    assert not os.path.exists(path)
+
+
 def test_settings_helpers(spark):
     before = {k: spark.conf.get(k, None) for k in SCALE_DEFAULTS}
     try:
@@ -44,8 +52,6 @@ def test_settings_helpers(spark):
         for k, v in before.items():
             if v is not None:
                 spark.conf.set(k, v)
-    assert shuffle_partitions_for(10 << 40) == 81920  # 10 TiB at 128 MiB each
-    assert shuffle_partitions_for(1 << 20) == 8
 
 
 def test_ingest_spreads_few_large_files(spark, scratch):
