@@ -11,32 +11,26 @@ parses it back, so the two paths share no code.
 from __future__ import annotations
 
 _BASE = """
-WITH li AS (
-  SELECT l.l_orderkey AS k, l.l_partkey, l.l_suppkey, l.l_quantity, l.l_extendedprice,
-         l.l_discount, l.l_tax, p.p_type, p.p_name, s.s_name, n.n_nationkey, n.n_name
-  FROM lineitem l
-  JOIN part p ON p.p_partkey = l.l_partkey
-  JOIN supplier s ON s.s_suppkey = l.l_suppkey
-  JOIN nation n ON n.n_nationkey = s.s_nationkey
-),
-f AS (
+WITH f AS (
   SELECT o.o_orderkey AS id,
          'Order#' || CAST(o.o_orderkey AS VARCHAR) AS title,
          CAST(floor(o.o_totalprice / 10000) * 10000 AS BIGINT) AS budget,
          strftime(o.o_orderdate, '%Y-%m-%d') AS release_date,
          CAST(o.o_orderdate AS DATE) AS release_day,
-         coalesce(max(li.l_tax), 0.0) AS popularity,
-         coalesce(round(max(li.l_discount) * 100, 1), 0.0) AS vote_average,
-         coalesce(CAST(sum(li.l_quantity) AS BIGINT), 0) AS vote_count,
-         coalesce(CAST(floor(sum(CAST(li.l_extendedprice AS DECIMAL(12,2)))) AS BIGINT), 0) AS revenue,
-         coalesce(CAST(max(li.l_quantity) AS BIGINT), 0) AS runtime
-  FROM orders o LEFT JOIN li ON li.k = o.o_orderkey
+         coalesce(max(l.l_tax), 0.0) AS popularity,
+         coalesce(round(max(l.l_discount) * 100, 1), 0.0) AS vote_average,
+         coalesce(CAST(sum(l.l_quantity) AS BIGINT), 0) AS vote_count,
+         coalesce(CAST(floor(sum(CAST(l.l_extendedprice AS DECIMAL(12,2)))) AS BIGINT), 0) AS revenue,
+         coalesce(CAST(max(l.l_quantity) AS BIGINT), 0) AS runtime
+  FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey
   GROUP BY o.o_orderkey, o.o_totalprice, o.o_orderdate
 ),
-g AS (SELECT DISTINCT k, p_type FROM li),
-kw AS (SELECT DISTINCT k, l_partkey, p_name FROM li),
-co AS (SELECT DISTINCT k, l_suppkey, s_name FROM li),
-la AS (SELECT DISTINCT k, n_nationkey, n_name FROM li)
+o AS (SELECT o_orderkey AS k FROM orders),
+g AS (SELECT DISTINCT k, p_type FROM o JOIN lineitem ON l_orderkey = k JOIN part ON p_partkey = l_partkey),
+kw AS (SELECT DISTINCT k, l_partkey, p_name FROM o JOIN lineitem ON l_orderkey = k JOIN part ON p_partkey = l_partkey),
+co AS (SELECT DISTINCT k, l_suppkey, s_name FROM o JOIN lineitem ON l_orderkey = k JOIN supplier ON s_suppkey = l_suppkey),
+la AS (SELECT DISTINCT k, n_nationkey, n_name FROM o JOIN lineitem ON l_orderkey = k
+       JOIN supplier ON s_suppkey = l_suppkey JOIN nation ON n_nationkey = s_nationkey)
 """
 
 _GENRE_YEARS = """,
@@ -181,6 +175,32 @@ ORACLE: dict[str, str] = {
         coalesce(max(CASE WHEN year = 1999 THEN ratio END), 0.0) AS "1999",
         coalesce(max(CASE WHEN year = 2000 THEN ratio END), 0.0) AS "2000"
         FROM gs GROUP BY genre""",
+    "language_counts_contains": _BASE + """SELECT n.n_name AS language, count(DISTINCT la.k) AS count
+        FROM la JOIN (SELECT DISTINCT n_name FROM la) n ON contains(la.n_name, n.n_name) GROUP BY 1""",
+    "budget_ordered_rare": _BASE + """SELECT budget, count(*) AS count FROM f WHERE budget <> 0
+        GROUP BY budget ORDER BY count, budget LIMIT 10""",
+    "budget_rating_millions": _BASE + """SELECT title, budget / 1e6 AS budget_millions, vote_average FROM f
+        WHERE title <> '' AND vote_average <> 0 AND budget <> 0""",
+    "budget_popularity_millions": _BASE + """SELECT title, budget / 1e6 AS budget_millions, popularity FROM f
+        WHERE title <> '' AND popularity <> 0 AND budget <> 0""",
+    "budget_votes_millions": _BASE + """SELECT title, budget / 1e6 AS budget_millions, vote_count FROM f
+        WHERE title <> '' AND vote_count <> 0 AND budget <> 0""",
+    "budget_top_millions": _BASE + _BUDGET_TOP + "SELECT budget / 1e6 AS budget_millions, count FROM bt",
+    "language_top_percent": _BASE + """, lt AS (
+          SELECT n_name AS language, count(*) AS count FROM la
+          GROUP BY n_name ORDER BY count DESC, language LIMIT 10),
+        sh AS (SELECT language, count, CAST(count AS DOUBLE) / CAST(sum(count) OVER () AS DOUBLE) AS share FROM lt)
+        SELECT language, count, share, round(share * 100, 2) AS percent FROM sh""",
+    "genre_year_matrix_cut": _BASE + _GENRE_YEARS + "SELECT genre, " + ", ".join(
+        f"""coalesce(max(CASE WHEN year = {y} THEN floor(ratio * 1000) / 1000.0::DOUBLE END), 0.0) AS "{y}\""""
+        for y in range(1996, 2001)) + " FROM gs GROUP BY genre",
+    "revenue_mean_arrays": _BASE + _REVENUE_YEARS + """, rt AS (
+          SELECT year, CAST(floor(CAST(sum(revenue) AS DOUBLE) / CAST(count(*) AS DOUBLE)) AS BIGINT) AS avg_revenue
+          FROM ry GROUP BY year)
+        SELECT to_json(list(year ORDER BY year))::VARCHAR AS keys,
+               to_json(list(avg_revenue ORDER BY year))::VARCHAR AS "values" FROM rt""",
+    "csv_roundtrip": _BASE + "SELECT p_name AS keyword, count(*) AS count FROM kw GROUP BY p_name",
+    "json_sink_roundtrip": _BASE + "SELECT title, budget, vote_average FROM f WHERE budget <> 0 AND vote_count > 100",
     "genre_counts_sql": _BASE + "SELECT p_type AS genre, count(*) AS count FROM g GROUP BY p_type",
     "runtime_common_sql": _BASE + """SELECT runtime, count(*) AS count FROM f WHERE runtime <> 0
         GROUP BY runtime HAVING count(*) > 101""",

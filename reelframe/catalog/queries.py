@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from .. import operators as op
 from .. import sinks
-from ..sources import load_films
+from ..plans.storage import table_path
+from ..sources import films_from_tables, load_films, read_films_csv, typed_films, write_films_csv
 
 Builder = Callable[[SparkSession, str], DataFrame]
 
@@ -23,6 +24,7 @@ Builder = Callable[[SparkSession, str], DataFrame]
 KEYWORD_K = 20          # exercises ties at the cut (64 distinct keyword names)
 RUNTIME_THRESHOLD = 101  # at sf0.01 one runtime occurs exactly 101 times, so > and >= differ
 SHARE_YEARS = (1996, 2000)
+REVENUE_YEARS = (1900, 2100)  # the range bounds the arrays' length
 
 
 def _builder(fn: Callable[[DataFrame], DataFrame]) -> Builder:
@@ -32,6 +34,10 @@ def _builder(fn: Callable[[DataFrame], DataFrame]) -> Builder:
     return build
 
 
+def _span(years: tuple[int, int]) -> int:
+    return years[1] - years[0] + 1
+
+
 def _rounded(df: DataFrame, column: str, decimals: int) -> DataFrame:
     return df.withColumn(column, F.round(column, decimals))
 
@@ -43,6 +49,8 @@ ANALYSES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "keyword_top": lambda f: op.keyword_top(f, KEYWORD_K),
     "keyword_top_xv": lambda f: op.keyword_top(f, 100, key="x", count="value"),
     "budget_top": lambda f: op.budget_top(f, 10),
+    "language_counts_contains": lambda f: op.counts_contains(f, "spoken_languages", "language"),
+    "budget_ordered_rare": lambda f: op.budget_ordered(f, "count", True, 10),
     "budget_ordered": lambda f: op.budget_ordered(f, "budget", True, 10),
     "runtime_common": lambda f: op.runtime_common(f, RUNTIME_THRESHOLD, strict=True),
     "runtime_common_inclusive": lambda f: op.runtime_common(f, RUNTIME_THRESHOLD, strict=False),
@@ -73,6 +81,12 @@ ANALYSES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "genre_year_counts": op.genre_year_counts,
     # C1-C8 chart shapes
     "budget_revenue_millions": op.millions,
+    "budget_rating_millions": lambda f: op.in_millions(op.budget_vs_rating(f), "budget"),
+    "budget_popularity_millions": lambda f: op.in_millions(op.budget_vs_popularity(f), "budget"),
+    "budget_votes_millions": lambda f: op.in_millions(op.budget_vs_votes(f), "budget"),
+    "budget_top_millions": lambda f: op.in_millions(op.budget_top(f, 10), "budget"),
+    "language_top_percent": lambda f: op.language_top_share(f, 10, decimals=2),
+    "genre_year_matrix_cut": lambda f: op.genre_year_matrix(f, *SHARE_YEARS, decimals=3),
     "language_top_share": lambda f: op.language_top_share(f, 10),
     "runtime_labels": lambda f: op.runtime_labels(f, RUNTIME_THRESHOLD),
     "keyword_weight": lambda f: op.keyword_weight(f, 100),
@@ -87,9 +101,30 @@ ANALYSES: dict[str, Callable[[DataFrame], DataFrame]] = {
         op.budget_top(f, 10), 10, order=["count", "budget"], descending=[True, False]),
     "budget_top_json_lines": lambda f: sinks.json_lines(op.budget_top(f, 10)),
     "revenue_total_arrays": lambda f: sinks.parallel_arrays(
-        op.revenue_total_by_year(f), "year", "total_revenue"),
+        op.revenue_total_by_year(f, *REVENUE_YEARS), "year", "total_revenue", _span(REVENUE_YEARS)),
+    "revenue_mean_arrays": lambda f: sinks.parallel_arrays(
+        op.revenue_mean_by_year(f, *REVENUE_YEARS).withColumn("avg_revenue", F.floor("avg_revenue")),
+        "year", "avg_revenue", _span(REVENUE_YEARS)),
     "genre_year_lines": lambda f: sinks.console_lines(
         op.genre_year_counts(f), "genre", "release_year", "count"),
 }
 
-QUERIES: dict[str, Builder] = {name: _builder(fn) for name, fn in ANALYSES.items()}
+def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The film rows written as CSV, read again and counted by keyword."""
+    path = table_path(spark, "films-csv")
+    write_films_csv(films_from_tables(spark, sf_dir), path)
+    return op.entry_counts(typed_films(read_films_csv(spark, path)), "keywords", key="keyword")
+
+
+def json_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A point table written as JSON lines and read again."""
+    path, points = table_path(spark, "points-json"), op.budget_vs_rating_voted(load_films(spark, sf_dir))
+    sinks.write_json(points, path)
+    return spark.read.schema(points.schema).json(path)
+
+
+QUERIES: dict[str, Builder] = {
+    **{name: _builder(fn) for name, fn in ANALYSES.items()},
+    "csv_roundtrip": csv_roundtrip,
+    "json_sink_roundtrip": json_sink_roundtrip,
+}

@@ -1,13 +1,12 @@
 """The reshaping the chart pages apply to analysis results, as columns.
 
-Shares and min-max weights are computed over the listed top-k rows only.
-Those rows come out of ``TakeOrderedAndProject`` (at most ``k`` rows), so the
-window that carries their total or range spans a set bounded by ``k``.
+Shares and min-max weights are computed over the listed rows only, with
+their total or range as a scalar subquery over the same ranking.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import suffixed, unpadded_date
@@ -17,23 +16,22 @@ from .ratings import company_rating
 from .trends import genre_share_by_year
 
 
-
-def _listed() -> Window:
-    """A window over all listed rows (the input is a top-k, so at most k rows)."""
-    return Window.partitionBy()
+def in_millions(points: DataFrame, *columns: str) -> DataFrame:
+    """``points`` with each of ``columns`` as ``<column>_millions``."""
+    return points.select(*[(F.col(c) / F.lit(1e6)).alias(f"{c}_millions") if c in columns else F.col(c) for c in points.columns])
 
 
 def millions(films: DataFrame) -> DataFrame:
-    """Budget vs. revenue points with both money columns in millions."""
-    pts = budget_vs_revenue(films)
-    return pts.select("title", (F.col("budget") / F.lit(1e6)).alias("budget_millions"),
-                      (F.col("revenue") / F.lit(1e6)).alias("revenue_millions"))
+    """C1 over A15: budget vs. revenue points, both money columns in millions."""
+    return in_millions(budget_vs_revenue(films), "budget", "revenue")
 
 
 def top_share(top: DataFrame, count: str = "count", *, decimals: int | None = None) -> DataFrame:
-    """Each listed row's share of the listed total (``top`` must be a top-k)."""
-    total = F.sum(count).over(_listed()).cast("double")
-    out = top.withColumn("share", F.col(count).cast("double") / total)
+    """Each listed row's share of the listed total, and with ``decimals``
+    its percentage rounded to so many places. The total is a scalar
+    subquery, so ``top`` may have any size."""
+    total = top.agg(F.sum(count).alias("n")).scalar().cast("double")
+    out = top.withColumn("share", F.try_divide(F.col(count).cast("double"), total))
     if decimals is not None:
         out = out.withColumn("percent", F.round(F.col("share") * 100, decimals))
     return out
@@ -54,9 +52,10 @@ def runtime_labels(films: DataFrame, threshold: int = 100, *, strict: bool = Tru
 
 def scaled(top: DataFrame, count: str = "count", lo: float = 24.0, hi: float = 40.0) -> DataFrame:
     """C4: min-max scale ``count`` over the listed rows to ``[lo, hi]``;
-    null when every listed count is equal."""
-    mn = F.min(count).over(_listed())
-    mx = F.max(count).over(_listed())
+    null when every listed count is equal. The range is two scalar
+    subqueries, so ``top`` may have any size."""
+    mn = top.agg(F.min(count).alias("n")).scalar()
+    mx = top.agg(F.max(count).alias("n")).scalar()
     frac = F.try_divide((F.col(count) - mn).cast("double"), (mx - mn).cast("double"))
     return top.withColumn("weight", frac * F.lit(hi - lo) + F.lit(lo))
 
@@ -79,11 +78,13 @@ def company_rating_rounded(films: DataFrame, decimals: int = 2, min_votes: int =
 
 def genre_year_matrix(films: DataFrame, first: int, last: int, *, decimals: int | None = None) -> DataFrame:
     """One row per genre, one column per year ``first..last`` holding
-    A17's share; a missing cell is 0. The pivot values are the explicit
-    year list, so no extra job runs to discover them."""
+    A17's share, cut (not rounded) to ``decimals`` places if given; a
+    missing cell is 0. The pivot values are the explicit year list, so no
+    extra job runs to discover them."""
     years = list(range(first, last + 1))
     shares = genre_share_by_year(films, first, last)
-    value = F.round("ratio", decimals) if decimals is not None else F.col("ratio")
+    step = 10 ** decimals if decimals is not None else 1
+    value = F.floor(F.col("ratio") * step) / F.lit(float(step)) if decimals is not None else F.col("ratio")
     grid = (shares.select("genre", "year", value.alias("ratio"))
             .groupBy("genre").pivot("year", years).agg(F.max("ratio")))
     return grid.na.fill(0.0, [str(y) for y in years])

@@ -37,13 +37,7 @@ def genre_share(films: DataFrame) -> DataFrame:
 
 
 def _genre_years(films: DataFrame, first: int | None, last: int | None) -> DataFrame:
-    # The year range is stated on the date column itself, so it reaches the
-    # Parquet reader as a pushed filter and runs before any JSON is parsed.
-    rows = films.filter(F.col("release_day").isNotNull())
-    if first is not None:
-        rows = rows.filter(F.col("release_day") >= F.lit(datetime.date(first, 1, 1)))
-    if last is not None:
-        rows = rows.filter(F.col("release_day") <= F.lit(datetime.date(last, 12, 31)))
+    rows = _within(films, first, last)
     return rows.select(exploded_name("genres", films=rows).alias("genre"),
                        F.year("release_day").cast("bigint").alias("year"))
 
@@ -67,22 +61,34 @@ def genre_share_by_year(films: DataFrame, first: int = 2005, last: int = 2015) -
             .orderBy("genre", "year"))
 
 
-def _revenue_years(films: DataFrame) -> DataFrame:
-    return (films.filter(F.col("release_day").isNotNull() & nonzero("revenue"))
+def _within(films: DataFrame, first: int | None, last: int | None) -> DataFrame:
+    """Dated films of the years ``first..last``. The range is stated on the
+    date column itself, so it reaches the Parquet reader as a pushed filter
+    and runs before any JSON is parsed."""
+    rows = films.filter(F.col("release_day").isNotNull())
+    if first is not None:
+        rows = rows.filter(F.col("release_day") >= F.lit(datetime.date(first, 1, 1)))
+    if last is not None:
+        rows = rows.filter(F.col("release_day") <= F.lit(datetime.date(last, 12, 31)))
+    return rows
+
+
+def _revenue_years(films: DataFrame, first: int | None = None, last: int | None = None) -> DataFrame:
+    return (_within(films, first, last).filter(nonzero("revenue"))
             .select(F.year("release_day").cast("bigint").alias("year"), "revenue"))
 
 
-def revenue_mean_by_year(films: DataFrame) -> DataFrame:
+def revenue_mean_by_year(films: DataFrame, first: int | None = None, last: int | None = None) -> DataFrame:
     """Mean revenue per release year, in year order. The sum is an
     exact integer sum; the mean is that sum over the count."""
-    return (_revenue_years(films).groupBy("year")
+    return (_revenue_years(films, first, last).groupBy("year")
             .agg(F.sum("revenue").alias("_s"), F.count(F.lit(1)).alias("_n"))
             .select("year", _ratio("_s", F.col("_n")).alias("avg_revenue"))
             .orderBy("year"))
 
 
-def revenue_total_by_year(films: DataFrame) -> DataFrame:
+def revenue_total_by_year(films: DataFrame, first: int | None = None, last: int | None = None) -> DataFrame:
     """A19s: total revenue per release year, in year order."""
-    return (_revenue_years(films).groupBy("year")
+    return (_revenue_years(films, first, last).groupBy("year")
             .agg(F.sum("revenue").alias("total_revenue"))
             .orderBy("year"))

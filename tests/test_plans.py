@@ -8,7 +8,7 @@ from conftest import SF_SMALL
 from reelframe import operators as op
 from reelframe.catalog import ANALYSES, QUERIES
 from reelframe.plans import count_nodes, formatted_plan, physical_plan, python_nodes
-from reelframe.sources import films_from_tables, ingest_films
+from reelframe.sources import films_from_tables, ingest_films, load_films
 
 
 @pytest.fixture(scope="module")
@@ -45,17 +45,35 @@ def test_scan_reads_only_needed_columns(stored):
     assert schemas and all("genres" not in s and "title" not in s for s in schemas)
 
 
-def test_inline_containment_has_no_join(stored):
+def test_containment_is_an_equi_join(stored):
     plan = physical_plan(op.genre_counts_contains(stored))
-    assert "Join" not in plan and "CartesianProduct" not in plan
-
-
-def test_gram_containment_is_an_equi_join(stored):
-    plan = physical_plan(op.genre_counts_contains(stored, max_inline=0))
     assert "NestedLoopJoin" not in plan and "CartesianProduct" not in plan
     assert "HashJoin" in plan or "SortMergeJoin" in plan
 
 
+def test_shares_and_weights_need_no_window(stored):
+    for df in (op.language_top_share(stored), op.keyword_weight(stored)):
+        assert "Window" not in physical_plan(df)
+
+
+@pytest.mark.parametrize("name, tables", [
+    ("budget_top", {"orders"}), ("budget_vs_rating", {"orders", "lineitem"}), ("revenue_mean_by_year", {"orders", "lineitem"}),
+    ("genre_counts", {"orders", "lineitem", "part"}), ("keyword_top", {"orders", "lineitem", "part"}),
+    ("company_top", {"orders", "lineitem", "supplier"}), ("language_top", {"orders", "lineitem", "supplier", "nation"})])
+def test_film_view_reads_only_the_tables_an_analysis_needs(spark, name, tables):
+    spark.catalog.clearCache()  # a cached film view would stand in for the scans
+    plan = formatted_plan(QUERIES[name](spark, SF_SMALL))
+    scanned = {t for t in ("orders", "lineitem", "part", "supplier", "nation", "customer") if f"/{t}.parquet" in plan}
+    assert scanned == tables
+
+
+def test_year_range_reaches_the_scan_of_orders(spark):
+    spark.catalog.clearCache()
+    plan = formatted_plan(op.genre_share_by_year(load_films(spark, SF_SMALL), 1996, 2000))
+    pushed = [x for x in plan.splitlines() if x.startswith("PushedFilters") and "o_orderdate" in x]
+    assert pushed and all("1996-01-01" in x and "2001-01-01" in x for x in pushed)
+
+
 def test_year_shares_broadcast_only_bounded_totals(stored):
     plan = physical_plan(op.genre_share_by_year(stored, 1996, 2000))
     assert "BroadcastHashJoin" in plan and "Window" not in plan
@@ -66,16 +84,8 @@ def test_grand_total_is_a_scalar_subquery(stored):
     assert "Subquery" in plan and "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
 
 
-def test_film_view_shuffles_lines_once_per_order(spark):
-    # With the small dimensions broadcast, line items are shuffled once (by
-    # order key, for the per-order aggregate) and orders once (for the join,
-    # which reuses the aggregate's partitioning).
-    initial = physical_plan(films_from_tables(spark, SF_SMALL)).split("== Initial Plan ==")[-1]
-    assert initial.count("Exchange hashpartitioning") == 2
-
-
 def test_registered_queries_cover_analyses():
-    assert set(QUERIES) == set(ANALYSES)
+    assert set(QUERIES) == set(ANALYSES) | {"csv_roundtrip", "json_sink_roundtrip"}
 
 
 def test_year_shares_scan_films_once(stored):
