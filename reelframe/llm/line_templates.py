@@ -28,11 +28,18 @@ BROADCAST_LEAVES = 500_000  # leaf keys (8 bytes each) that may be broadcast
 FIELD = "<*>"
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _masked(line: Column) -> Column:
     """One space between tokens, tokens with a digit replaced."""
-    untidy = line.rlike(r"[\t\x0B\f\r]|  |^ | $")
+    untidy = line.startswith(" ") | line.endswith(" ")
+    for blank in ("  ", "\t", "\r", "\x0b", "\x0c"):
+        untidy = untidy | line.contains(blank)
     tidy = F.when(untidy, F.trim(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " "))).otherwise(line)
-    return F.when(line.rlike("[0-9]"), F.regexp_replace(tidy, r"(?<![^ ])[^ 0-9]*[0-9][^ ]*", FIELD)).otherwise(tidy)
+    return F.when(line.rlike("[0-9]"), F.regexp_replace(tidy, r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", FIELD)).otherwise(tidy)
 
 
 def template_lines(docs: DataFrame, depth: int = DEPTH, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -40,13 +47,18 @@ def template_lines(docs: DataFrame, depth: int = DEPTH, *, id_col: str = "doc_id
     least ``depth`` tokens: ``leaf`` is the 64-bit key of its leaf, ``shape``
     that of its masked tokens."""
     text = F.col(text_col).cast("string")
-    lines = docs.select(F.col(id_col).alias("id"), text_digest(text).alias("digest"),
-                        F.posexplode(F.split(text, "\n")).alias("pos", "line"))
-    rows = lines.select("id", "digest", "pos", _masked(F.col("line")).alias("masked"))
-    rows = rows.withColumn("tokens", F.length("masked") - F.length(F.replace("masked", F.lit(" "), F.lit(""))) + 1)
-    rows = rows.filter((F.col("masked") != "") & (F.col("tokens") >= depth))
-    return rows.withColumn("leaf", F.xxhash64("tokens", F.substring_index("masked", " ", depth))).withColumn(
-        "shape", F.xxhash64("masked"))
+
+    def parsed(line: Column) -> Column:
+        def placed(m: Column, n: Column) -> Column:
+            return F.struct(m.alias("masked"), n.alias("tokens"),
+                            F.xxhash64(n, F.substring_index(m, " ", depth)).alias("leaf"), F.xxhash64(m).alias("shape"))
+
+        spaces = lambda m: F.length(m) - F.length(F.replace(m, F.lit(" "), F.lit("")))
+        return _let(_masked(line), lambda m: _let(spaces(m) + 1, lambda n: placed(m, n)))
+
+    rows = docs.select(F.col(id_col).alias("id"), text_digest(text).alias("digest"),
+                       F.posexplode(F.transform(F.split(text, "\n"), parsed)).alias("pos", "line"))
+    return rows.filter((F.col("line.masked") != "") & (F.col("line.tokens") >= depth)).select("id", "digest", "pos", "line.*")
 
 
 def _shared(lines: DataFrame, key: list[str]) -> DataFrame:
