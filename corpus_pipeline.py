@@ -7,17 +7,16 @@ columns of documents.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reelframe.llm.common import documents, shared_folder
+from reelframe.llm.common import documents
 from reelframe.llm.langid import fit, identify, training_rows
 from reelframe.llm.line_templates import drop_recurring
 from reelframe.llm.mixing import mixed
 from reelframe.llm.packing import pack_documents
 from reelframe.llm.simhash import one_per_group
+from reelframe.plans.storage import table_path
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -65,7 +64,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply ``STAGES`` to the documents of ``sf_dir``; the outputs between
     them are tables in the shared folder."""
-    folder = f"{shared_folder(spark).rstrip('/')}/tables/pipeline-{uuid.uuid4().hex}"
+    folder = table_path(spark, "pipeline")
     docs = documents(spark, sf_dir)
     for k, (name, stage) in enumerate(STAGES):
         out = stage(spark, docs, sf_dir)

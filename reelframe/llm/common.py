@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans import checkpoint_dir, ensure_checkpoint_dir, materialize
+from ..plans import drop_table, materialize
+from ..plans.storage import table_path
 
 # A word is a run of anything but space, tab, newline, vertical tab, form
 # feed and carriage return: in Python exactly what ``bytes.split()`` gives.
@@ -19,23 +20,32 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``. Only a session in one local
-    process, as in tests, may get a temporary folder when none is set."""
-    found = checkpoint_dir(spark)
-    if not found:
-        if not spark.sparkContext.master.startswith("local["):
-            raise RuntimeError("spark.checkpoint.dir is not set; name a folder that driver and executors share")
-        found = tempfile.mkdtemp(prefix="reelframe-llm-")
-    return ensure_checkpoint_dir(spark, found)
-
-
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back (cuts lineage)."""
-    shared_folder(df.sparkSession)
     return materialize(df, name)
 
 
+class Rounds:
+    """The table of an iteration: each round's replaces the one before, which
+    is dropped once the new one is written."""
+
+    def __init__(self, name: str):
+        self.name, self.path = name, None
+
+    def store(self, df: DataFrame) -> DataFrame:
+        path = table_path(df.sparkSession, self.name)
+        out = materialize(df, self.name, path=path)
+        if self.path:
+            drop_table(df.sparkSession, self.path)
+        self.path = path
+        return out
+
+
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def word_count(text: Column) -> Column:
     """Number of words of a text, null counting as empty (bigint)."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import Rounds
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -32,14 +32,15 @@ def connected_components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     about log(nodes) rounds. A node with very many edges is never one
     group: minima are pre-aggregated and joined back on a unique side, so
     adaptive execution may split the other. Each round is stored in the
-    shared folder. Loops, null ends and repeated edges are ignored; no edges
+    shared folder, in place of the one before. Loops, null ends and repeated edges are ignored; no edges
     give no rows.
     """
     now = edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    now = stored(now, "edges")
+    rounds = Rounds("edges")
+    now = rounds.store(now)
     sign = None
     for _ in range(max_rounds):
-        now = stored(_small_star(_large_star(now)), "edges")
+        now = rounds.store(_small_star(_large_star(now)))
         row = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if tuple(row) == sign:
             break

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import keyed, same_key, stored, text_digest
+from .common import keyed, once, same_key, stored, text_digest
 
 DEPTH = 3             # leading tokens that choose the leaf; lines with fewer tokens are no templates
 MIN_DOCS = 5
@@ -28,11 +28,6 @@ BROADCAST_LEAVES = 500_000  # leaf keys (8 bytes each) that may be broadcast
 FIELD = "<*>"
 
 
-def _let(value: Column, use) -> Column:
-    """``use(value)`` with ``value`` computed once."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
 def _masked(line: Column) -> Column:
     """One space between tokens, tokens with a digit replaced."""
     untidy = line.startswith(" ") | line.endswith(" ")
@@ -54,7 +49,7 @@ def template_lines(docs: DataFrame, depth: int = DEPTH, *, id_col: str = "doc_id
                             F.xxhash64(n, F.substring_index(m, " ", depth)).alias("leaf"), F.xxhash64(m).alias("shape"))
 
         spaces = lambda m: F.length(m) - F.length(F.replace(m, F.lit(" "), F.lit("")))
-        return _let(_masked(line), lambda m: _let(spaces(m) + 1, lambda n: placed(m, n)))
+        return once(_masked(line), lambda m: once(spaces(m) + 1, lambda n: placed(m, n)))
 
     rows = docs.select(F.col(id_col).alias("id"), text_digest(text).alias("digest"),
                        F.posexplode(F.transform(F.split(text, "\n"), parsed)).alias("pos", "line"))
@@ -131,7 +126,7 @@ def drop_recurring(docs: DataFrame, min_docs: int = MIN_DOCS, depth: int = DEPTH
     text = F.col(f"doc.`{text_col}`").cast("string")
     lines, n = F.split(text, "\n"), F.size(F.split(text, "\n"))
     kept = F.array_except(F.sequence(F.lit(0), n - 1), "gone")
-    left = F.element_at(F.transform(F.array(lines), lambda a: F.array_join(F.transform(kept, lambda i: F.get(a, i)), "\n")), 1)
+    left = once(lines, lambda a: F.array_join(F.transform(kept, lambda i: F.get(a, i)), "\n"))
     new = {c: F.col(f"doc.`{c}`") for c in own}
     new[next(c for c in own if c.lower() == text_col.lower())] = F.when(F.col("gone").isNull(), text).otherwise(left)
     return rows.select(*[v.alias(c) for c, v in new.items()],

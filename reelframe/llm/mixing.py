@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import keyed, same_key, stored, text_digest, word_count
+from .common import Rounds, keyed, same_key, stored, text_digest, word_count
 
 WEIGHTS = (5, 2, 1)   # of the sources by code point, null last, repeating
 MAX_RATE = 3
@@ -62,7 +62,8 @@ def balance(cells: DataFrame, targets: dict[str, DataFrame], max_rate: float = M
     multiplier is 0, and minus infinity.
     """
     start = F.when(F.col("target") == 0, F.lit(float("-inf"))).otherwise(F.lit(0.0))
-    lams = {m: stored(t.select("category", "target", start.alias("lam")), "lambda") for m, t in targets.items()}
+    rounds = {m: Rounds("lambda") for m in targets}
+    lams = {m: rounds[m].store(t.select("category", "target", start.alias("lam"))) for m, t in targets.items()}
     for _ in range(max_iterations):
         worst = 0.0
         for m in targets:
@@ -81,8 +82,8 @@ def balance(cells: DataFrame, targets: dict[str, DataFrame], max_rate: float = M
             live = (F.col("target") > 0) & (F.col("gradient") > 0)
             step = F.when(live & (off > tolerance), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), newton))).otherwise(0.0)
             now = lams[m].alias("l").join(sums.alias("s"), F.col("l.category").eqNullSafe(F.col("s.category")), "left")
-            now = stored(now.select("l.category", "target", (F.col("lam") + F.coalesce(step, F.lit(0.0))).alias("lam"),
-                                    F.when(live, off).alias("off")), "lambda")
+            now = rounds[m].store(now.select("l.category", "target", (F.col("lam") + F.coalesce(step, F.lit(0.0))).alias("lam"),
+                                             F.when(live, off).alias("off")))
             worst = max(worst, now.agg(F.max("off")).first()[0] or 0.0)
             lams[m] = now.drop("off")
         if worst <= tolerance:

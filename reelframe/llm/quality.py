@@ -9,12 +9,10 @@ no shuffle up to the ledger.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE_CLASS, word_count
+from .common import SPACE_CLASS, once, word_count
 
 WINDOW = 5  # words that a repeated passage has at least
 SYMBOLS = "[#*$%&|<>]"
@@ -46,11 +44,6 @@ def mask(rules: tuple[str, ...]) -> int:
     return sum(1 << names.index(r) for r in rules)
 
 
-def _let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with ``value`` computed once."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
 def _covered(windows: Column) -> Column:
     """Words covered by the windows (hashes by place) that occur twice."""
     def places(t: Column) -> Column:
@@ -63,7 +56,7 @@ def _covered(windows: Column) -> Column:
         return F.aggregate(each, F.lit(0), lambda a, x: a + x)
 
     by_hash = F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
-    return _let(_let(by_hash, places), length)
+    return once(once(by_hash, places), length)
 
 
 def repeated_words(text: Column) -> Column:
@@ -77,8 +70,8 @@ def repeated_words(text: Column) -> Column:
         return F.when(F.size(F.array_distinct(w)) == F.size(w), 0).otherwise(_covered(w))
 
     words = F.array_remove(F.split(text, SPACE_CLASS + "+"), "")
-    return _let(F.transform(words, lambda v: F.xxhash64(v)),
-                lambda h: F.when(F.size(h) < WINDOW, 0).otherwise(_let(windows(h), found)))
+    return once(F.transform(words, lambda v: F.xxhash64(v)),
+                lambda h: F.when(F.size(h) < WINDOW, 0).otherwise(once(windows(h), found)))
 
 
 def ledger(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
