@@ -11,7 +11,7 @@ sys.path.insert(0, ROOT)
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-from reelframe.plans import ensure_checkpoint_dir  # noqa: E402
+from reelframe.plans import shared_folder  # noqa: E402
 
 SF_SMALL = "/root/testdata/sf0.001"
 
@@ -26,7 +26,7 @@ def spark():
                .getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
     # Tests use the configured shared folder; a scratch one only when none is set.
-    ensure_checkpoint_dir(session, tempfile.mkdtemp(prefix="reelframe-test-ckpt-"))
+    shared_folder(session)
     yield session
     session.stop()
 
