@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +24,29 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Let Python workers import this package wherever the driver was started:
+    unless PYTHONPATH has it, Spark sends it to them as a zip, once."""
+    package, app = Path(__file__).resolve().parent.parent, spark.sparkContext.applicationId
+    if app in _SHIPPED or not package.is_dir() or str(package.parent) in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        return
+    path = os.path.join(tempfile.mkdtemp(prefix="reelframe-"), f"{package.name}.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    spark.sparkContext.addPyFile(path)
+    _SHIPPED.add(app)
+
+
+def map_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
+    """``df.mapInArrow`` by workers that can import this package."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back (cuts lineage)."""
     return materialize(df, name)

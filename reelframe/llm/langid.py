@@ -15,6 +15,8 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import map_arrow
+
 # The classifier is fitted on a bounded sample of the labelled rows: of each
 # language the SAMPLE_DOCS training rows with the smallest hash (texts of at
 # most SAMPLE_BYTES first), until its dictionary holds DICT_BYTES.
@@ -123,7 +125,7 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], *, text_col: str =
 
     schema = StructType([*own, StructField("lang_pred", StringType()), StructField("score", DoubleType()),
                          StructField("lang_rejected", BooleanType())])
-    return docs.select(*[F.col(f"`{f.name}`") for f in own]).mapInArrow(run, schema)
+    return map_arrow(docs.select(*[F.col(f"`{f.name}`") for f in own]), run, schema)
 
 
 def held_out(docs: DataFrame, id_col: str = "doc_id"):

@@ -132,3 +132,33 @@ def drop_recurring(docs: DataFrame, min_docs: int = MIN_DOCS, depth: int = DEPTH
     return rows.select(*[v.alias(c) for c, v in new.items()],
                        F.when(text.isNull(), 0).otherwise(n).cast("bigint").alias("n_lines"),
                        F.coalesce(F.size("gone"), F.lit(0)).cast("bigint").alias("n_dropped"))
+
+
+# The same rules in SQL, for texts without repeated ids.
+ORACLE = f"""
+with d as (select doc_id, text, string_split(text, chr(10)) as ls from documents),
+l as (select doc_id, unnest(range(len(ls))) as pos, unnest(ls) as line from d),
+t as (select doc_id, pos, list_transform(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+'),
+             lambda w: case when regexp_matches(w, '[0-9]') then '{FIELD}' else w end) as w from l),
+k as (select *, array_to_string(w, ' ') as shape, len(w) || ' ' || array_to_string(w[1:{DEPTH}], ' ') as leaf
+      from t where len(w) >= {DEPTH}),
+s as (select shape, any_value(leaf) as leaf, any_value(w) as w, count(distinct doc_id) as c from k group by shape),
+rare as (select * from s where c < {MIN_DOCS}),
+wide as (select leaf from rare group by leaf having sum(c) >= {MIN_DOCS} and count(*) > 1),
+p as (select shape, leaf, c, unnest(range(1, len(w) + 1)) as i, unnest(w) as token from rare semi join wide using (leaf)),
+f as (select leaf, i, token from p group by all having sum(c) >= {MIN_DOCS}),
+g as (select p.shape, any_value(p.leaf) as leaf, count(*) as n, count(f.token) as fixed,
+             string_agg(case when f.token is not null then p.i || ':' || p.token end, ' ' order by p.i) as constants
+      from p left join f on p.leaf = f.leaf and p.i = f.i and p.token = f.token group by p.shape),
+m as (select shape, 'exact ' || shape as template from s where c >= {MIN_DOCS}
+      union all select shape, 'general ' || leaf || ' ' || constants from g
+      where fixed >= {MIN_CONSTANTS} and fixed >= {CONSTANT_SHARE} * n),
+h as (select doc_id, pos, template, min(struct_pack(doc_id, pos)) over (partition by template) as first from k join m using (shape)),
+r as (select template from h group by template having count(distinct doc_id) >= {MIN_DOCS}),
+gone as (select doc_id, list(pos) as pos, count(*) as n from h semi join r using (template)
+         where struct_pack(doc_id, pos) <> first group by doc_id)
+select d.doc_id, coalesce(len(d.ls), 0)::bigint as n_lines, coalesce(gone.n, 0)::bigint as n_dropped,
+       case when gone.n is null then d.text else coalesce(array_to_string(list_transform(
+            list_filter(range(len(d.ls)), lambda i: not list_contains(gone.pos, i)), lambda i: d.ls[i + 1]), chr(10)), '') end as text
+from d left join gone using (doc_id)
+"""

@@ -20,7 +20,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import map_arrow, ship, stored
 
 BUCKET_PIECES = 4096     # pieces that one task packs at a time, on average
 WELL_FILLED = 0.98       # sequences below this share are packed again in round two
@@ -126,7 +126,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, *,
                 yield pa.RecordBatch.from_arrays(cols, names)
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(cut, f"id {id_type}, piece int, start bigint, length bigint, ids_crc32 bigint, deal bigint"
+    return map_arrow(rows, cut, f"id {id_type}, piece int, start bigint, length bigint, ids_crc32 bigint, deal bigint"
                            + ", ids binary" * with_ids)
 
 
@@ -136,6 +136,8 @@ def _packed(pieces: DataFrame, buckets: int, capacity: int, round_id: int) -> Da
     kept = [f for f in pieces.schema.fields if f.name not in ("sequence_id", "offset", "fill")]
     names = [f.name for f in kept]
 
+    ship(pieces.sparkSession)
+
     def pack(key, pdf):
         import numpy as np
 

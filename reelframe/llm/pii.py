@@ -19,6 +19,8 @@ from functools import lru_cache
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import map_arrow
+
 KINDS = ("email", "ip", "card", "phone")
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -259,4 +261,4 @@ def find_pii(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     schema = (f"id {id_type}, " + ", ".join(f"n_{k} bigint" for k in KINDS) + ", n_disguised bigint, base_sha256 string, spans string"
               + ", redacted string" * redacted)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, schema).withColumnRenamed("id", id_col)
+    return map_arrow(rows, run, schema).withColumnRenamed("id", id_col)

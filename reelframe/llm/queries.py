@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality, topk
+from . import line_templates, quality, topk
 from .common import documents
 
 
@@ -31,17 +31,13 @@ def op3_multi_index_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_line_template_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .line_templates import drop_recurring
-
-    return drop_recurring(documents(spark, sf_dir)).select("doc_id", "n_lines", "n_dropped", "text")
+    return line_templates.drop_recurring(documents(spark, sf_dir)).select("doc_id", "n_lines", "n_dropped", "text")
 
 
 def op5_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .quality import failed, ledger
-
-    book = ledger(documents(spark, sf_dir))
+    book = quality.ledger(documents(spark, sf_dir))
     return book.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                       failed("base").alias("base_failed"), (~failed()).alias("kept"), "fail_bits")
+                       quality.failed("base").alias("base_failed"), (~quality.failed()).alias("kept"), "fail_bits")
 
 
 def op6_entropy_balancing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,10 +57,8 @@ def op7_compression_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_branch_and_bound_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
 
-    from .topk import top_k
-
     vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
-    return top_k(vectors.filter(F.col("vec_id") % 100 == 0), vectors, k=10, scale=1024.0)
+    return topk.top_k(vectors.filter(F.col("vec_id") % 100 == 0), vectors, k=10, scale=1024.0)
 
 
 def op9_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 # DuckDB SQL for the queries that SQL can express.
 ORACLE: dict[str, str] = {
+    "op4_line_template_dedup": line_templates.ORACLE,
     "op5_rule_ledger": quality.ORACLE,
     "op8_branch_and_bound_top_k": topk.ORACLE,
 }

@@ -24,7 +24,7 @@ from collections.abc import Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import keyed, same_key, stored, text_digest
+from .common import keyed, map_arrow, same_key, stored, text_digest
 from .components import connected_components
 
 MAX_ENTRY = 64
@@ -71,7 +71,7 @@ def fingerprints(docs: DataFrame, shingle: int, *, id_col: str = "doc_id", text_
 
     text = F.col(text_col).cast("string")
     rows = docs.select(F.col(id_col).alias("id"), text_digest(text).alias("digest"), text.alias("text"))
-    return rows.mapInArrow(run, f"id {id_type}, digest bigint, fp bigint")
+    return map_arrow(rows, run, f"id {id_type}, digest bigint, fp bigint")
 
 
 def _segments(fp: str = "fp") -> list[Column]:

@@ -13,6 +13,8 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import map_arrow
+
 SLICE_BYTES = 8 << 20
 _ENCODERS: dict = {}
 
@@ -67,5 +69,5 @@ def token_counts(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", limit: i
                 [batch.column(0), sizes, n, pc.greater(n, limit)], ["id", "n_bytes", "n_tokens", "over_limit"])
 
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    out = rows.mapInArrow(count, f"id {id_type}, n_bytes bigint, n_tokens bigint, over_limit boolean")
+    out = map_arrow(rows, count, f"id {id_type}, n_bytes bigint, n_tokens bigint, over_limit boolean")
     return out.withColumnRenamed("id", id_col)

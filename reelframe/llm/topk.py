@@ -22,7 +22,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import map_arrow, stored
 
 BLOCK_ROWS = 4096
 QUERY_ROWS = 256
@@ -66,7 +66,7 @@ def vertical_blocks(vectors: DataFrame, rows: int, scale: float, *, id_col: str,
 
     rows_in = vectors.filter(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull()).select(
         F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).cast("array<double>").alias("v"))
-    return rows_in.mapInArrow(build, "dims int, ids binary, cells binary")
+    return map_arrow(rows_in, build, "dims int, ids binary, cells binary")
 
 
 class _Best:
@@ -189,7 +189,7 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int = 10, scale: float = 10
         if best is not None:
             yield winners(best)
 
-    rows = pairs.mapInArrow(search, "query_id bigint, id bigint, score bigint")
+    rows = map_arrow(pairs, search, "query_id bigint, id bigint, score bigint")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     ranked = rows.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", F.col("id").alias(id_col), "score")

@@ -64,3 +64,40 @@ def test_odd_documents_pass_every_stage(spark, odd, none, scratch):
         for name, stage in corpus_pipeline.STAGES:
             stage(spark, before, SF).write.parquet(f"{scratch}/{label}-{name}")
             before = spark.read.parquet(f"{scratch}/{label}-{name}")
+
+
+def test_queries_match_their_sql(spark):
+    import os
+
+    import duckdb
+
+    from reelframe.llm.queries import ORACLE, QUERIES
+
+    db = duckdb.connect()
+    for table in ("documents", "embeddings"):
+        db.sql(f"create view {table} as select * from '{os.path.join(SF, table)}.parquet'")
+    for name, sql in ORACLE.items():
+        want = db.sql(sql)
+        got = QUERIES[name](spark, SF)
+        assert sorted(got.columns) == sorted(want.columns)
+        assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(want.fetchall()), name
+
+
+def test_workers_find_the_package_from_any_folder(tmp_path):
+    """A driver started elsewhere, that only has the repository on its path."""
+    import os
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    root = Path(__file__).resolve().parents[2]
+    code = f"""
+import sys; sys.path.insert(0, {str(root)!r})
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "2").getOrCreate()
+import __spark_entry__ as e
+print(e.queries()["op10_token_counts"](spark, {SF!r}).count(), e.queries()["op9_sum_of_squares_packing"](spark, {SF!r}).count() > 0)
+"""
+    env = {k: v for k, v in os.environ.items() if k not in ("PYTHONPATH", "PYSPARK_SUBMIT_ARGS")}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert done.stdout.split()[-2:] == ["200", "True"], done.stderr[-2000:]
