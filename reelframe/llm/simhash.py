@@ -160,7 +160,9 @@ def one_per_group(docs: DataFrame, shingle: int = 3, max_bits: int = 2, *, id_co
     one stays."""
     found = near_duplicates(docs, shingle, max_bits, id_col=id_col, text_col=text_col)
     best = found.groupBy("component_id").agg(F.min(F.struct(F.col(id_col).alias("id"), "digest")).alias("best"))
-    best = stored(best.select("best.*").distinct(), "kept")
-    rows = keyed(docs, id_col, text_col).alias("r")
-    kept = rows.join(best.alias("k"), same_key("r", "k"), "left_semi")
-    return kept.dropDuplicates(["id", "digest"]).select("doc.*")
+    rows_of = found.groupBy(F.col(id_col).alias("id"), "digest").agg(F.count("*").alias("rows"))
+    best = best.select("best.*").alias("b").join(rows_of.alias("n"), same_key("b", "n")).select("b.*", "rows")
+    kept = keyed(docs, id_col, text_col).alias("r").join(stored(best, "kept").alias("k"), same_key("r", "k")).select("r.*", "rows")
+    # Both branches read the same shuffled texts; only repeated rows move again.
+    one = kept.filter("rows = 1").unionByName(kept.filter("rows > 1").dropDuplicates(["id", "digest"]))
+    return one.select("doc.*")
