@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from .common import map_arrow, ship, stored
 
-BUCKET_PIECES = 4096     # pieces that one task packs at a time, on average
-WELL_FILLED = 0.98       # sequences below this share are packed again in round two
+BUCKET_PIECES = 16384    # pieces that one task packs at a time, on average
+WELL_FILLED = 0.95       # sequences below this share are packed again in round two
 _ENCODERS: dict = {}
 
 
