@@ -16,17 +16,19 @@ from collections.abc import Callable, Iterator
 
 _LINE = re.compile(r"(?<=\S)\n(?=\S)")
 _GAP = re.compile(r"(?<=\S) (?=\S)")
-# A piece that ends in marks after a letter or number: also cut there.
-_MARKS = re.compile(r"(?s)(.*[^\W_])([^\w\s]+)\Z")
+# ASCII marks after a Latin letter or digit, at the end of a word: also a
+# safe boundary (for Arrow's regular expressions). The marks' piece begins
+# with MARK, which stands for no character.
+MARK = "\x01"
+_MARKS, _CUT = r"([0-9A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{24f}])([!-/:-@\[-^`{-~]+)([ \n]|\z)", rf"\1 {MARK}\2\3"
 
 # White space beside white space or at an end (for Arrow's regular expressions).
 _SPACE = (r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200b}\x{2028}\x{2029}\x{202f}"
           r"\x{205f}\x{3000}\x{feff}]")
 _ODD = rf"\A{_SPACE}|{_SPACE}{_SPACE}|{_SPACE}\z"
 
-# Pieces kept per worker and values kind (about 150 bytes each), and the
-# longest piece that is kept.
-MEMO_PIECES = 700_000
+# Pieces kept per worker (about 200 bytes each), and the longest kept.
+MEMO_PIECES = 800_000
 MEMO_CHARS = 64
 
 
@@ -74,40 +76,32 @@ class PieceEncoder:
     def __init__(self, tokenizer, value: Callable, limit: int = MEMO_PIECES):
         self.tokenizer, self.value, self.limit = tokenizer, value, limit
         self.safe = has_safe_boundaries(tokenizer)
-        self.special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        special = [re.escape(t.content) for t in tokenizer.get_added_tokens_decoder().values()]
+        self.odd = "|".join([_ODD, MARK, *special])
         self.memo: dict[str, object] = {}
-        self.tails: dict[str, object] = {}
+        self.older: dict[str, object] = {}
         self.newline = self.encode(["\n"])[0]
 
     def encode(self, texts: list[str]) -> list:
         return [self.value(e) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, names: list[str]) -> dict[str, object]:
-        """Values of unseen pieces. Marks at a piece's end are words of their
-        own to the tokenizer, so "word," and "word." share what "word" cost."""
-        parts = {w: m.groups() for w in names if (m := _MARKS.match(w)) and not any(t in w for t in self.special)}
-        stems = {w for w in names if w not in parts}
-        stems.update(stem for stem, _ in parts.values() if stem not in self.memo)
-        stems = list(stems)
-        known = dict(zip(stems, self.encode([w if w[0] == "\n" else " " + w for w in stems])))
-        tails = list({tail for _, tail in parts.values()} - self.tails.keys())
-        self.tails.update(zip(tails, self.encode(tails)))
-        for w, (stem, tail) in parts.items():
-            known[w] = (known[stem] if stem in known else self.memo[stem]) + self.tails[tail]
-        return known
-
     def lookup(self, names: list[str]) -> list:
-        """Values of distinct pieces, the unseen ones encoded in one batch."""
-        if len(self.memo) + len(self.tails) > self.limit:
-            self.memo.clear()
-            self.tails.clear()
+        """Values of distinct pieces, the unseen ones encoded in one batch.
+        Of two generations the older is dropped when the newer is full;
+        pieces still in use have moved up by then."""
+        if 2 * len(self.memo) > self.limit:
+            self.memo, self.older = {}, self.memo
         found = list(map(self.memo.get, names))
         unseen = [i for i, v in enumerate(found) if v is None]
-        if unseen:
-            new = self._learn([names[i] for i in unseen])
-            for i in unseen:
-                found[i] = new[names[i]]
-            self.memo.update((w, v) for w, v in new.items() if len(w) <= MEMO_CHARS)
+        new = []
+        for i in unseen:
+            found[i] = self.older.get(names[i])
+            if found[i] is None:
+                new.append(i)
+        whole = [w if w[0] == "\n" else w[1:] if w[0] == MARK else " " + w for w in (names[i] for i in new)]
+        for i, value in zip(new, self.encode(whole)):
+            found[i] = value
+        self.memo.update((names[i], found[i]) for i in unseen if len(names[i]) <= MEMO_CHARS)
         return found
 
     def _spaced(self, text: str) -> list:
@@ -118,8 +112,9 @@ class PieceEncoder:
         for line in rest:
             more = _GAP.split(line)
             words += ["\n" + more[0], *more[1:]]
-        names = list(dict.fromkeys(words))
+        names = list(dict.fromkeys(w for w in words if w[0] != MARK))
         values = dict(zip(names, self.lookup(names)))
+        values.update((w, self.encode([" " + w])[0]) for w in words if w[0] == MARK)  # the character itself
         return [self.encode([head])[0], *map(values.__getitem__, words)]
 
     def texts(self, texts, add_up: Callable, join: Callable) -> list:
@@ -134,8 +129,8 @@ class PieceEncoder:
 
         if not self.safe:
             return self.encode(texts.to_pylist())
-        odd = pc.or_(pc.equal(texts, ""), pc.match_substring_regex(texts, _ODD))
-        plain = texts.filter(pc.invert(odd))
+        odd = pc.or_(pc.equal(texts, ""), pc.match_substring_regex(texts, self.odd))
+        plain = pc.replace_substring_regex(texts.filter(pc.invert(odd)), _MARKS, _CUT)
         # "\n" stands for a text's start; a text without odd white space is
         # then a list of names, one space apart.
         named = pc.binary_join_element_wise("\n", pc.replace_substring(plain, "\n", " \n"), "")

@@ -26,10 +26,11 @@ def encoders(library):
 
 
 piece = st.sampled_from(["a", "bc", " ", "  ", ", ", "\n", "\n\n", "<|endoftext|>", "'s", ". ", "é", "é", "1²", "_", "\t",
-                         "\x1c", "\xa0", "　", "​", "…", "日本", "|>", "word,"])
+                         "\x1c", "\xa0", "　", "​", "…", "日本", "|>", "word,",
+                         "\x01", "ß.", "dogs'", "9%", "don't", "a<|endoftext|>,", "_", "ÿ)\"", "Ž!?", "ǅ;"])
 
 
-@settings(max_examples=400, deadline=None)
+@settings(max_examples=1500, deadline=None)
 @given(st.lists(st.lists(piece, max_size=10).map("".join), min_size=1, max_size=5))
 def test_pieces_give_the_librarys_tokens(library, encoders, texts):
     want = [np.array(e.ids, "<u4").tobytes() for e in library.encode_batch(texts, add_special_tokens=False)]
