@@ -20,6 +20,7 @@ at most 65 fingerprints, so no group is ever expanded into all its pairs.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -75,7 +76,7 @@ def fingerprints(docs: DataFrame, shingle: int, *, id_col: str = "doc_id", text_
 
 
 def _segments(fp: str = "fp") -> list[Column]:
-    return [F.shiftright(fp, 32), F.col(fp).bitwiseAND(F.lit(0xFFFFFFFF))]
+    return [F.shiftrightunsigned(fp, 32), F.col(fp).bitwiseAND(F.lit(0xFFFFFFFF))]
 
 
 def hamming_links(nodes: DataFrame, max_bits: int = 2, max_entry: int = MAX_ENTRY) -> DataFrame:
@@ -84,10 +85,9 @@ def hamming_links(nodes: DataFrame, max_bits: int = 2, max_entry: int = MAX_ENTR
     themselves, or where they meet in a full entry, paths of such pairs."""
     if not 0 <= max_bits <= 2:
         raise ValueError("max_bits must be 0, 1 or 2")
-    high, low = _segments()
     radius = [max_bits // 2, 0]  # radii add up to max_bits - segments + 1 or more
     table, probes = [], []
-    for s, value in enumerate((high, low)):
+    for s, value in enumerate(_segments()):
         table.append(nodes.select("fp", F.lit(s).alias("segment"), value.alias("key")))
         own = nodes.select("fp", F.lit(s).alias("segment"), value.alias("key"), F.lit(False).alias("flipped"))
         probes.append(own)
@@ -96,14 +96,7 @@ def hamming_links(nodes: DataFrame, max_bits: int = 2, max_entry: int = MAX_ENTR
             one = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("bit"))
             probes.append(ball.filter(F.col("value").bitwiseAND(one) != 0).select(
                 "fp", F.lit(s).alias("segment"), F.col("value").bitwiseXOR(one).alias("key"), F.lit(True).alias("flipped")))
-    entries = table[0].unionByName(table[1])
-    asked = probes[0]
-    for more in probes[1:]:
-        asked = asked.unionByName(more)
-    # The first segment as a signed number: its flipped sign bit must wrap.
-    signed = F.when((F.col("segment") == 0) & (F.col("key") >= 1 << 31), F.col("key") - (1 << 32)).when(
-        (F.col("segment") == 0) & (F.col("key") < -(1 << 31)), F.col("key") + (1 << 32)).otherwise(F.col("key"))
-    asked = asked.withColumn("key", signed)
+    entries, asked = reduce(DataFrame.unionByName, table), reduce(DataFrame.unionByName, probes)
 
     full = stored(entries.groupBy("segment", "key").count().filter(F.col("count") > max_entry).drop("count"), "entries")
     here = ["segment", "key"]
