@@ -42,9 +42,16 @@ def ship(spark: SparkSession) -> None:
 
 
 def map_arrow(df: DataFrame, run: Callable, schema) -> DataFrame:
-    """``df.mapInArrow`` by workers that can import this package."""
+    """``df.mapInArrow`` by workers that can import this package; a worker
+    that stays alive gives back what Arrow keeps of a task's memory."""
+    def task(batches):
+        yield from run(batches)
+        import pyarrow as pa
+
+        pa.default_memory_pool().release_unused()
+
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(task, schema)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

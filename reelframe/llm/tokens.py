@@ -28,7 +28,7 @@ _SPACE = (r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200b}\x{2028
 _ODD = rf"\A{_SPACE}|{_SPACE}{_SPACE}|{_SPACE}\z"
 
 # Pieces kept per worker (about 200 bytes each), and the longest kept.
-MEMO_PIECES = 800_000
+MEMO_PIECES = 500_000
 MEMO_CHARS = 64
 
 
