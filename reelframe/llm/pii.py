@@ -50,9 +50,16 @@ _COMMON = frozenset("com org net edu gov mil int info biz io co me ai de fr es e
 
 _WORD = "|".join(sorted(_DIGIT_WORDS, key=lambda w: (-len(w), w)))
 _OPEN, _SHUT = r"[\[({<]", r"[\])}>]"
+# Digits and letters that look like them, with few signs between: at least
+# seven in a row, of which two thirds must be digits.
+_DIGITISH = re.compile(r"(?<![A-Za-z0-9])[0-9OolI](?:[ .()-]{0,2}+[0-9OolI]){6,}+")
+_DIGIT_LIKE = {"O": "0", "o": "0", "l": "1", "I": "1"}
+# A bare "at" before an undisguised domain is an address only after one of
+# these words, or if the part before it is no plain word.
+_CUE = re.compile(r"(?:mail|contact|kontakt|correo|courriel|address|adresse|write|reach)\W*(?:\w+\W+){0,2}$", re.IGNORECASE)
 # What a text needs to hold for the second transducer to matter.
 _CLUE = re.compile(rf"\b(?:{_WORD})[\s,.-]+(?:{_WORD}|[0-9])|[0-9][\s,.-]+(?:{_WORD})\b|\b(?:{_DOT})\b"
-                   rf"|{_OPEN}\s*(?:{_AT}|@|\.)\s*{_SHUT}|\bplus\s+(?:{_WORD}|[0-9])")
+                   rf"|\b(?:{_AT})\s+[a-z0-9-]+\.[a-z0-9]|{_OPEN}\s*(?:{_AT}|@|\.)\s*{_SHUT}|\bplus\s+(?:{_WORD}|[0-9])")
 _REWRITE = re.compile(
     rf"(?P<digits>\b(?:{_WORD})(?:[\s,-]+(?:{_WORD}))*\b)"
     rf"|(?P<plus>\bplus\s+(?=(?:{_WORD})\b|[0-9]))"
@@ -158,6 +165,16 @@ def _look_alikes(view: View) -> View:
     return view.rewrite([(m.start(), m.end(), odd[m.group()], "char") for m in found])
 
 
+def _digit_alikes(view: View) -> View:
+    edits = []
+    for m in _DIGITISH.finditer(view.text):
+        letters = [i for i in range(m.start(), m.end()) if view.text[i] in _DIGIT_LIKE]
+        digits = sum(c.isdigit() for c in m.group())
+        if letters and digits >= 2 * len(letters) and not view.text[m.end():m.end() + 1].isalpha():
+            edits += [(i, i + 1, _DIGIT_LIKE[view.text[i]], "char") for i in letters]
+    return view.rewrite(edits) if edits else view
+
+
 def _spelled(view: View) -> View:
     edits = []
     for m in _REWRITE.finditer(view.text):
@@ -178,11 +195,14 @@ def disguised_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[i
     """Source spans of identifiers that only show once rewritten.
 
     Words are weak signs: an address with a bare "at" counts only if one of
-    its dots was disguised too ("look at example.com" is prose), one with a
-    bare "dot" only under a common top-level domain, and a number that is
+    its dots was disguised too, after a word like "mail", or if its first
+    part is no plain word ("look at example.com" is prose); a bare "at" or
+    "dot" counts only under a common top-level domain; and a number that is
     one of ``base`` is not prolonged by a word beside it.
     """
     view = View(text) if text.isascii() else _look_alikes(View(text))
+    if _DIGIT.search(view.text):
+        view = _digit_alikes(view)
     if _CLUE.search(view.text.lower()):
         view = _spelled(view)
     if view.text == text:
@@ -194,8 +214,10 @@ def disguised_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[i
         if not signs and end - start == b - a:
             continue  # nothing rewritten in it
         if "bare_at" in signs and not signs & {"dot", "bare_dot"}:
-            continue
-        if "bare_dot" in signs and kind == 0 and view.text[a:b].rpartition(".")[2].lower() not in _COMMON:
+            first = view.text[a:b].partition("@")[0]
+            if first.isalpha() and not _CUE.search(text[max(0, start - 40):start]):
+                continue
+        if signs & {"bare_at", "bare_dot"} and kind == 0 and view.text[a:b].rpartition(".")[2].lower() not in _COMMON:
             continue
         if kind and any(k == kind and start <= x and y <= end for x, k, y in base):
             continue
