@@ -62,16 +62,17 @@ def containment_counts(films: DataFrame, names: DataFrame, text: str, *carry: st
     """
     counted = films.filter(F.col(text).isNotNull()).groupBy(F.col(text).alias("_text"), *carry).agg(
         F.count(F.lit(1)).alias("_n"))
-    # Names spelled differently in the text are searched beside it.
-    hay = F.concat_ws("\u0000", F.col("_text"), entry_names("_text"))
+    # Names that the text spells with escapes are searched beside it.
+    escaped = F.filter(entry_names("_text"), lambda n: ~F.col("_text").contains(n))
     shortest = names.agg(F.min(F.length("name")).alias("n")).scalar()
+    hay = F.concat_ws("\u0000", F.col("_text"), escaped)
     grams = counted.select("_text").distinct().select(
         *_key(F.col("_text")), F.explode(F.array_distinct(_grams(hay, gram, shortest))).alias("gram"))
     keyed = names.select("name", F.substring("name", 1, gram).alias("gram"))
     candidates = grams.join(keyed, "gram").select("k1", "k2", "name")
-    texts = counted.select(*_key(F.col("_text")), "_text", "_n", *carry)
+    texts = counted.select(*_key(F.col("_text")), "_text", escaped.alias("_escaped"), "_n", *carry)
     inside = F.col("_text").contains(F.col("name")) | F.coalesce(
-        F.exists(entry_names("_text"), lambda n: n.contains(F.col("name"))), F.lit(False))
+        F.exists("_escaped", lambda n: n.contains(F.col("name"))), F.lit(False))
     return (candidates.join(texts, ["k1", "k2"]).filter(inside)
             .groupBy("name", *carry).agg(F.sum("_n").alias("count")))
 
