@@ -15,7 +15,7 @@ from reelframe.llm.langid import fit, identify, training_rows
 from reelframe.llm.line_templates import drop_recurring
 from reelframe.llm.mixing import mixed
 from reelframe.llm.packing import pack_documents
-from reelframe.llm.simhash import one_per_group
+from reelframe.llm.simhash import one_per_component
 from reelframe.plans.storage import table_path
 
 
@@ -33,9 +33,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of SimHash near-duplicates: 3-word
+    """One document of each component of SimHash near-duplicates: 3-word
     shingles, at most 2 bits apart."""
-    return one_per_group(docs, shingle=3, max_bits=2)
+    return one_per_component(docs, shingle=3, max_bits=2)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -122,9 +122,11 @@ def hamming_links(nodes: DataFrame, max_bits: int = 2, max_entry: int = MAX_ENTR
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, *, id_col: str = "doc_id",
                     text_col: str = "text", max_entry: int = MAX_ENTRY) -> DataFrame:
-    """``(id, digest, fp, component_id)``, one row per row of ``docs``:
+    """``(id, digest, fp, component_id, root)``, one row per row of ``docs``:
     component_id is the smallest id among the rows whose fingerprints are
-    linked with this one's, over any number of links.
+    linked with this one's, over any number of links; root is the component
+    itself, its least fingerprint (components that share an id, or have none
+    but null, have equal component_ids).
 
     Null and empty texts have fingerprint 0 and are linked like any other;
     null ids are never a component's id unless it has no other; repeated
@@ -138,22 +140,34 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, *, id_
     labelled = nodes.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     labelled = stored(labelled, "labels")
     named = stored(labelled.groupBy("root").agg(F.min("least").alias("component_id")), "components")
-    label = stored(labelled.join(named, "root").select("fp", "component_id"), "labels")
-    return prints.join(label, "fp").select(F.col("id").alias(id_col), "digest", "fp", "component_id")
+    label = stored(labelled.join(named, "root").select("fp", "component_id", "root"), "labels")
+    return prints.join(label, "fp").select(F.col("id").alias(id_col), "digest", "fp", "component_id", "root")
 
 
 def hex_fingerprint(fp: Column | str = "fp") -> Column:
     return F.lpad(F.lower(F.hex(fp)), 16, "0")
 
 
+def one_per_component(docs: DataFrame, shingle: int = 3, max_bits: int = 2, *, id_col: str = "doc_id",
+                      text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each component of near-duplicates, also where
+    components share an id or have none: the one of the smallest id (null
+    before any), then text digest. Of rows equal in both, one stays."""
+    return _one_per("root", docs, shingle, max_bits, id_col, text_col)
+
+
 def one_per_group(docs: DataFrame, shingle: int = 3, max_bits: int = 2, *, id_col: str = "doc_id",
                   text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each group of near-duplicates: the one of the
-    smallest id (null before any), then text digest. Of rows equal in both,
-    one stays."""
+    """As ``one_per_component``, but one row per component_id: for tables
+    whose ids are unique and not null, where both are the same."""
+    return _one_per("component_id", docs, shingle, max_bits, id_col, text_col)
+
+
+def _one_per(group: str, docs: DataFrame, shingle: int, max_bits: int, id_col: str, text_col: str) -> DataFrame:
     found = near_duplicates(docs, shingle, max_bits, id_col=id_col, text_col=text_col)
-    best = found.groupBy("component_id").agg(F.min(F.struct(F.col(id_col).alias("id"), "digest")).alias("best"))
-    rows_of = found.groupBy(F.col(id_col).alias("id"), "digest").agg(F.count("*").alias("rows"))
+    found = found.select(F.col(id_col).alias("id"), "digest", F.col(group).alias("group"))
+    best = found.groupBy("group").agg(F.min(F.struct("id", "digest")).alias("best"))
+    rows_of = found.groupBy("id", "digest").agg(F.count("*").alias("rows"))
     best = best.select("best.*").alias("b").join(rows_of.alias("n"), same_key("b", "n")).select("b.*", "rows")
     kept = keyed(docs, id_col, text_col).alias("r").join(stored(best, "kept").alias("k"), same_key("r", "k")).select("r.*", "rows")
     # Both branches read the same shuffled texts; only repeated rows move again.

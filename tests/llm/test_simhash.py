@@ -79,6 +79,24 @@ def test_one_stays_of_each_group(odd):
     assert {r.doc_id for r in rows} >= {1, 5, 6, 8}
 
 
+def test_one_stays_of_each_component(spark, odd):
+    """Unrelated texts without an id, or of one id, are all kept."""
+    import corpus_pipeline
+
+    words = random.Random(9)
+    texts = [" ".join(words.choice("abcdefghij") * 3 + str(words.randrange(50)) for _ in range(40)) for _ in range(6)]
+    more = spark.createDataFrame([(None, t) for t in texts[:3] + texts[:1]] + [(9, t) for t in texts[3:] + texts[3:4]], "doc_id bigint, text string")
+    for table in (odd.select("doc_id", "text"), more):
+        rows = [(r.doc_id, r.text) for r in table.collect()]
+        order = sorted({brute_fingerprint(t) for _, t in rows})
+        root = roots(order, [(a, b) for i, a in enumerate(order) for b in order[i + 1:] if (a ^ b).bit_count() <= 2])
+        kept = [(r.doc_id, r.text) for r in corpus_pipeline.near_dedup(spark, table, "").collect()]
+        assert sorted(root[brute_fingerprint(t)] for _, t in kept) == sorted(set(root.values()))
+        for i, t in kept:
+            same = [j for j, u in rows if root[brute_fingerprint(u)] == root[brute_fingerprint(t)]]
+            assert i == (None if None in same else min(same))
+
+
 def test_long_texts_in_parts(monkeypatch):
     import reelframe.llm.simhash as module
 
