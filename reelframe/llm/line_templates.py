@@ -5,7 +5,9 @@ leading tokens. Tokens with a digit are variable fields from the start. In a
 leaf, a token that recurs at its place in enough documents is a constant of
 the leaf's lines; any other is generalised to a variable field, as long as
 enough constants remain. Templates found in at least ``min_docs`` documents
-are recurring: their lines are dropped, all but the first occurrence.
+are recurring: their lines are dropped, all but the first occurrence. A line
+with fields and fewer than ``MIN_CONSTANTS`` other tokens (a table row) says
+too little without its fields: it recurs only with the same tokens, unmasked.
 
 Statistics per leaf, place and token replace the usual one-by-one matching
 against the templates found so far, so the result depends on no order and a
@@ -21,35 +23,44 @@ from .common import keyed, once, same_key, stored, text_digest
 
 DEPTH = 3             # leading tokens that choose the leaf; lines with fewer tokens are no templates
 MIN_DOCS = 5
-MIN_CONSTANTS = 4     # constants that a generalised template keeps at least,
-CONSTANT_SHARE = 0.75  # and their share of its tokens
+MIN_CONSTANTS = 4     # words that a template with fields keeps at least,
+CONSTANT_SHARE = 0.75  # and the share of constants in a generalised one's tokens
 BROADCAST_LEAVES = 500_000  # leaf keys (8 bytes each) that may be broadcast
 
 FIELD = "<*>"
 
 
-def _masked(line: Column) -> Column:
-    """One space between tokens, tokens with a digit replaced."""
+def _tidy(line: Column) -> Column:
+    """One space between tokens."""
     untidy = line.startswith(" ") | line.endswith(" ")
     for blank in ("  ", "\t", "\r", "\x0b", "\x0c"):
         untidy = untidy | line.contains(blank)
-    tidy = F.when(untidy, F.trim(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " "))).otherwise(line)
-    return F.when(line.rlike("[0-9]"), F.regexp_replace(tidy, r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", FIELD)).otherwise(tidy)
+    return F.when(untidy, F.trim(F.regexp_replace(line, r"[\x20\x09-\x0D]+", " "))).otherwise(line)
+
+
+def _masked(tidy: Column) -> Column:
+    """Tokens with a digit replaced; not in lines that keep too few others."""
+    def enough(m: Column) -> Column:
+        return F.when(F.size(F.array_remove(F.split(m, " "), FIELD)) >= MIN_CONSTANTS, m).otherwise(tidy)
+
+    masked = F.regexp_replace(tidy, r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*+", FIELD)
+    return F.when(tidy.rlike("[0-9]"), once(masked, enough)).otherwise(tidy)
 
 
 def template_lines(docs: DataFrame, depth: int = DEPTH, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, digest, pos, masked, tokens, leaf, shape)`` of every line of at
     least ``depth`` tokens: ``leaf`` is the 64-bit key of its leaf, ``shape``
-    that of its masked tokens."""
+    that of its masked tokens. A line left unmasked for its few words is a
+    leaf of its own, so it is never generalised."""
     text = F.col(text_col).cast("string")
 
     def parsed(line: Column) -> Column:
         def placed(m: Column, n: Column) -> Column:
-            return F.struct(m.alias("masked"), n.alias("tokens"),
-                            F.xxhash64(n, F.substring_index(m, " ", depth)).alias("leaf"), F.xxhash64(m).alias("shape"))
+            way = F.when(m.rlike("[0-9]"), m).otherwise(F.substring_index(m, " ", depth))
+            return F.struct(m.alias("masked"), n.alias("tokens"), F.xxhash64(n, way).alias("leaf"), F.xxhash64(m).alias("shape"))
 
         spaces = lambda m: F.length(m) - F.length(F.replace(m, F.lit(" "), F.lit("")))
-        return once(_masked(line), lambda m: once(spaces(m) + 1, lambda n: placed(m, n)))
+        return once(_tidy(line), lambda t: once(_masked(t), lambda m: once(spaces(m) + 1, lambda n: placed(m, n))))
 
     rows = docs.select(F.col(id_col).alias("id"), text_digest(text).alias("digest"),
                        F.posexplode(F.transform(F.split(text, "\n"), parsed)).alias("pos", "line"))
@@ -84,8 +95,9 @@ def _generalised(docs: DataFrame, shapes: DataFrame, min_docs: int, depth: int,
     # One line's tokens at a time; a variable field is a place without token.
     whole = marked.groupBy("leaf", "shape").agg(
         F.count("*").alias("n"), F.sum(constant.cast("int")).alias("fixed"),
+        F.count_if(constant & (F.col("token") != F.xxhash64(F.lit(FIELD)))).alias("words"),
         F.xxhash64("leaf", F.sort_array(F.collect_list(F.when(constant, F.struct("at", "token"))))).alias("template"))
-    enough = (F.col("fixed") >= MIN_CONSTANTS) & (F.col("fixed") >= CONSTANT_SHARE * F.col("n"))
+    enough = (F.col("words") >= MIN_CONSTANTS) & (F.col("fixed") >= CONSTANT_SHARE * F.col("n"))
     return whole.filter(enough).select("leaf", "shape", "template")
 
 
@@ -134,7 +146,9 @@ def drop_recurring(docs: DataFrame, min_docs: int = MIN_DOCS, depth: int = DEPTH
                        F.coalesce(F.size("gone"), F.lit(0)).cast("bigint").alias("n_dropped"))
 
 
-# The same rules in SQL, for texts without repeated ids.
+# The same rules in SQL, for texts without repeated ids; but it counts fields
+# as constants and masks lines of fewer than MIN_CONSTANTS other tokens too,
+# which are dropped more readily than above.
 ORACLE = f"""
 with d as (select doc_id, text, string_split(text, chr(10)) as ls from documents),
 l as (select doc_id, unnest(range(len(ls))) as pos, unnest(ls) as line from d),

@@ -76,6 +76,16 @@ def test_a_word_that_varies_is_a_field(spark):
     assert kept[40].startswith("connection of") and all(kept[40 + i] == "\nx y" for i in range(1, 7))
 
 
+def test_rows_of_numbers_are_no_template(spark):
+    """Unrelated table rows stay, whatever their number; equal ones recur."""
+    rows = [(i, f"{1900 + i} {i}.5 {i * 7}\nTable {i} {i}.1 {i}.2\n{i} {i}.1 {i}.2 {i}.3 {'abcdefgh'[i]}\n"
+                f"{' '.join(str(i + j) for j in range(12))} {' '.join(f'w{c}{chr(97 + i)}' for c in 'pqrs')}") for i in range(8)]
+    rows += [(20 + i, "Sum 3 4.5\nUser u7 logged in from host9") for i in range(6)]
+    out = {r.doc_id: (r.n_dropped, r.text) for r in drop_recurring(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert all(out[i] == (0, t) for i, t in rows if i <= 20)
+    assert all(out[20 + i] == (2, "") for i in range(1, 6))
+
+
 def test_documents(docs):
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     got = {(r.doc_id, r.old): (r.n_lines, r.n_dropped, r.text) for r in drop_recurring(docs.withColumn("old", docs.text)).collect()}
