@@ -57,6 +57,8 @@ _DIGIT_LIKE = {"O": "0", "o": "0", "l": "1", "I": "1"}
 # A bare "at" before an undisguised domain is an address only after one of
 # these words, or if the part before it is no plain word.
 _CUE = re.compile(r"(?:mail|contact|kontakt|correo|courriel|address|adresse|write|reach)\W*(?:\w+\W+){0,2}$", re.IGNORECASE)
+# Where "at" and the dot's word are prose: "at this point we", "at the dot end".
+_PROSE = re.compile(r"\sat\s+(?:\S+\s+point|(?:the|an?|this|that|each|every)\s+dot)\s", re.IGNORECASE)
 # What a text needs to hold for the second transducer to matter.
 _CLUE = re.compile(rf"\b(?:{_WORD})[\s,.-]+(?:{_WORD}|[0-9])|[0-9][\s,.-]+(?:{_WORD})\b|\b(?:{_DOT})\b"
                    rf"|\b(?:{_AT})\s+[a-z0-9-]+\.[a-z0-9]|{_OPEN}\s*(?:{_AT}|@|\.)\s*{_SHUT}|\bplus\s+(?:{_WORD}|[0-9])")
@@ -197,8 +199,9 @@ def disguised_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[i
     Words are weak signs: an address with a bare "at" counts only if one of
     its dots was disguised too, after a word like "mail", or if its first
     part is no plain word ("look at example.com" is prose); a bare "at" or
-    "dot" counts only under a common top-level domain; and a number that is
-    one of ``base`` is not prolonged by a word beside it.
+    "dot" alone counts only under a common top-level domain, both signs
+    disguised under any of two letters or more, but not in prose; and a number
+    that is one of ``base`` is not prolonged by a word beside it.
     """
     view = View(text) if text.isascii() else _look_alikes(View(text))
     if _DIGIT.search(view.text):
@@ -217,8 +220,12 @@ def disguised_spans(text: str, base: list[tuple[int, int, int]]) -> list[tuple[i
             first = view.text[a:b].partition("@")[0]
             if first.isalpha() and not _CUE.search(text[max(0, start - 40):start]):
                 continue
-        if signs & {"bare_at", "bare_dot"} and kind == 0 and view.text[a:b].rpartition(".")[2].lower() not in _COMMON:
-            continue
+        if signs & {"bare_at", "bare_dot"} and kind == 0:
+            *_, name, ending = view.text[a:b].partition("@")[2].split(".")
+            both = signs & {"at", "bare_at"} and signs & {"dot", "bare_dot"}
+            plain = both and len(ending) > 1 and ending.isalpha() and not name.isdigit() and not _PROSE.search(text[start:end])
+            if not plain and ending.lower() not in _COMMON:
+                continue
         if kind and any(k == kind and start <= x and y <= end for x, k, y in base):
             continue
         out.append((start, kind, end))

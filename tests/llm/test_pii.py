@@ -65,6 +65,20 @@ def test_disguises_map_back_to_the_source(text, want):
     assert redact(text, spans).count("[") >= 1
 
 
+@pytest.mark.parametrize("text, want", [
+    ("anna at firma dot dk", "email:0:20"),
+    ("anna at firma dot dev today", "email:0:21"),
+    ("ANNA AT MAIL DOT FIRMA DOT CZ", "email:0:29"),
+    ("anna [at] firma dot app", "email:0:23"),
+    ("anna at firma[.]museum", "email:0:22"),
+    ("ana arroba empresa punto uy", "email:0:27"),
+    ("anna dot dk", ""), ("a@b dot end", ""), ("look at this point we saw", ""), ("came at some point the others", ""),
+    ("stop at every dot on it", ""), ("set at one dot per inch", ""), ("set at x dot y", ""),
+])
+def test_both_signs_disguised_need_no_common_ending(text, want):
+    assert span_text(spans_of(text)[1]) == want
+
+
 @pytest.mark.parametrize("text", [
     "look at example.com", "the one and two at the dot end", "un deux trois quatre cinq six sept huit neuf",
     "meet at noon", "arrive at station.ok", "look at www.example.com", "10 Il 20 lO 30", "größer als 3 Punkt 5", "une maison à 10 euros", "", "🙂 at 🙂 dot 🙂"])
