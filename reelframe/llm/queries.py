@@ -73,6 +73,12 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir))
 
 
+def op13_recursive_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .bpe import round_trip
+
+    return round_trip(documents(spark, sf_dir), "byte_bpe_multi_50k.tiktoken")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chained_passages": op1_chained_passages,
     "op2_deobfuscated_pii": op2_deobfuscated_pii,
@@ -84,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_branch_and_bound_top_k": op8_branch_and_bound_top_k,
     "op9_sum_of_squares_packing": op9_sum_of_squares_packing,
     "op10_token_counts": op10_token_counts,
+    "op13_recursive_bpe": op13_recursive_bpe,
 }
 
 # DuckDB SQL for the queries that SQL can express.
