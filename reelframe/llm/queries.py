@@ -73,6 +73,12 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir))
 
 
+def op12_dyadic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .periodic import digests, periodic_runs, tails_repeated
+
+    return digests(periodic_runs(tails_repeated(documents(spark, sf_dir))))
+
+
 def op13_recursive_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .bpe import round_trip
 
@@ -90,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_branch_and_bound_top_k": op8_branch_and_bound_top_k,
     "op9_sum_of_squares_packing": op9_sum_of_squares_packing,
     "op10_token_counts": op10_token_counts,
+    "op12_dyadic_runs": op12_dyadic_runs,
     "op13_recursive_bpe": op13_recursive_bpe,
 }
 
