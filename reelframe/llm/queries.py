@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_templates, quality, topk
+from . import divergence, line_templates, quality, topk
 from .common import documents
 
 
@@ -73,6 +73,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(documents(spark, sf_dir))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(documents(spark, sf_dir))
+
+
 def op12_dyadic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .periodic import digests, periodic_runs, tails_repeated
 
@@ -96,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_branch_and_bound_top_k": op8_branch_and_bound_top_k,
     "op9_sum_of_squares_packing": op9_sum_of_squares_packing,
     "op10_token_counts": op10_token_counts,
+    "op11_source_divergence": op11_source_divergence,
     "op12_dyadic_runs": op12_dyadic_runs,
     "op13_recursive_bpe": op13_recursive_bpe,
 }
@@ -105,4 +110,5 @@ ORACLE: dict[str, str] = {
     "op4_line_template_dedup": line_templates.ORACLE,
     "op5_rule_ledger": quality.ORACLE,
     "op8_branch_and_bound_top_k": topk.ORACLE,
+    "op11_source_divergence": divergence.ORACLE,
 }
