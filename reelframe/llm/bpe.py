@@ -40,18 +40,20 @@ MEMORY = "400MB"
 _ENGINES: dict = {}
 
 # One contraction a round: the leftmost pair of the lowest rank of each word.
-# Ranks and positions share one number, so that one minimum finds both.
+# A row knows its right neighbour's token, and the right one of the two rows
+# stays, so a row changes by what it has itself. Ranks and positions share one
+# number, so that one minimum finds both.
 _SHORT = """
-WITH RECURSIVE s(round, w, i, tok) AS (
-  SELECT 0, w, i, tok FROM start
+WITH RECURSIVE s(round, w, i, tok, next_tok) AS (
+  SELECT 0, w, i, tok, next_tok FROM start
   UNION ALL
   (WITH best AS MATERIALIZED (
-     SELECT a.w, min(m::BIGINT * 1048576 + a.i) AS pair
-     FROM s a JOIN s b ON a.w = b.w AND b.i = a.i + 1 JOIN merges ON a.tok = l AND b.tok = r GROUP BY a.w),
+     SELECT w, min(m::BIGINT * 1048576 + i) AS pair FROM s JOIN merges ON tok = l AND next_tok = r GROUP BY w),
    chosen AS (SELECT w, (pair & 1048575)::INT AS p, (pair >> 20)::INT AS merged FROM best)
-   SELECT round + 1, s.w, CASE WHEN i > p THEN i - 1 ELSE i END, CASE WHEN i = p THEN merged ELSE tok END
-   FROM s JOIN chosen ON s.w = chosen.w WHERE i <> p + 1))
-SELECT w, i, tok FROM s QUALIFY round = max(round) OVER (PARTITION BY w)
+   SELECT round + 1, s.w, CASE WHEN i > p THEN i - 1 ELSE i END,
+          CASE WHEN i = p + 1 THEN merged ELSE tok END, CASE WHEN i = p - 1 THEN merged ELSE next_tok END
+   FROM s JOIN chosen ON s.w = chosen.w WHERE i <> p))
+SELECT s.w, i, tok FROM s JOIN (SELECT w, max(round) AS round FROM s GROUP BY w) AS last USING (w, round)
 """
 
 # All contractions of the lowest rank that nothing lower can come between.
@@ -233,7 +235,11 @@ class Coder:
         raw = np.frombuffer(b"".join(pieces.to_pylist()), np.uint8)
         w = np.arange(len(sizes), dtype=np.int32)
         at = np.arange(len(raw)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        self.con.register("start", pa.table({"w": np.repeat(w, sizes), "i": at.astype(np.int32), "tok": self.loaded["bytes"][raw]}))
+        tok = self.loaded["bytes"][raw]
+        next_tok = np.append(tok[1:], -1)
+        next_tok[np.cumsum(sizes) - 1] = -1  # none
+        self.con.register("start", pa.table({"w": np.repeat(w, sizes), "i": at.astype(np.int32), "tok": tok,
+                                             "next_tok": next_tok.astype(np.int32)}))
         self.con.register("fresh", pa.table({"w": w, "piece": pieces}))
         self.con.execute(_LEARN.format(query))
 
