@@ -7,14 +7,19 @@ where the text may spell them with escapes, so a film matches when its text
 or one of its decoded names contains the name. ``contains`` gives the test
 without treating ``%``, ``_`` or quotes in a name as syntax.
 
-One lazy plan for any number of names. Films are counted per distinct text
-first, so all that follows grows with distinct texts. Every distinct text is
-listed with its distinct grams (substrings of ``GRAM`` characters, shorter
-ones only if there are shorter names),
-every name is keyed by its first ``GRAM`` characters, and an equi-join on
-the gram finds candidates; a name has one key and a gram is listed once, so
-a text meets a name at most once. The texts themselves are attached to the
-candidates only then, for the exact test.
+One lazy plan for any number of names, by a factored index. Films are counted
+per distinct text. A text is cut at its quotes into strings: the JSON strings
+and the fixed text between them. A name without a quote that is in the text is
+in one of these strings, so names are matched once against the *distinct*
+strings of all texts (a few, where every text lists entries of one
+vocabulary), and an inverted (string, text) table maps the hits back. Only
+names with a quote of their own are matched against whole texts, which are not
+even listed when there is no such name.
+
+Names meet strings through an equi-join: a string is listed with its distinct
+grams (substrings of ``GRAM`` characters, shorter ones only if there are
+shorter names), a name is keyed by its first ``GRAM`` characters, and the
+exact test runs on these candidates.
 """
 
 from __future__ import annotations
@@ -25,6 +30,7 @@ from pyspark.sql import functions as F
 from ..functions.json import entry_names, exploded_name
 
 GRAM = 3
+QUOTE = '"'
 
 
 def distinct_names(films: DataFrame, column: str = "genres") -> DataFrame:
@@ -53,6 +59,19 @@ def _grams(text: Column, gram: int, shortest: Column) -> Column:
     return F.concat(of_length(gram), *short)
 
 
+def _containing(strings: DataFrame, names: DataFrame, gram: int) -> DataFrame:
+    """``(k1, k2, name)``: the keys of the ``strings`` (distinct, columns
+    ``k1``, ``k2`` and the array ``parts``) one of whose parts contains the
+    name; a string of one part meets a name at most once."""
+    shortest = names.agg(F.min(F.length("name")).alias("n")).scalar()
+    parts = strings.select("k1", "k2", F.explode("parts").alias("part"))
+    grams = parts.select("k1", "k2", F.explode(F.array_distinct(_grams(F.col("part"), gram, shortest))).alias("gram"))
+    keyed = names.select("name", F.substring("name", 1, gram).alias("gram"))
+    candidates = grams.join(keyed, "gram").select("k1", "k2", "name")
+    return (candidates.join(strings, ["k1", "k2"])
+            .filter(F.exists("parts", lambda s: s.contains(F.col("name")))).select("k1", "k2", "name"))
+
+
 def containment_counts(films: DataFrame, names: DataFrame, text: str, *carry: str, gram: int = GRAM) -> DataFrame:
     """``(name, *carry, count)``: films by the names (distinct, column
     ``name``) that their JSON ``text`` or one of its decoded names contains.
@@ -62,19 +81,28 @@ def containment_counts(films: DataFrame, names: DataFrame, text: str, *carry: st
     """
     counted = films.filter(F.col(text).isNotNull()).groupBy(F.col(text).alias("_text"), *carry).agg(
         F.count(F.lit(1)).alias("_n"))
-    # Names that the text spells with escapes are searched beside it.
-    escaped = F.filter(entry_names("_text"), lambda n: ~F.col("_text").contains(n))
-    shortest = names.agg(F.min(F.length("name")).alias("n")).scalar()
-    hay = F.concat_ws("\u0000", F.col("_text"), escaped)
-    grams = counted.select("_text").distinct().select(
-        *_key(F.col("_text")), F.explode(F.array_distinct(_grams(hay, gram, shortest))).alias("gram"))
-    keyed = names.select("name", F.substring("name", 1, gram).alias("gram"))
-    candidates = grams.join(keyed, "gram").select("k1", "k2", "name")
-    texts = counted.select(*_key(F.col("_text")), "_text", escaped.alias("_escaped"), "_n", *carry)
-    inside = F.col("_text").contains(F.col("name")) | F.coalesce(
-        F.exists("_escaped", lambda n: n.contains(F.col("name"))), F.lit(False))
-    return (candidates.join(texts, ["k1", "k2"]).filter(inside)
-            .groupBy("name", *carry).agg(F.sum("_n").alias("count")))
+    quoted, plain = names.filter(F.col("name").contains(QUOTE)), names.filter(~F.col("name").contains(QUOTE))
+    # Names that the text spells with escapes are strings of it as well.
+    escaped = F.coalesce(F.filter(entry_names("_text"), lambda n: ~F.col("_text").contains(n)), F.array().cast("array<string>"))
+    unit = [*carry, "_n"]  # a text's films of one carried value
+
+    def inverted(strings: Column) -> DataFrame:
+        listed = counted.select(*[k.alias(f"t{i}") for i, k in enumerate(_key(F.col("_text")))], *unit,
+                                F.explode(F.array_distinct(strings)).alias("s"))
+        return listed.select("t0", "t1", *unit, *_key(F.col("s")), "s")
+
+    strings = F.concat(F.split("_text", QUOTE, -1), escaped)
+    distinct = inverted(strings).select("k1", "k2", F.array("s").alias("parts")).distinct()
+    index = inverted(strings).select("t0", "t1", *unit, "k1", "k2")
+    in_strings = index.join(_containing(distinct, plain, gram), ["k1", "k2"])
+
+    any_quoted = quoted.agg(F.count(F.lit(1)).alias("n")).scalar() > 0
+    whole = counted.filter(any_quoted).select(*_key(F.col("_text")), F.concat(F.array("_text"), escaped).alias("parts"), *unit)
+    in_whole = (whole.select(F.col("k1").alias("t0"), F.col("k2").alias("t1"), *unit, "k1", "k2")
+                .join(_containing(whole.select("k1", "k2", "parts").distinct(), quoted, gram), ["k1", "k2"]))
+
+    hits = in_strings.unionByName(in_whole).select("t0", "t1", *unit, "name").distinct()
+    return hits.groupBy("name", *carry).agg(F.sum("_n").alias("count"))
 
 
 def counts_contains(films: DataFrame, column: str, key: str) -> DataFrame:

@@ -49,7 +49,8 @@ def test_contains_year_counts_match_brute_force(small):
     assert got == brute(NAMES - {""})
 
 
-@pytest.mark.parametrize("names", [["", "A", "Ac", "Act", "Action"], ["Noir"], [], ['"N', "é", "ie\"}"], [f"x{i}" for i in range(1500)] + ["TV"]])
+@pytest.mark.parametrize("names", [["", "A", "Ac", "Act", "Action"], ["Noir"], [], ['"N', "é", "ie\"}"],
+                                   ['"', "name", ", {", ': "', "\\", "}", " ", "u00e9", '\\"', "0", '"}]', "id"], [f"x{i}" for i in range(1500)] + ["TV"]])
 @pytest.mark.parametrize("gram", [1, 3, 5])
 def test_any_list_of_names(spark, small, names, gram):
     listed = spark.createDataFrame([(n,) for n in names], "name string")
@@ -68,6 +69,38 @@ def test_containment_is_never_below_the_films_that_list_a_name(spark):
     assert any(found[n] > listed[n] for n in listed)  # NATION_1 is in NATION_10
 
 
+def test_names_meet_each_distinct_string_once(spark):
+    """Texts made of few strings: grams are listed for the strings, not for
+    the texts, and whole texts are listed only if a name has a quote."""
+    rows = [(str(i), json.dumps([{"id": 1, "name": f"N{(i >> k) % 2}{k}"} for k in range(9)])) for i in range(512)]
+    films = spark.createDataFrame(rows, "id string, genres string")
+    listed = op.distinct_names(films)
+    out = op.containment_counts(films, listed, "genres")
+    assert {r["count"] for r in out.collect()} == {256} and out.count() == 18
+    generated = _generated_rows(out)
+    assert max(generated) <= 512 * 16  # the inverted table: 9 names and the text between
+    assert sum(g > 100 for g in generated) <= 3  # names by entry, the table twice; no whole text
+    with_quote = op.containment_counts(films, spark.createDataFrame([('"N00"',)], "name string"), "genres")
+    assert [r["count"] for r in with_quote.collect()] == [256]
+
+
+def _generated_rows(df):
+    """Rows that each explode of the executed plan made."""
+    df.collect()
+    found, todo = [], [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "Generate":
+            found.append(node.metrics().get("numOutputRows").get().value())
+        if node.nodeName() == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+        elif "QueryStage" in node.nodeName():
+            todo.append(node.plan())
+        children = node.children()
+        todo += [children.apply(k) for k in range(children.size())]
+    return found
+
+
 def test_building_the_query_runs_no_job(spark, small):
     group = "containment-is-lazy"
     spark.sparkContext.setJobGroup(group, group)
