@@ -37,6 +37,7 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
     source = parser.add_mutually_exclusive_group(required=True)
     source.add_argument("--csv", help="film CSV file or folder (no header, 20 text columns)")
     source.add_argument("--tables", help="folder with the star-schema parquet tables")
+    parser.add_argument("--csv-blocks", action="store_true", help="read each CSV file in many tasks (balanced quotes)")
     parser.add_argument("--out", required=True, help="output folder (replaced per job)")
     parser.add_argument("--stored", help="film table to read, or to make for the next run")
     parser.add_argument("--jobs", nargs="*", choices=sorted(DEFAULT_JOBS), help="subset of jobs")
@@ -49,7 +50,7 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
     path = args.stored or table_path(spark, "films")
     films = _stored(spark, args.stored) if args.stored else None
     if films is None:
-        raw = read_films_csv(spark, args.csv) if args.csv else films_from_tables(spark, args.tables)
+        raw = read_films_csv(spark, args.csv, blocks=args.csv_blocks) if args.csv else films_from_tables(spark, args.tables)
         films = ingest_films(raw, "films", partitions=args.partitions, path=path)
     jobs = {k: v for k, v in DEFAULT_JOBS.items() if not args.jobs or k in args.jobs}
     try:
