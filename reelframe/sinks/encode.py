@@ -18,18 +18,28 @@ from ..functions.text import delimited
 NULLS = {"ignoreNullFields": "false"}
 
 
-def json_lines(df: DataFrame, column: str = "json") -> DataFrame:
-    """One JSON object text per row; null fields are written as null."""
-    return df.select(F.to_json(F.struct(*df.columns), NULLS).alias(column))
+def json_object(columns: Sequence[str]) -> Column:
+    """The row's JSON object text; null fields are written as null."""
+    return F.to_json(F.struct(*columns), NULLS)
 
 
-def array_lines(df: DataFrame, column: str = "json") -> DataFrame:
-    """One JSON array text per row, ``["title", 1, 2.5]``."""
+def json_array(columns: Sequence[str]) -> Column:
+    """The row's JSON array text, ``["title", 1, 2.5]``."""
     def value(c: str) -> Column:
         one = F.to_json(F.array(F.col(c)), NULLS)
         return F.substring(one, 2, F.length(one) - 2)
 
-    return df.select(F.concat(F.lit("["), F.concat_ws(",", *(value(c) for c in df.columns)), F.lit("]")).alias(column))
+    return F.concat(F.lit("["), F.concat_ws(",", *(value(c) for c in columns)), F.lit("]"))
+
+
+def json_lines(df: DataFrame, column: str = "json") -> DataFrame:
+    """One JSON object text per row; null fields are written as null."""
+    return df.select(json_object(df.columns).alias(column))
+
+
+def array_lines(df: DataFrame, column: str = "json") -> DataFrame:
+    """One JSON array text per row."""
+    return df.select(json_array(df.columns).alias(column))
 
 
 def _comparator(keys: Sequence[str], descending: Sequence[bool]):
@@ -46,7 +56,7 @@ def _comparator(keys: Sequence[str], descending: Sequence[bool]):
 def _gathered(df: DataFrame, bound: int) -> Column:
     rows = F.collect_list(F.struct(*df.columns))
     return F.when(F.count(F.lit(1)) <= bound, rows).otherwise(
-        F.raise_error(F.lit(f"result has more than {bound} rows; write it as JSON lines")))
+        F.raise_error(F.lit(f"result has more than {bound} rows; write it as an array of part files or as JSON lines")))
 
 
 def json_document(df: DataFrame, bound: int, *, order: Sequence[str] = (),

@@ -1,39 +1,129 @@
 """Write results, replacing what is there, and the job registry.
 
 Writes go through Spark's file committer: each task writes its own part
-file, so a lost executor only reruns its tasks. Overwriting deletes the old
-result before the job runs: a job that fails leaves none. Nothing is
-assembled on the driver, and a result is gathered into one document only
-where a k bounds its rows.
+file, so a lost executor only reruns its tasks. A result is written beside
+the old one and takes its place only when it is complete (``replaced``), so
+a job that fails leaves the old result. Nothing is assembled on the driver:
+a JSON array of any size is made of part files (``write_json_array``), and a
+result is gathered into one document only where a k bounds its rows.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .. import operators as op
-from .encode import array_lines, json_document, json_lines
+from ..plans.storage import drop_table, materialize, table_path
+from .encode import json_array, json_document, json_object
+
+
+def _folder(spark: SparkSession, path: str):
+    """The path and its file system, as Spark has them."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path.rstrip("/"))
+    return found, found.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _beside(spark: SparkSession, path: str, kind: str) -> list:
+    """The hidden folders beside ``path`` that belong to it, oldest first."""
+    here, files = _folder(spark, path)
+    if not files.exists(here.getParent()):
+        return []
+    prefix = f".{here.getName()}.{kind}-"
+    found = [s for s in files.listStatus(here.getParent()) if s.getPath().getName().startswith(prefix)]
+    return [s.getPath() for s in sorted(found, key=lambda s: (s.getModificationTime(), s.getPath().getName()))]
+
+
+def replaced(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    """Replace the result at ``path`` with what ``write(folder)`` writes.
+
+    ``write`` gets a new hidden folder beside ``path``. Only when it returns
+    is the old result renamed away and the new one renamed to ``path``; then
+    the old one is deleted. If ``write`` fails, its folder is deleted and the
+    old result is as it was. Should the driver die between the two renames,
+    ``current`` finds the old result, and so does the next ``replaced``.
+    """
+    here, files = _folder(spark, path)
+    tag = uuid.uuid4().hex
+    new, old = (spark._jvm.org.apache.hadoop.fs.Path(here.getParent(), f".{here.getName()}.{kind}-{tag}") for kind in ("new", "old"))
+    try:
+        write(new.toString())
+    except BaseException:
+        files.delete(new, True)
+        raise
+    if files.exists(here) and not files.rename(here, old):
+        raise OSError(f"cannot move the old result away from {path}")
+    if not files.rename(new, here):
+        raise OSError(f"cannot move the new result to {path}; it is at {new}, the old one at {old}")
+    for folder in _beside(spark, path, "old"):
+        files.delete(folder, True)
+
+
+def current(spark: SparkSession, path: str) -> str:
+    """Where the result of ``path`` is: there, or, if a replacement was broken
+    off between its two renames, in the folder that has the old one."""
+    here, files = _folder(spark, path)
+    if files.exists(here):
+        return path
+    kept = _beside(spark, path, "old")
+    if not kept:
+        raise FileNotFoundError(path)
+    return kept[-1].toString()
 
 
 def write_json(df: DataFrame, path: str) -> None:
-    """JSON lines at ``path`` (overwrite), null fields included."""
-    df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    """JSON lines at ``path`` (replaced), null fields included."""
+    replaced(df.sparkSession, path, lambda folder: df.write.option("ignoreNullFields", "false").json(folder))
 
 
 def write_text(df: DataFrame, path: str) -> None:
-    """One text column as lines at ``path`` (overwrite)."""
-    df.write.mode("overwrite").text(path)
+    """One text column as lines at ``path`` (replaced)."""
+    replaced(df.sparkSession, path, lambda folder: df.write.text(folder))
+
+
+def write_json_array(df: DataFrame, path: str, *, order: Sequence[str] = (), descending: Sequence[bool] = (),
+                     points: bool = False) -> None:
+    """The whole result, of any size, as one JSON array at ``path``
+    (replaced): its part files, one after the other in the order of their
+    names, are one array. Elements are objects, or with ``points`` arrays, in
+    ``order`` if one is given.
+
+    The elements are stored first, one per row, so that each has a place
+    (file, row). The first place opens the array, every other element brings
+    the comma before it, and a last line closes the array: one row, the
+    elements in their tasks, one row. An empty result is ``[]``.
+    """
+    spark, folder = df.sparkSession, table_path(df.sparkSession, "json-array")
+    keys = [f"o{k}" for k in range(len(order))]
+    element = json_array(df.columns) if points else json_object(df.columns)
+    try:
+        stored = materialize(df.select(*[F.col(c).alias(k) for c, k in zip(order, keys)], element.alias("json")), "json-array", path=folder)
+        rows = stored.select("*", F.struct("_metadata.file_path", "_metadata.row_index").alias("place"))
+        down = [*descending, *[False] * (len(keys) - len(descending))]
+        by = [F.col(k).desc() if d else F.col(k).asc() for k, d in zip(keys, down)] + [F.col("place")]
+        first = rows.orderBy(*by).limit(1)
+        others = rows.filter(F.col("place") != first.select("place").scalar())
+        others = others.orderBy(*by) if order else others
+        size = first.agg(F.count(F.lit(1)).alias("n")).scalar()
+        end = spark.range(0, 1, 1, 1).select(F.when(size > 0, "]").otherwise("[]").alias("json"))
+        lines = (first.select(F.concat(F.lit("["), "json").alias("json"))
+                 .union(others.select(F.concat(F.lit(","), "json").alias("json"))).union(end))
+        write_text(lines, path)
+    finally:
+        drop_table(spark, folder)
 
 
 @dataclass(frozen=True)
 class Job:
-    """An analysis and the file it is exported to. With ``bound`` (a k) the
-    file is one JSON array of at most so many rows, in ``order``; without,
-    it has one JSON value per line. ``points`` writes rows as arrays."""
+    """An analysis and the file it is exported to: one JSON array, in
+    ``order``. With ``bound`` (a k) it is one document of at most so many
+    rows, without it an array of any size in part files. ``points`` writes
+    rows as arrays."""
 
     analysis: Callable[[DataFrame], DataFrame]
     file: str
@@ -47,7 +137,7 @@ class Job:
         if self.bound is not None:
             write_text(json_document(df, self.bound, order=self.order, descending=self.descending), path)
         else:
-            write_text(array_lines(df) if self.points else json_lines(df), path)
+            write_json_array(df, path, order=self.order, descending=self.descending, points=self.points)
         return path
 
 
@@ -58,7 +148,7 @@ DEFAULT_JOBS: Mapping[str, Job] = {
     "company_count": Job(lambda f: op.company_top(f, 10, key="company"), "company_count.json", 10, ("count", "company"), (True, False)),
     "budget": Job(lambda f: op.budget_ordered(f, k=10), "budget.json", 10, ("count", "budget"), (True, False)),
     "language": Job(lambda f: op.language_top(f, 10, drop_blank=True), "language.json", 10, ("count", "language"), (True, False)),
-    "runtime": Job(lambda f: op.runtime_common(f, 100, strict=False), "runtime.json"),
+    "runtime": Job(lambda f: op.runtime_common(f, 100, strict=False), "runtime.json", order=("count", "runtime"), descending=(True, False)),
     "budget_vote": Job(op.budget_vs_rating_voted, "budget_vote.json", points=True),
     "date_vote": Job(op.release_vs_rating_voted, "date_vote.json", points=True),
     "pop_vote": Job(op.popularity_vs_rating_voted, "pop_vote.json", points=True),
