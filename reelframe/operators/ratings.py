@@ -27,5 +27,8 @@ def company_rating(films: DataFrame, min_votes: int = 100, *, drop_unrated: bool
         keep.append(nonzero("vote_average"))
     entries = films.filter(all_of(*keep)).select(
         exploded_name("production_companies", films=films).alias("company"), "vote_average")
-    return entries.groupBy("company").agg(
-        F.avg("vote_average").alias("average"), F.count(F.lit(1)).alias("count"))
+    # Ratings are added up as decimals, exactly; a sum of doubles depends on
+    # the order of the rows. A null rating is counted as an entry, not rated.
+    exact = F.col("vote_average").cast("decimal(38,18)")
+    return (entries.groupBy("company").agg(F.sum(exact).alias("_s"), F.count("vote_average").alias("_n"), F.count(F.lit(1)).alias("count"))
+            .select("company", F.try_divide(F.col("_s").cast("double"), F.col("_n").cast("double")).alias("average"), "count"))

@@ -78,17 +78,23 @@ def _revenue_years(films: DataFrame, first: int | None = None, last: int | None
             .select(F.year("release_day").cast("bigint").alias("year"), "revenue"))
 
 
+def _exact_sum(column: str) -> F.Column:
+    """The sum of a whole-number column; a bigint sum would overflow."""
+    return F.sum(F.col(column).cast("decimal(38,0)"))
+
+
 def revenue_mean_by_year(films: DataFrame, first: int | None = None, last: int | None = None) -> DataFrame:
-    """Mean revenue per release year, in year order. The sum is an
-    exact integer sum; the mean is that sum over the count."""
+    """Mean revenue per release year, in year order. The sum is an exact
+    sum of 38 digits; the mean is that sum over the count, so it depends on
+    no order of the rows."""
     return (_revenue_years(films, first, last).groupBy("year")
-            .agg(F.sum("revenue").alias("_s"), F.count(F.lit(1)).alias("_n"))
+            .agg(_exact_sum("revenue").alias("_s"), F.count(F.lit(1)).alias("_n"))
             .select("year", _ratio("_s", F.col("_n")).alias("avg_revenue"))
             .orderBy("year"))
 
 
 def revenue_total_by_year(films: DataFrame, first: int | None = None, last: int | None = None) -> DataFrame:
-    """A19s: total revenue per release year, in year order."""
+    """A19s: total revenue per release year (38 digits), in year order."""
     return (_revenue_years(films, first, last).groupBy("year")
-            .agg(F.sum("revenue").alias("total_revenue"))
+            .agg(_exact_sum("revenue").alias("total_revenue"))
             .orderBy("year"))
