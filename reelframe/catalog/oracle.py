@@ -88,6 +88,40 @@ bt AS (
 )
 """
 
+def _films_text(overview: str) -> str:
+    """The 20 source columns as text, lists as JSON."""
+    def listed(table: str, entry: str, order: str) -> str:
+        return f"SELECT k, '[' || string_agg({entry}, ',' ORDER BY {order}) || ']' AS j FROM {table} GROUP BY k"
+
+    return _BASE + f""",
+jg AS ({listed("g", """'{"id":' || length(p_type) || ',"name":' || to_json(p_type) || '}'""", "length(p_type), p_type")}),
+jk AS ({listed("kw", """'{"id":' || l_partkey || ',"name":' || to_json(p_name) || '}'""", "l_partkey, p_name")}),
+jc AS ({listed("co", """'{"name":' || to_json(s_name) || ',"id":' || l_suppkey || '}'""", "s_name, l_suppkey")}),
+jl AS ({listed("la", """'{"iso_639_1":"' || n_nationkey || '","name":' || to_json(n_name) || '}'""", "CAST(n_nationkey AS VARCHAR), n_name")})
+SELECT CAST(f.budget AS VARCHAR) AS budget, coalesce(jg.j, '[]') AS genres, CAST(NULL AS VARCHAR) AS homepage,
+       CAST(f.id AS VARCHAR) AS id, coalesce(jk.j, '[]') AS keywords, CAST(NULL AS VARCHAR) AS original_language,
+       f.title AS original_title, {overview} AS overview, CAST(f.popularity AS VARCHAR) AS popularity,
+       coalesce(jc.j, '[]') AS production_companies, '[]' AS production_countries, f.release_date AS release_date,
+       CAST(f.revenue AS VARCHAR) AS revenue, CAST(f.runtime AS VARCHAR) AS runtime, coalesce(jl.j, '[]') AS spoken_languages,
+       r.o_orderstatus AS status, CAST(NULL AS VARCHAR) AS tagline, f.title AS title,
+       CAST(f.vote_average AS VARCHAR) AS vote_average, CAST(f.vote_count AS VARCHAR) AS vote_count
+FROM f JOIN orders r ON r.o_orderkey = f.id LEFT JOIN jg ON jg.k = f.id LEFT JOIN jk ON jk.k = f.id
+LEFT JOIN jc ON jc.k = f.id LEFT JOIN jl ON jl.k = f.id"""
+
+
+_EXPORTS = _BASE + _COMPANY + """
+SELECT 'genres' AS job, count(DISTINCT p_type) AS elements FROM g
+UNION ALL SELECT 'keywords', least(100, count(DISTINCT p_name)) FROM kw
+UNION ALL SELECT 'company_count', least(10, count(DISTINCT s_name)) FROM co
+UNION ALL SELECT 'budget', least(10, count(DISTINCT budget)) FROM f WHERE budget <> 0
+UNION ALL SELECT 'language', least(10, count(DISTINCT n_name)) FROM la WHERE n_name <> ''
+UNION ALL SELECT 'runtime', count(*) FROM (SELECT runtime FROM f WHERE runtime <> 0 GROUP BY runtime HAVING count(*) >= 100)
+UNION ALL SELECT 'budget_vote', count(*) FROM f WHERE budget <> 0 AND vote_count > 100
+UNION ALL SELECT 'date_vote', count(*) FROM f WHERE release_date <> '' AND vote_count > 100
+UNION ALL SELECT 'pop_vote', count(*) FROM f WHERE popularity <> 0 AND vote_count > 100
+UNION ALL SELECT 'movies_vote', count(DISTINCT company) FROM crv
+UNION ALL SELECT 'budget_revenue', count(*) FROM f WHERE budget <> 0 AND revenue <> 0"""
+
 ORACLE: dict[str, str] = {
     "genre_counts": _BASE + "SELECT p_type AS genre, count(*) AS count FROM g GROUP BY p_type",
     "genre_counts_contains": _BASE + "SELECT p_type AS genre, count(DISTINCT k) AS count FROM g GROUP BY p_type",
@@ -129,9 +163,11 @@ ORACLE: dict[str, str] = {
         WHERE title <> '' AND budget <> 0 AND revenue <> 0""",
     "budget_vs_revenue_any_title": _BASE + """SELECT title, budget, revenue FROM f
         WHERE budget <> 0 AND revenue <> 0""",
-    "company_rating": _BASE + _COMPANY + """SELECT company, round(avg(vote_average), 6) AS average,
+    "company_rating": _BASE + _COMPANY + """SELECT company,
+        CAST(sum(CAST(vote_average AS DECIMAL(18,6))) AS DOUBLE) / count(*) AS average,
         count(*) AS count FROM cr GROUP BY company""",
-    "company_rating_voted": _BASE + _COMPANY + """SELECT company, round(avg(vote_average), 6) AS average,
+    "company_rating_voted": _BASE + _COMPANY + """SELECT company,
+        CAST(sum(CAST(vote_average AS DECIMAL(18,6))) AS DOUBLE) / count(*) AS average,
         count(*) AS count FROM crv GROUP BY company""",
     "genre_share": _BASE + """SELECT p_type AS genre,
         CAST(count(*) AS DOUBLE) / CAST((SELECT count(*) FROM g) AS DOUBLE) AS ratio
@@ -143,7 +179,7 @@ ORACLE: dict[str, str] = {
         CAST(sum(revenue) AS DOUBLE) / CAST(count(*) AS DOUBLE) AS avg_revenue
         FROM ry GROUP BY year ORDER BY year""",
     "revenue_total_by_year": _BASE + _REVENUE_YEARS + """SELECT year,
-        CAST(sum(revenue) AS BIGINT) AS total_revenue FROM ry GROUP BY year ORDER BY year""",
+        CAST(sum(revenue) AS DECIMAL(38,0)) AS total_revenue FROM ry GROUP BY year ORDER BY year""",
     "genre_year_counts": _BASE + """SELECT g.p_type AS genre, substr(f.release_date, 1, 4) AS release_year,
         count(*) AS count FROM g JOIN f ON f.id = g.k GROUP BY 1, 2 ORDER BY 1, 2""",
     "budget_revenue_millions": _BASE + """SELECT title, budget / 1e6 AS budget_millions,
@@ -195,11 +231,15 @@ ORACLE: dict[str, str] = {
         f"""coalesce(max(CASE WHEN year = {y} THEN floor(ratio * 1000) / 1000.0::DOUBLE END), 0.0) AS "{y}\""""
         for y in range(1996, 2001)) + " FROM gs GROUP BY genre",
     "revenue_mean_arrays": _BASE + _REVENUE_YEARS + """, rt AS (
-          SELECT year, CAST(floor(CAST(sum(revenue) AS DOUBLE) / CAST(count(*) AS DOUBLE)) AS BIGINT) AS avg_revenue
+          SELECT year, CAST(round(CAST(sum(revenue) AS DOUBLE) / CAST(count(*) AS DOUBLE), 2) AS DECIMAL(20,2)) AS avg_revenue
           FROM ry GROUP BY year)
         SELECT to_json(list(year ORDER BY year))::VARCHAR AS keys,
                to_json(list(avg_revenue ORDER BY year))::VARCHAR AS "values" FROM rt""",
     "csv_roundtrip": _BASE + "SELECT p_name AS keyword, count(*) AS count FROM kw GROUP BY p_name",
+    "csv_blocks_roundtrip": _films_text("""r.o_orderpriority || chr(10) || 'said "' || r.o_orderstatus || '",' || chr(10) || f.id"""),
+    "csv_lines_roundtrip": _films_text("r.o_orderpriority"),
+    "json_array_roundtrip": _BASE + "SELECT title, budget, vote_average FROM f WHERE budget <> 0 AND vote_count > 100",
+    "export_jobs_roundtrip": _EXPORTS,
     "json_sink_roundtrip": _BASE + "SELECT title, budget, vote_average FROM f WHERE budget <> 0 AND vote_count > 100",
     "genre_counts_sql": _BASE + "SELECT p_type AS genre, count(*) AS count FROM g GROUP BY p_type",
     "runtime_common_sql": _BASE + """SELECT runtime, count(*) AS count FROM f WHERE runtime <> 0

@@ -9,13 +9,14 @@ thresholds, year ranges), never a way to read less data.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import operators as op
 from .. import sinks
-from ..plans.storage import table_path
+from ..plans.storage import materialize, table_path
 from ..sources import films_from_tables, load_films, read_films_csv, typed_films, write_films_csv
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -27,9 +28,9 @@ SHARE_YEARS = (1996, 2000)
 REVENUE_YEARS = (1900, 2100)  # the range bounds the arrays' length
 
 
-def _builder(fn: Callable[[DataFrame], DataFrame]) -> Builder:
+def _builder(fn: Callable[[DataFrame], DataFrame], years: tuple[int | None, int | None] = (None, None)) -> Builder:
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(load_films(spark, sf_dir))
+        return fn(load_films(spark, sf_dir, *years))
     build.__doc__ = fn.__doc__
     return build
 
@@ -38,10 +39,6 @@ def _span(years: tuple[int, int]) -> int:
     return years[1] - years[0] + 1
 
 
-def _rounded(df: DataFrame, column: str, decimals: int) -> DataFrame:
-    return df.withColumn(column, F.round(column, decimals))
-
-
 ANALYSES: dict[str, Callable[[DataFrame], DataFrame]] = {
     # A0-A8 frequency family
     "genre_counts": op.genre_counts,
@@ -69,9 +66,9 @@ ANALYSES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "popularity_vs_rating_voted": op.popularity_vs_rating_voted,
     "budget_vs_revenue": op.budget_vs_revenue,
     "budget_vs_revenue_any_title": lambda f: op.budget_vs_revenue(f, require_title=False),
-    # A14 company ratings (mean rounded: sums of doubles differ in the last bits by order)
-    "company_rating": lambda f: _rounded(op.company_rating(f), "average", 6),
-    "company_rating_voted": lambda f: _rounded(op.company_rating(f, drop_unrated=False), "average", 6),
+    # A14 company ratings
+    "company_rating": op.company_rating,
+    "company_rating_voted": lambda f: op.company_rating(f, drop_unrated=False),
     # A16-A20 trends
     "genre_share": op.genre_share,
     "genre_share_by_year": lambda f: op.genre_share_by_year(f, *SHARE_YEARS),
@@ -103,12 +100,17 @@ ANALYSES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "revenue_total_arrays": lambda f: sinks.parallel_arrays(
         op.revenue_total_by_year(f, *REVENUE_YEARS), "year", "total_revenue", _span(REVENUE_YEARS)),
     "revenue_mean_arrays": lambda f: sinks.parallel_arrays(
-        op.revenue_mean_by_year(f, *REVENUE_YEARS).withColumn("avg_revenue", F.floor("avg_revenue")),
+        op.revenue_mean_by_year(f, *REVENUE_YEARS).withColumn("avg_revenue", F.round("avg_revenue", 2).cast("decimal(20,2)")),
         "year", "avg_revenue", _span(REVENUE_YEARS)),
     "genre_year_lines": lambda f: sinks.console_lines(
         op.genre_year_counts(f), "genre", "release_year", "count"),
 }
 
+# Analyses of a range of years, whose films the source view need not make for other years.
+YEARS: dict[str, tuple[int, int]] = dict.fromkeys(
+    ("genre_share_by_year", "genre_year_matrix", "genre_year_matrix_cut"), SHARE_YEARS)
+
+
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The film rows written as CSV, read again and counted by keyword."""
     path = table_path(spark, "films-csv")
@@ -116,6 +118,27 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op.entry_counts(typed_films(read_films_csv(spark, path)), "keywords", key="keyword")
 
 
+def _told(films: DataFrame) -> DataFrame:
+    """Film rows with an overview of three lines, quotes and commas."""
+    return films.withColumn("overview", F.concat("overview", F.lit('\nsaid "'), "status", F.lit('",\n'), "id"))
+
+
+def csv_blocks_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Film rows with newlines in a field written as CSV and read again by
+    byte ranges, all 20 columns."""
+    path = table_path(spark, "films-csv")
+    write_films_csv(_told(films_from_tables(spark, sf_dir)), path)
+    return read_films_csv(spark, path, blocks=True)
+
+
+def csv_lines_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The film rows written as CSV and read again line by line, all 20
+    columns."""
+    path = table_path(spark, "films-csv")
+    write_films_csv(films_from_tables(spark, sf_dir), path)
+    return read_films_csv(spark, path, multiline=False)
+
+
 def json_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A point table written as JSON lines and read again."""
     path, points = table_path(spark, "points-json"), op.budget_vs_rating_voted(load_films(spark, sf_dir))
@@ -123,8 +146,41 @@ def json_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(points.schema).json(path)
 
 
+def json_array_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A point table of any size written as one JSON array of points, and
+    its elements read again from the array's lines."""
+    path, points = table_path(spark, "points-array"), op.budget_vs_rating_voted(load_films(spark, sf_dir))
+    sinks.write_json_array(points, path, order=("title", "budget"), points=True)
+    lines = spark.read.text(sinks.current(spark, path)).filter("value not in (']', '[]')")
+    values = F.from_json(F.substring("value", 2, 1 << 30), "array<string>")
+    names = zip(points.columns, points.dtypes)
+    return lines.select(values.alias("v")).select(*[F.col("v")[k].cast(kind).alias(name) for k, (name, (_, kind)) in enumerate(names)])
+
+
+def export_jobs_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All export jobs written and read again: the number of elements of
+    each file."""
+    base = table_path(spark, "exports")
+    films = materialize(load_films(spark, sf_dir), "films")
+    written = sinks.run_jobs(films, base, parallelism=4)
+    counts = []
+    for name, path in sorted(written.items()):
+        # A bounded job's file is one line; the others have an element per line.
+        lines = spark.read.text(sinks.current(spark, path))
+        if sinks.DEFAULT_JOBS[name].bound is not None:
+            n = F.sum(F.json_array_length("value"))
+        else:
+            n = F.count(F.when(~F.col("value").isin("]", "[]"), 1))
+        counts.append(lines.agg(F.lit(name).alias("job"), n.cast("bigint").alias("elements")))
+    return reduce(DataFrame.unionByName, counts)
+
+
 QUERIES: dict[str, Builder] = {
-    **{name: _builder(fn) for name, fn in ANALYSES.items()},
+    **{name: _builder(fn, YEARS.get(name, (None, None))) for name, fn in ANALYSES.items()},
     "csv_roundtrip": csv_roundtrip,
+    "csv_blocks_roundtrip": csv_blocks_roundtrip,
+    "csv_lines_roundtrip": csv_lines_roundtrip,
     "json_sink_roundtrip": json_sink_roundtrip,
+    "json_array_roundtrip": json_array_roundtrip,
+    "export_jobs_roundtrip": export_jobs_roundtrip,
 }

@@ -7,9 +7,10 @@ from .testdata import films_from_tables, read_table
 from .typed import rejected_rows, rejected_values, typed_films
 
 
-def load_films(spark, sf_dir: str):
-    """Typed film view over the tables in ``sf_dir`` (computed, not stored)."""
-    return typed_films(films_from_tables(spark, sf_dir))
+def load_films(spark, sf_dir: str, first: int | None = None, last: int | None = None):
+    """Typed film view over the tables in ``sf_dir`` (computed, not stored),
+    of all films or of those released in the years ``first..last``."""
+    return typed_films(films_from_tables(spark, sf_dir, first, last))
 
 
 def ingest_films(raw, name: str = "films", *, parse_lists: bool = True, partitions: int | None = None,

@@ -17,6 +17,8 @@ statistics for that side fall under ``autoBroadcastJoinThreshold``
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,10 +42,24 @@ def _entries(lines: DataFrame, entry, name: str) -> DataFrame:
         F.to_json(F.array_sort(F.collect_set(entry))).alias(name))
 
 
-def films_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+def films_from_tables(spark: SparkSession, sf_dir: str, first: int | None = None, last: int | None = None) -> DataFrame:
+    """Raw film rows of all orders, or of those of the years ``first..last``.
+
+    With a range the keys of its orders reach ``lineitem`` in a semi-join
+    below the aggregates, so only the range's lines are joined with the
+    dimensions and grouped; the filter of an analysis alone stays above them.
+    """
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_totalprice", "o_orderdate", "o_orderstatus", "o_orderpriority")
     lines = read_table(spark, sf_dir, "lineitem")
+    if first is not None or last is not None:
+        day = F.col("o_orderdate").cast("date")
+        if first is not None:
+            orders = orders.filter(day >= F.lit(datetime.date(first, 1, 1)))
+        if last is not None:
+            orders = orders.filter(day <= F.lit(datetime.date(last, 12, 31)))
+        keys = orders.select("o_orderkey")
+        lines = lines.join(keys, lines.l_orderkey == keys.o_orderkey, "left_semi")
     part = read_table(spark, sf_dir, "part")
     supplier = read_table(spark, sf_dir, "supplier")
     nation = read_table(spark, sf_dir, "nation")
