@@ -1,13 +1,16 @@
 """Line dedup with a log-template tree.
 
 A line goes down a tree of fixed depth: by its number of tokens, then by its
-leading tokens. Tokens with a digit are variable fields from the start. In a
-leaf, a token that recurs at its place in enough documents is a constant of
-the leaf's lines; any other is generalised to a variable field, as long as
-enough constants remain. Templates found in at least ``min_docs`` documents
-are recurring: their lines are dropped, all but the first occurrence. A line
-with fields and fewer than ``MIN_CONSTANTS`` other tokens (a table row) says
-too little without its fields: it recurs only with the same tokens, unmasked.
+leading tokens (a line with fewer has a shorter path, all of its tokens).
+Tokens with a digit are variable fields from the start. In a leaf, a token
+that recurs at its place in enough documents is a constant of the leaf's
+lines; any other is generalised to a variable field, as long as enough
+constants remain. Constants and documents are counted over all lines of the
+leaf, so a rare line of a template whose other lines are common is one of
+many. Templates found in at least ``min_docs`` documents are recurring: their
+lines are dropped, all but the first occurrence. A line with fields and fewer
+than ``MIN_CONSTANTS`` other tokens (a table row) says too little without its
+fields: it recurs only with the same tokens, unmasked.
 
 Statistics per leaf, place and token replace the usual one-by-one matching
 against the templates found so far, so the result depends on no order and a
@@ -21,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .common import keyed, once, same_key, stored, text_digest
 
-DEPTH = 3             # leading tokens that choose the leaf; lines with fewer tokens are no templates
+DEPTH = 3             # leading tokens that choose the leaf
 MIN_DOCS = 5
 MIN_CONSTANTS = 4     # words that a template with fields keeps at least,
 CONSTANT_SHARE = 0.75  # and the share of constants in a generalised one's tokens
@@ -48,10 +51,10 @@ def _masked(tidy: Column) -> Column:
 
 
 def template_lines(docs: DataFrame, depth: int = DEPTH, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, digest, pos, masked, tokens, leaf, shape)`` of every line of at
-    least ``depth`` tokens: ``leaf`` is the 64-bit key of its leaf, ``shape``
-    that of its masked tokens. A line left unmasked for its few words is a
-    leaf of its own, so it is never generalised."""
+    """``(id, digest, pos, masked, tokens, leaf, shape)`` of every line that
+    is not blank: ``leaf`` is the 64-bit key of its leaf, ``shape`` that of
+    its masked tokens. A line left unmasked for its few words is a leaf of its
+    own, and so is one of up to ``depth`` tokens: they are never generalised."""
     text = F.col(text_col).cast("string")
 
     def parsed(line: Column) -> Column:
@@ -64,7 +67,7 @@ def template_lines(docs: DataFrame, depth: int = DEPTH, *, id_col: str = "doc_id
 
     rows = docs.select(F.col(id_col).alias("id"), text_digest(text).alias("digest"),
                        F.posexplode(F.transform(F.split(text, "\n"), parsed)).alias("pos", "line"))
-    return rows.filter((F.col("line.masked") != "") & (F.col("line.tokens") >= depth)).select("id", "digest", "pos", "line.*")
+    return rows.filter(F.col("line.masked") != "").select("id", "digest", "pos", "line.*")
 
 
 def _shared(lines: DataFrame, key: list[str]) -> DataFrame:
@@ -74,13 +77,14 @@ def _shared(lines: DataFrame, key: list[str]) -> DataFrame:
 
 
 def _generalised(docs: DataFrame, shapes: DataFrame, min_docs: int, depth: int, id_col: str, text_col: str) -> DataFrame:
-    """``(leaf, shape, template)`` of the rare shapes that have enough
-    constants in their leaf."""
-    rare = shapes.filter(F.col("n_docs") < min_docs)
-    leaves = rare.groupBy("leaf").agg(F.sum("n_docs").alias("n"), F.count("*").alias("k")).filter(
-        (F.col("n") >= min_docs) & (F.col("k") > 1)).select("leaf")
+    """``(leaf, shape, template, rare)``: the templates of the rare shapes that
+    have enough constants in their leaf, and the common shapes of the leaf
+    that a template fits."""
+    rare = F.col("n_docs") < min_docs
+    leaves = shapes.groupBy("leaf").agg(F.sum("n_docs").alias("n"), F.count("*").alias("k"), F.count_if(rare).alias("r")).filter(
+        (F.col("n") >= min_docs) & (F.col("k") > 1) & (F.col("r") > 0)).select("leaf")
     leaves = stored(leaves, "leaves")
-    wanted = stored(rare.join(leaves, "leaf", "left_semi").select("leaf", "shape", "n_docs"), "shapes")
+    wanted = stored(shapes.join(leaves, "leaf", "left_semi").select("leaf", "shape", "n_docs"), "shapes")
     small = leaves.count() <= BROADCAST_LEAVES
     lines = template_lines(docs, depth, id_col=id_col, text_col=text_col).select("leaf", "shape", "masked")
     # Only lines of these leaves go on; the filter is a broadcast while small.
@@ -94,11 +98,20 @@ def _generalised(docs: DataFrame, shapes: DataFrame, min_docs: int, depth: int,
     constant = F.coalesce("constant", F.lit(False))
     # One line's tokens at a time; a variable field is a place without token.
     whole = marked.groupBy("leaf", "shape").agg(
-        F.count("*").alias("n"), F.sum(constant.cast("int")).alias("fixed"),
+        F.min("n_docs").alias("n_docs"), F.count("*").alias("n"), F.sum(constant.cast("int")).alias("fixed"),
         F.count_if(constant & (F.col("token") != F.xxhash64(F.lit(FIELD)))).alias("words"),
-        F.xxhash64("leaf", F.sort_array(F.collect_list(F.when(constant, F.struct("at", "token"))))).alias("template"))
+        F.sort_array(F.collect_list(F.struct("at", "token"))).alias("all"),
+        F.sort_array(F.collect_list(F.when(constant, F.col("at")))).alias("places"))
+    fitted = lambda places: F.xxhash64("leaf", F.filter("all", lambda t: F.array_contains(places, t["at"])))
     enough = (F.col("words") >= MIN_CONSTANTS) & (F.col("fixed") >= CONSTANT_SHARE * F.col("n"))
-    return whole.filter(enough).select("leaf", "shape", "template")
+    whole = stored(whole.withColumn("template", F.when(rare & enough, fitted(F.col("places")))), "whole")
+    general = whole.filter("template is not null").select("leaf", "shape", "template", F.lit(True).alias("rare"))
+    # A template's places without their fields: few per leaf.
+    forms = whole.filter("template is not null").select("leaf", "places").distinct()
+    common = (whole.filter(~rare).select("leaf", "shape", "all").join(forms, "leaf")
+              .select("leaf", "shape", fitted(F.col("places")).alias("template"))
+              .join(general.select("leaf", "template").distinct(), ["leaf", "template"], "left_semi"))
+    return general.unionByName(common.distinct().select("leaf", "shape", "template", F.lit(False).alias("rare")))
 
 
 def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, depth: int = DEPTH, *, id_col: str = "doc_id",
@@ -111,7 +124,7 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, depth: int = DEPT
     exact = shapes.filter(F.col("n_docs") >= min_docs).select("leaf", "shape", F.col("shape").alias("template"), "n_docs", "first")
     wider = stored(_generalised(docs, shapes, min_docs, depth, id_col, text_col), "templates")
     found = _shared(lines.join(wider, ["leaf", "shape"]), ["leaf", "template"]).filter(F.col("n_docs") >= min_docs)
-    wide = wider.join(found, ["leaf", "template"]).select("leaf", "shape", "template", "n_docs", "first")
+    wide = wider.filter("rare").join(found, ["leaf", "template"]).select("leaf", "shape", "template", "n_docs", "first")
     every = stored(exact.unionByName(wide), "recurring")
     hit = lines.join(every, ["leaf", "shape"])
     return hit.select("id", "digest", "pos", "template", "n_docs",
@@ -125,8 +138,7 @@ def drop_recurring(docs: DataFrame, min_docs: int = MIN_DOCS, depth: int = DEPTH
     place), and with ``n_lines`` and ``n_dropped`` (replacing columns of
     these names).
 
-    Every line of every whole text takes part; blank lines and lines of
-    fewer than ``depth`` tokens stay. A null text stays null (0 lines), a
+    Every line of every whole text takes part; blank lines stay. A null text stays null (0 lines), a
     text that loses all its lines becomes empty, its row stays. Rows equal
     in id and text count as one document and get equal answers; an empty
     table stays empty.
@@ -146,31 +158,37 @@ def drop_recurring(docs: DataFrame, min_docs: int = MIN_DOCS, depth: int = DEPTH
                        F.coalesce(F.size("gone"), F.lit(0)).cast("bigint").alias("n_dropped"))
 
 
-# The same rules in SQL, for texts without repeated ids; but it counts fields
-# as constants and masks lines of fewer than MIN_CONSTANTS other tokens too,
-# which are dropped more readily than above.
+# The same rules in SQL, for texts without repeated ids.
 ORACLE = f"""
 with d as (select doc_id, text, string_split(text, chr(10)) as ls from documents),
 l as (select doc_id, unnest(range(len(ls))) as pos, unnest(ls) as line from d),
-t as (select doc_id, pos, list_transform(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+'),
-             lambda w: case when regexp_matches(w, '[0-9]') then '{FIELD}' else w end) as w from l),
-k as (select *, array_to_string(w, ' ') as shape, len(w) || ' ' || array_to_string(w[1:{DEPTH}], ' ') as leaf
-      from t where len(w) >= {DEPTH}),
+t as (select doc_id, pos, regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+') as raw from l),
+u as (select doc_id, pos, raw, list_transform(raw, lambda w: case when regexp_matches(w, '[0-9]') then '{FIELD}' else w end) as masked
+      from t where len(raw) > 0),
+v as (select doc_id, pos, case when len(list_filter(masked, lambda w: w <> '{FIELD}')) >= {MIN_CONSTANTS} then masked else raw end as w from u),
+k as (select *, array_to_string(w, ' ') as shape,
+             len(w) || ' ' || case when regexp_matches(array_to_string(w, ' '), '[0-9]') then array_to_string(w, ' ')
+                                   else array_to_string(w[1:{DEPTH}], ' ') end as leaf from v),
 s as (select shape, any_value(leaf) as leaf, any_value(w) as w, count(distinct doc_id) as c from k group by shape),
-rare as (select * from s where c < {MIN_DOCS}),
-wide as (select leaf from rare group by leaf having sum(c) >= {MIN_DOCS} and count(*) > 1),
-p as (select shape, leaf, c, unnest(range(1, len(w) + 1)) as i, unnest(w) as token from rare semi join wide using (leaf)),
+wide as (select leaf from s group by leaf having sum(c) >= {MIN_DOCS} and count(*) > 1 and min(c) < {MIN_DOCS}),
+p as (select shape, leaf, c, unnest(range(1, len(w) + 1)) as i, unnest(w) as token from s semi join wide using (leaf)),
 f as (select leaf, i, token from p group by all having sum(c) >= {MIN_DOCS}),
-g as (select p.shape, any_value(p.leaf) as leaf, count(*) as n, count(f.token) as fixed,
-             string_agg(case when f.token is not null then p.i || ':' || p.token end, ' ' order by p.i) as constants
+g as (select p.shape, any_value(p.leaf) as leaf, any_value(p.c) as c, count(*) as n, count(f.token) as fixed,
+             count(case when f.token <> '{FIELD}' then 1 end) as words,
+             list(p.i order by p.i) filter (where f.token is not null) as places
       from p left join f on p.leaf = f.leaf and p.i = f.i and p.token = f.token group by p.shape),
-m as (select shape, 'exact ' || shape as template from s where c >= {MIN_DOCS}
-      union all select shape, 'general ' || leaf || ' ' || constants from g
-      where fixed >= {MIN_CONSTANTS} and fixed >= {CONSTANT_SHARE} * n),
-h as (select doc_id, pos, template, min(struct_pack(doc_id, pos)) over (partition by template) as first from k join m using (shape)),
+rare as (select g.shape, g.leaf, g.places, leaf || ' ' || array_to_string(list_transform(g.places, lambda i: i || ':' || s.w[i]), ' ') as template
+         from g join s using (shape, leaf)
+         where g.c < {MIN_DOCS} and words >= {MIN_CONSTANTS} and fixed >= {CONSTANT_SHARE} * n),
+fits as (select shape, leaf || ' ' || array_to_string(list_transform(places, lambda i: i || ':' || w[i]), ' ') as template
+         from (select distinct leaf, places from rare) join s using (leaf) where c >= {MIN_DOCS}),
+m as (select shape, 'general ' || template as template, true as own from rare
+      union all select distinct shape, 'general ' || template, false from fits semi join rare using (template)
+      union all select shape, 'exact ' || shape, true from s where c >= {MIN_DOCS}),
+h as (select doc_id, pos, template, own, min(struct_pack(doc_id, pos)) over (partition by template) as first from k join m using (shape)),
 r as (select template from h group by template having count(distinct doc_id) >= {MIN_DOCS}),
 gone as (select doc_id, list(pos) as pos, count(*) as n from h semi join r using (template)
-         where struct_pack(doc_id, pos) <> first group by doc_id)
+         where own and struct_pack(doc_id, pos) <> first group by doc_id)
 select d.doc_id, coalesce(len(d.ls), 0)::bigint as n_lines, coalesce(gone.n, 0)::bigint as n_dropped,
        case when gone.n is null then d.text else coalesce(array_to_string(list_transform(
             list_filter(range(len(d.ls)), lambda i: not list_contains(gone.pos, i)), lambda i: d.ls[i + 1]), chr(10)), '') end as text
