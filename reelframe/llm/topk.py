@@ -9,10 +9,12 @@ below the k-th best lower bound seen so far are dropped, and the survivors
 compacted, before the next slab is read. The bound only skips what cannot
 be among the k best, so results are exact.
 
-The queries are a stated set, compared with all rows block by block: query
-blocks are dealt to every stripe of candidate blocks, each task keeps the
-best k per query while it reads its stripe, and the stripes' winners meet
-in a last top-k per query.
+The queries are a stated set, compared with all rows block by block. Query
+blocks whose bytes, as counted, are few are broadcast, and a task keeps the
+best k of every query while it reads its candidate blocks; more of them are
+dealt to every stripe of candidates and sorted there, so a task reads the
+stripe for one query block after the other. Either way the k-th best score
+goes on from block to block, and the winners meet in a last top-k per query.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ from .common import map_arrow, stored
 BLOCK_ROWS = 4096
 QUERY_ROWS = 256
 SLAB = 16          # dimensions accumulated between two rounds of pruning
+BROADCAST_BYTES = 16 << 20  # of query blocks; more are sorted by stripe
 EXACT = 2.0 ** 53  # integers up to here are exact in double precision
 
 
@@ -91,9 +94,10 @@ def _matrix(cells: bytes, dims: int, n: int):
     return np.frombuffer(cells, "<f4" if len(cells) == 4 * dims * n else "<f8").reshape(dims, n).astype(np.float64)
 
 
-def search_block(best: _Best, queries, ids, cells, slab: int = SLAB) -> None:
+def search_block(best: _Best, queries, ids, cells, slab: int = SLAB) -> int:
     """Offer every candidate of a block (``cells``: dims x n) to every query
-    (``queries``: dims x m); a query's own id is no candidate."""
+    (``queries``: dims x m); a query's own id is no candidate. Returns the
+    number of candidates' values that were read."""
     import numpy as np
 
     dims, n = cells.shape
@@ -107,8 +111,8 @@ def search_block(best: _Best, queries, ids, cells, slab: int = SLAB) -> None:
             other = np.flatnonzero(ids != own)
             scores = [sum(a * b for a, b in zip(q, columns[j])) for j in other]
             best.add(i, [max(-2 ** 63, min(2 ** 63 - 1, s)) for s in scores], ids[other].tolist())
-        return
-    norms = (cells * cells).sum(axis=0)
+        return dims * n * len(best.ids)
+    norms, read = (cells * cells).sum(axis=0), 0
     for i, own in enumerate(best.ids.tolist()):
         q = queries[:, i]
         order = np.argsort(-np.abs(q), kind="stable")
@@ -118,6 +122,7 @@ def search_block(best: _Best, queries, ids, cells, slab: int = SLAB) -> None:
         for at in range(0, dims, slab):
             part = order[at:at + slab]
             values = cells[part] if len(alive) == n else cells[np.ix_(part, alive)]
+            read += values.size
             acc = acc + q[part] @ values
             if at + slab >= dims:
                 break
@@ -138,10 +143,12 @@ def search_block(best: _Best, queries, ids, cells, slab: int = SLAB) -> None:
         scores, names = acc[keep].astype(np.int64), ids[alive[keep]]
         first = np.lexsort((names, -scores))[:best.k]  # a tie may be very long
         best.add(i, scores[first].tolist(), names[first].tolist())
+    return read
 
 
 def top_k(queries: DataFrame, vectors: DataFrame, k: int = 10, scale: float = 1024.0, *, id_col: str = "vec_id",
-          vector_col: str = "embedding", block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
+          vector_col: str = "embedding", block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS,
+          broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """``(query_id, rank, id, score)``: for each row of ``queries`` the ``k``
     rows of ``vectors`` with another id that have the largest integer inner
     product of floor(scale * x), ties to the smaller id; fewer if there are
@@ -160,12 +167,19 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int = 10, scale: float = 10
     cand = stored(vertical_blocks(vectors, block_rows, scale, id_col=id_col, vector_col=vector_col), "candidates")
     ask = queries.dropDuplicates([id_col, vector_col])
     asked = stored(vertical_blocks(ask, query_rows, scale, id_col=id_col, vector_col=vector_col), "queries")
+    size = asked.agg(F.sum(F.length("ids") + F.length("cells"))).first()[0] or 0
     # As many stripes as there are tasks for them; a candidate is in one.
     stripes = max(1, min(cand.count(), int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    left = asked.select("dims", F.col("ids").alias("q_ids"), F.col("cells").alias("q_cells"),
-                        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(stripes - 1).cast("bigint"))).alias("stripe"))
+    block = F.monotonically_increasing_id()
+    left = asked.select("dims", block.alias("block"), F.col("ids").alias("q_ids"), F.col("cells").alias("q_cells"))
     right = cand.withColumn("stripe", F.pmod(F.xxhash64("ids"), F.lit(stripes)))
-    pairs = left.join(right, ["dims", "stripe"]).select("dims", "q_ids", "q_cells", "ids", "cells")
+    small = size <= broadcast_bytes
+    if small:
+        pairs = right.repartition(stripes, "stripe").join(F.broadcast(left), "dims")
+    else:
+        every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(stripes - 1).cast("bigint")))
+        pairs = left.withColumn("stripe", every).hint("merge").join(right, ["dims", "stripe"])
+    pairs = pairs.select("dims", "stripe", "block", "q_ids", "q_cells", "ids", "cells")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
@@ -175,19 +189,21 @@ def top_k(queries: DataFrame, vectors: DataFrame, k: int = 10, scale: float = 10
             return pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], pa.int64()) for j in range(3)],
                                               ["query_id", "id", "score"])
 
-        now, best, q = None, None, None
+        open_blocks: dict = {}
         for batch in batches:
             for row in range(batch.num_rows):
-                dims, q_ids, q_cells, ids, cells = (batch.column(j)[row].as_py() for j in range(5))
-                if now != (dims, q_ids, q_cells):
-                    if best is not None:
-                        yield winners(best)
-                    now, best = (dims, q_ids, q_cells), _Best(np.frombuffer(q_ids, "<i8"), k)
-                    q = _matrix(q_cells, dims, len(best.ids))
-                names = np.frombuffer(ids, "<i8")
-                search_block(best, q, names, _matrix(cells, dims, len(names)))
-        if best is not None:
-            yield winners(best)
+                dims, stripe, number, q_ids, q_cells, ids, cells = (batch.column(j)[row] for j in range(7))
+                key = number.as_py() if small else (stripe.as_py(), number.as_py())
+                if key not in open_blocks:
+                    if not small:  # sorted: the last query block has met its stripe
+                        yield from map(winners, (best for best, _ in open_blocks.values()))
+                        open_blocks.clear()
+                    best = _Best(np.frombuffer(q_ids.as_py(), "<i8"), k)
+                    open_blocks[key] = best, _matrix(q_cells.as_py(), dims.as_py(), len(best.ids))
+                best, q = open_blocks[key]
+                names = np.frombuffer(ids.as_py(), "<i8")
+                search_block(best, q, names, _matrix(cells.as_py(), dims.as_py(), len(names)))
+        yield from map(winners, (best for best, _ in open_blocks.values()))
 
     rows = map_arrow(pairs, search, "query_id bigint, id bigint, score bigint")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")

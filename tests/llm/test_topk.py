@@ -49,12 +49,14 @@ def test_odd_vectors(spark):
     assert top_k(df.limit(0), df, 10).count() == 0 and top_k(df, df.limit(0), 10).count() == 0
 
 
-@pytest.mark.parametrize("block_rows, query_rows", [(7, 3), (64, 64)])
-def test_blocks_and_ties(spark, block_rows, query_rows):
+@pytest.mark.parametrize("block_rows, query_rows, broadcast_bytes", [(7, 3, 1 << 20), (64, 64, 1 << 20), (7, 3, 0), (64, 64, 0)])
+def test_blocks_and_ties(spark, block_rows, query_rows, broadcast_bytes):
     rnd = np.random.default_rng(2)
     rows = [(i, rnd.integers(-3, 4, 6).astype(float).tolist()) for i in range(150)] + [(1000 + i, [1.0] * 6) for i in range(60)]
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").repartition(4)
-    got = top_k(df.filter("vec_id % 10 = 0"), df, 5, block_rows=block_rows, query_rows=query_rows).collect()
+    found = top_k(df.filter("vec_id % 10 = 0"), df, 5, block_rows=block_rows, query_rows=query_rows, broadcast_bytes=broadcast_bytes)
+    assert ("BroadcastHashJoin" in found._jdf.queryExecution().executedPlan().toString()) == (broadcast_bytes > 0)
+    got = found.collect()
     assert sorted(map(tuple, got)) == sorted(brute([r for r in rows if r[0] % 10 == 0], rows, 5))
 
 
@@ -68,3 +70,16 @@ def test_pruning_keeps_every_winner():
         scores = (cells[:, i] @ cells).astype(np.int64)
         want = sorted((-int(s), j) for j, s in enumerate(scores) if j != i)[:10]
         assert best.found[i] == [(-s, j) for s, j in want]
+
+
+def test_the_bound_goes_on_from_block_to_block():
+    rnd = np.random.default_rng(5)
+    cells = np.floor(1024 * rnd.normal(size=(64, 4000)) * np.linspace(2, 0.02, 64)[:, None])
+    ids = np.arange(4000, dtype=np.int64)
+    blocks = [slice(a, a + 500) for a in range(0, 4000, 500)]
+    queries = [np.arange(5, dtype=np.int64), np.arange(5, 10, dtype=np.int64)]
+    kept = [_Best(q, 10) for q in queries]
+    read = sum(search_block(b, cells[:, b.ids], ids[at], cells[:, at], slab=4) for at in blocks for b in kept)
+    fresh = [_Best(q, 10) for q in queries for _ in blocks]
+    alone = sum(search_block(b, cells[:, b.ids], ids[at], cells[:, at], slab=4) for b, at in zip(fresh, 2 * blocks))
+    assert read < 0.85 * alone and alone < 0.85 * 10 * cells.size
