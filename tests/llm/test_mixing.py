@@ -90,3 +90,70 @@ def test_mixed_rows_are_the_copies(odd, none):
     assert out.columns == odd.columns
     assert out.count() == sum(r.copies for r in mix(odd).collect())
     assert mix(none).count() == 0 and mixed(none).count() == 0
+
+
+def test_slack_margin_is_the_optimum(spark):
+    """Optimality of the cut problem: the first margin met exactly, the second
+    but for slack * multiplier * target, rates between 0 and the cut."""
+    import random
+
+    rnd = random.Random(5)
+    mass = {(s, b): rnd.choice([0, 5, 40, 900]) * rnd.random() for s in range(40) for b in range(6)}
+    mass = {k: m for k, m in mass.items() if m}
+    size = defaultdict(float)
+    for (s, _), m in mass.items():
+        size[s] += m
+    goal_s = {s: m * rnd.choice([0.2, 0.9, 1.5, 2.9, 3.0]) for s, m in size.items()}
+    scale = sum(goal_s.values()) / sum(size.values())
+    goal_b = defaultdict(float)
+    for (_, b), m in mass.items():
+        goal_b[b] += m * scale
+    cells = spark.createDataFrame([(s, b, m) for (s, b), m in mass.items()], "s int, b int, mass double")
+    frame = lambda goal: spark.createDataFrame(list(goal.items()), "category int, target double")
+    lam = {m: {r.category: r.lam for r in t.collect()}
+           for m, t in balance(cells, {"s": frame(goal_s), "b": frame(goal_b)}, slack=0.1).items()}
+    sums = defaultdict(float)
+    for (s, b), m in mass.items():
+        x = m * min(3.0, math.exp(lam["s"][s] + lam["b"][b]))
+        sums["s", s] += x
+        sums["b", b] += x
+    assert all(math.isclose(sums["s", s], t, rel_tol=1e-9) for s, t in goal_s.items())
+    assert all(math.isclose(sums["b", b] - t, -0.1 * lam["b"][b] * t, abs_tol=1e-5 * t) for b, t in goal_b.items())
+    assert max(map(abs, lam["b"].values())) > 0.01
+
+
+def test_rates_differ_by_length_and_long_documents_are_taken(spark):
+    """Sources of short and of long documents mostly: within a source the
+    rates tilt against the lengths that its weight favours, and where a rate is
+    below a half the longest documents of the blocks are still taken."""
+    rows = [(i, "w " * (20 + i % 50 if i % 10 else 300 + i % 400), "a" if i < 5000 else "b") for i in range(7000)]
+    rows += [(i, "w " * (200 + i % 700 if i % 4 else 20), "c") for i in range(7000, 9000)]
+    out = mix(spark.createDataFrame(rows, "doc_id bigint, text string, source string")).collect()
+    rates, taken, target, longest = defaultdict(set), defaultdict(int), {}, defaultdict(list)
+    for r in out:
+        rates[r.source].add(r.rate)
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+        longest[r.source].append((r["size"], r.copies, r.rate))
+    assert all(len(v) > 1 for s, v in rates.items() if min(v) < 3)
+    assert all(abs(taken[s] - target[s]) < 0.01 * target[s] for s in target)
+    top = sorted(longest["c"], reverse=True)[:400]
+    assert top[0][2] < 0.5
+    assert math.isclose(sum(c for _, c, _ in top), sum(r for _, _, r in top), rel_tol=0.3)
+
+
+def test_many_copies_of_one_row(spark, monkeypatch):
+    from reelframe.llm import mixing
+
+    monkeypatch.setattr(mixing, "CHUNK", 7)
+    rows = [(1, "a b c", "x")] * 100 + [(i, "one two three four", "y") for i in range(2, 40)]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    out = mix(table).collect()
+    assert len(out) == len(rows) and max(r.copies for r in out) <= 3
+    again = defaultdict(int)
+    for r in mixed(table).collect():
+        again[r.doc_id] += 1
+    want = defaultdict(int)
+    for r in out:
+        want[r.doc_id] += r.copies
+    assert again == {i: n for i, n in want.items() if n}
