@@ -42,6 +42,8 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
     parser.add_argument("--stored", help="film table to read, or to make for the next run")
     parser.add_argument("--jobs", nargs="*", choices=sorted(DEFAULT_JOBS), help="subset of jobs")
     parser.add_argument("--parallelism", type=int, default=1, help="jobs submitted at once")
+    parser.add_argument("--run", help="name of this run: started again, it skips the jobs that it has finished")
+    parser.add_argument("--by-date", type=int, help="cluster the film table by release day in about so many files")
     parser.add_argument("--partitions", type=int, default=None, help="spread rows before ingest")
     args = parser.parse_args(argv)
 
@@ -51,10 +53,10 @@ def main(argv: list[str] | None = None) -> dict[str, str]:
     films = _stored(spark, args.stored) if args.stored else None
     if films is None:
         raw = read_films_csv(spark, args.csv, blocks=args.csv_blocks) if args.csv else films_from_tables(spark, args.tables)
-        films = ingest_films(raw, "films", partitions=args.partitions, path=path)
+        films = ingest_films(raw, "films", partitions=args.partitions, path=path, by_date=args.by_date)
     jobs = {k: v for k, v in DEFAULT_JOBS.items() if not args.jobs or k in args.jobs}
     try:
-        written = run_jobs(films, args.out, jobs, parallelism=args.parallelism)
+        written = run_jobs(films, args.out, jobs, parallelism=args.parallelism, run=args.run)
     finally:
         if not args.stored:
             drop_table(spark, path)

@@ -240,6 +240,23 @@ ORACLE: dict[str, str] = {
     "csv_lines_roundtrip": _films_text("r.o_orderpriority"),
     "json_array_roundtrip": _BASE + "SELECT title, budget, vote_average FROM f WHERE budget <> 0 AND vote_count > 100",
     "export_jobs_roundtrip": _EXPORTS,
+    "export_jobs_resumed": f"SELECT job, elements, job IN ('movies_vote', 'budget_revenue') AS second FROM ({_EXPORTS})",
+    "keyword_top_heavy": _BASE + """SELECT p_name AS keyword, count(*) AS count FROM kw
+        GROUP BY p_name ORDER BY count DESC, keyword LIMIT 20""",
+    "company_top_heavy": _BASE + """SELECT s_name AS production_company, count(*) AS count FROM co
+        GROUP BY s_name ORDER BY count DESC, production_company LIMIT 10""",
+    "language_top_heavy": _BASE + _TOP_LANG + "SELECT language, count FROM lt",
+    "clustered_share_by_year": _BASE + _GENRE_YEARS + "SELECT genre, year, ratio FROM gs",
+    "genre_cube": _BASE + """SELECT CAST(grouping(g.p_type, year(f.release_day)) AS INTEGER) AS level,
+        g.p_type AS genre, CAST(year(f.release_day) AS BIGINT) AS year, count(*) AS count
+        FROM g JOIN f ON f.id = g.k
+        GROUP BY GROUPING SETS ((g.p_type, year(f.release_day)), (g.p_type), (year(f.release_day)), ())""",
+    "genre_results_one_pass": _BASE + _GENRE_YEARS + """SELECT 'counts' AS result, p_type AS genre,
+          CAST(NULL AS BIGINT) AS year, CAST(count(*) AS DOUBLE) AS value FROM g GROUP BY p_type
+        UNION ALL SELECT 'share', p_type, NULL, CAST(count(*) AS DOUBLE) / CAST((SELECT count(*) FROM g) AS DOUBLE) FROM g GROUP BY p_type
+        UNION ALL SELECT 'entries_by_year', NULL, CAST(year(f.release_day) AS BIGINT), CAST(count(*) AS DOUBLE)
+          FROM g JOIN f ON f.id = g.k WHERE f.release_day IS NOT NULL GROUP BY 3
+        UNION ALL SELECT 'share_by_year', genre, year, ratio FROM gs""",
     "json_sink_roundtrip": _BASE + "SELECT title, budget, vote_average FROM f WHERE budget <> 0 AND vote_count > 100",
     "genre_counts_sql": _BASE + "SELECT p_type AS genre, count(*) AS count FROM g GROUP BY p_type",
     "runtime_common_sql": _BASE + """SELECT runtime, count(*) AS count FROM f WHERE runtime <> 0

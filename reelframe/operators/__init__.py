@@ -2,8 +2,10 @@
 
 from .containment import (containment_counts, counts_contains, distinct_names, genre_counts_contains,
                           genre_year_counts)
+from .cube import cube_counts, cube_entries_by_year, cube_share, cube_share_by_year, genre_cube
 from .frequency import (budget_ordered, budget_top, company_top, entry_counts, genre_counts,
                         keyword_top, language_top, ranked, runtime_common, top_k, value_counts)
+from .heavy import heavy_names, heavy_top
 from .points import (budget_vs_popularity, budget_vs_rating, budget_vs_rating_voted,
                      budget_vs_revenue, budget_vs_votes, popularity_vs_rating,
                      popularity_vs_rating_voted, release_vs_rating, release_vs_rating_voted)
@@ -25,5 +27,6 @@ __all__ = [
     "popularity_vs_rating", "popularity_vs_rating_voted", "ranked", "release_date_labels",
     "release_vs_rating", "release_vs_rating_voted", "revenue_mean_by_year",
     "revenue_total_by_year", "runtime_common", "runtime_labels", "scaled", "top_k",
-    "top_share", "value_counts",
+    "top_share", "value_counts", "cube_counts", "cube_entries_by_year", "cube_share", "cube_share_by_year",
+    "genre_cube", "heavy_names", "heavy_top",
 ]

@@ -141,6 +141,8 @@ class Job:
         return path
 
 
+MANIFEST = "_finished"
+
 # The exported files' names and forms, as a consumer expects them.
 DEFAULT_JOBS: Mapping[str, Job] = {
     "genres": Job(op.genre_counts, "genres.json"),
@@ -157,8 +159,31 @@ DEFAULT_JOBS: Mapping[str, Job] = {
 }
 
 
+def _finished(spark: SparkSession, base: str):
+    """The manifest folder under ``base``, its file system, its run folders."""
+    here, files = _folder(spark, f"{base.rstrip('/')}/{MANIFEST}")
+    return here, files, [s.getPath() for s in files.listStatus(here)] if files.exists(here) else []
+
+
+def finished_jobs(spark: SparkSession, base: str, run: str) -> set[str]:
+    """Names of the jobs under ``base`` that the run ``run`` has finished."""
+    here, files, runs = _finished(spark, base)
+    return {s.getPath().getName() for r in runs if r.getName() == run for s in files.listStatus(r)}
+
+
+def _mark(spark: SparkSession, base: str, run: str | None, name: str) -> None:
+    """Before a job writes (``run`` None): its result is no run's any more.
+    After it: the result is that of ``run``. A mark is an empty file."""
+    here, files, runs = _finished(spark, base)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    for r in runs:
+        files.delete(path(r, name), False)
+    if run is not None:
+        files.create(path(path(here, run), name), True).close()
+
+
 def run_jobs(films: DataFrame, base: str, jobs: Mapping[str, Job] = DEFAULT_JOBS, *,
-             parallelism: int = 1) -> dict[str, str]:
+             parallelism: int = 1, run: str | None = None) -> dict[str, str]:
     """Run each job on ``films`` and write it under ``base``; returns name -> path.
 
     ``parallelism > 1`` submits that many jobs at once from driver threads;
@@ -167,10 +192,26 @@ def run_jobs(films: DataFrame, base: str, jobs: Mapping[str, Job] = DEFAULT_JOBS
     they also share executors evenly). Callers that run many jobs over one
     expensive input should store it first (``sources.ingest_films``) so each
     job scans a table rather than recomputing the input.
+
+    With ``run``, a name the caller gives to this input and set of results, a
+    manifest under ``base`` has a mark for each job whose result is complete.
+    Started again with the same name after a failure, finished jobs are
+    skipped; another name runs them all and takes the marks over.
     """
+    if run is not None and (not run or "/" in run or run.startswith(".")):
+        raise ValueError(f"not a name for a run: {run!r}")
+    spark = films.sparkSession
+    done = finished_jobs(spark, base, run) if run is not None else set()
+
     def one(item):
         name, job = item
-        return name, job.write(films, base)
+        if name in done:
+            return name, f"{base.rstrip('/')}/{job.file}"
+        _mark(spark, base, None, name)
+        path = job.write(films, base)
+        if run is not None:
+            _mark(spark, base, run, name)
+        return name, path
 
     if parallelism <= 1:
         return dict(one(item) for item in jobs.items())

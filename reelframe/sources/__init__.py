@@ -14,7 +14,7 @@ def load_films(spark, sf_dir: str, first: int | None = None, last: int | None =
 
 
 def ingest_films(raw, name: str = "films", *, parse_lists: bool = True, partitions: int | None = None,
-                 path: str | None = None):
+                 path: str | None = None, by_date: int | None = None):
     """Type the raw film rows once and store them as Parquet in the shared
     checkpoint folder (or at ``path``); return the stored table.
 
@@ -31,6 +31,12 @@ def ingest_films(raw, name: str = "films", *, parse_lists: bool = True, partitio
     made of a few very large files would otherwise type, parse and write in
     a few tasks. (Spark sorts locally before a round-robin repartition, so a
     retried task produces the same rows.)
+
+    ``by_date`` clusters the stored table: the rows are range-partitioned by
+    release day into about that many files, one shuffle at ingest, so a
+    range of years skips the files of other years by their footers. Days are
+    cut further by film id, so a day (or null) that very many films share
+    spans several files.
     """
     from pyspark.sql import functions as F
 
@@ -40,6 +46,8 @@ def ingest_films(raw, name: str = "films", *, parse_lists: bool = True, partitio
     if parse_lists:
         films = films.select("*", *[entry_names(c).alias(c + NAMES_SUFFIX)
                                     for c in JSON_COLUMNS if c in films.columns])
+    if by_date:
+        films = films.repartitionByRange(by_date, F.col("release_day"), F.xxhash64("id"))
     return materialize(films.sortWithinPartitions(F.col("release_day")), name, path=path)
 
 
