@@ -19,7 +19,10 @@ from .common import map_arrow
 
 # The classifier is fitted on a bounded sample of the labelled rows: of each
 # language the SAMPLE_DOCS training rows with the smallest hash (texts of at
-# most SAMPLE_BYTES first), until its dictionary holds DICT_BYTES.
+# most SAMPLE_BYTES first), until its dictionary holds DICT_BYTES; and of the
+# MAX_LANGS languages with the most training rows (a dirty column may have any
+# number of values, and each dictionary goes to every task).
+MAX_LANGS = 256
 SAMPLE_DOCS = 256
 SAMPLE_BYTES = 4096
 DICT_BYTES = 64 << 10
@@ -38,13 +41,18 @@ def letters_only(text: str) -> str:
 
 def fit(train: DataFrame, *, text_col: str = "text", lang_col: str = "lang",
         order_cols: tuple[str, ...] = ("doc_id",), sample_docs: int = SAMPLE_DOCS,
-        dict_bytes: int = DICT_BYTES) -> dict[str, bytes]:
+        dict_bytes: int = DICT_BYTES, max_langs: int = MAX_LANGS) -> dict[str, bytes]:
     """Dictionaries by language, from the rows whose language and text are
-    not null; the language of most such rows comes first. The driver gets at most ``sample_docs`` texts of at most
-    ``dict_bytes`` characters for each language; equal inputs give equal
-    dictionaries, whatever the order of the rows. A language none of whose
-    texts has a letter gets an empty dictionary; no rows give no languages.
+    not null, for the ``max_langs`` languages of most such rows (ties by
+    name), the language of most rows first. Texts are reduced to letters and
+    cut where they lie: the driver gets what the dictionaries hold, at most
+    ``dict_bytes`` for each language and the rest of one text. Equal inputs
+    give equal dictionaries, whatever the order of the rows. A language none
+    of whose texts has a letter gets a dictionary of spaces; no rows give no
+    languages.
     """
+    import pyarrow as pa
+
     rows = train.select(F.col(lang_col).alias("lang"), F.col(text_col).cast("string").alias("text"),
                         F.xxhash64(F.lit(7), *order_cols).alias("h"))
     rows = rows.filter("lang is not null and text is not null").select(
@@ -52,11 +60,22 @@ def fit(train: DataFrame, *, text_col: str = "text", lang_col: str = "lang",
         F.substring("text", 1, dict_bytes).alias("text"))
     rank = Window.partitionBy("lang").orderBy("is_long", "h", "text")
     chosen = rows.withColumn("n", F.row_number().over(rank)).filter(F.col("n") <= sample_docs)
+
+    def letters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            plain = [letters_only(t.as_py()).encode()[:dict_bytes] for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(plain, pa.binary())], ["lang", "n", "plain"])
+
+    common = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).collect()
+    # Languages by name, at most max_langs of them.
+    chosen = chosen.filter(F.col("lang").isin([row["lang"] for row in common])) if common else chosen
+    kind = rows.schema["lang"].dataType.simpleString()
+    plain = map_arrow(chosen.select("lang", "n", "text"), letters, f"lang {kind}, n int, plain binary")
+    before = Window.partitionBy("lang").orderBy("n").rowsBetween(Window.unboundedPreceding, -1)
+    plain = plain.withColumn("before", F.coalesce(F.sum(F.octet_length("plain")).over(before), F.lit(0))).filter(F.col("before") < dict_bytes)
     texts: dict[str, bytes] = defaultdict(bytes)
-    for lang, text in chosen.orderBy("lang", "n").select("lang", "text").collect():
-        if len(texts[lang]) < dict_bytes:
-            texts[lang] += letters_only(text).encode()
-    common = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()
+    for lang, part in plain.orderBy("lang", "n").select("lang", "plain").collect():
+        texts[lang] += bytes(part)
     return {row["lang"]: texts[row["lang"]][:dict_bytes] for row in common}
 
 

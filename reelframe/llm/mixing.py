@@ -221,7 +221,8 @@ def balance(cells: DataFrame, targets: dict[str, DataFrame], max_rate: float = M
     out = {first: lam}
     if second:
         kind = targets[second[0]].schema["category"].dataType.simpleString()
-        out[second[0]] = spark.createDataFrame(list(zip(bands, map(float, mu))), f"category {kind}, lam double")
+        rows = [F.struct(F.lit(c).cast(kind).alias("category"), F.lit(float(m)).alias("lam")) for c, m in zip(bands, mu)]
+        out[second[0]] = spark.range(1).select(F.inline(F.array(*rows)))
     return out
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import zlib
 
-from reelframe.llm.langid import _compressors, classify, fit, held_out, identify, training_rows
+from reelframe.llm.langid import _compressors, classify, fit, held_out, identify, letters_only, training_rows
 
 SF01 = "/root/testdata/sf0.1/documents.parquet"
 
@@ -52,3 +52,47 @@ def test_narrow_margins_reject():
     two = _compressors({"aa": b" alpha beta gamma delta " * 20, "bb": b" eins zwei drei vier funf " * 20})
     assert classify("eins zwei drei vier", two)[0] == "bb" and classify("eins zwei drei vier", two)[1] > 0.1
     assert classify("x", _compressors({"aa": b" alpha "})) == ("aa", 1.0)
+
+
+def test_fit_and_answers_against_a_plain_version(spark, docs):
+    """Dictionaries and predictions made again row by row, with a fresh
+    compressor for each block."""
+    import re
+
+    import zstandard as zstd
+    from pyspark.sql import functions as F
+
+    def letters(text):
+        return " " + re.sub(r"[^a-z]+", " ", text.lower()) .strip() + " " if text.isascii() else letters_only(text)
+
+    train = training_rows(docs).filter("lang is not null and text is not null")
+    rows = sorted((len(r.text.encode()) > 4096, r.h, r.text, r.lang)
+                  for r in train.select("text", "lang", F.xxhash64(F.lit(7), "doc_id").alias("h")).collect())
+    langs = sorted({r[3] for r in rows}, key=lambda x: (-sum(r[3] == x for r in rows), x))
+    want = {x: "".join(letters(r[2][:65536]) for r in [r for r in rows if r[3] == x][:256]).encode()[:65536] for x in langs}
+    models = fit(training_rows(docs))
+    assert models == want and list(models) == langs
+
+    def size(lang, raw):
+        known = zstd.ZstdCompressionDict(models[lang], dict_type=zstd.DICT_TYPE_RAWCONTENT)
+        params = zstd.ZstdCompressionParameters.from_level(6, dict_size=len(models[lang]), source_size=4096, write_content_size=False,
+                                                           write_dict_id=False, write_checksum=False)
+        return sum(len(zstd.ZstdCompressor(compression_params=params, dict_data=known).compress(raw[i:i + 4096]))
+                   for i in range(0, len(raw), 4096))
+
+    for r in identify(docs, models).collect():
+        if not any(map(str.isalpha, r.text or "")):
+            assert (r.lang_pred, r.score, r.lang_rejected) == ("und", 0.0, True)
+            continue
+        sizes = [size(x, letters(r.text).encode()) for x in langs]
+        first, second = sorted(sizes)[:2]
+        assert r.lang_pred == langs[sizes.index(first)] and abs(r.score - (1 - first / second)) < 1e-12
+        assert r.lang_rejected == (1 - first / second < 0.005)
+
+
+def test_a_dirty_language_column_is_bounded(spark):
+    rows = [(i, f"text of number {i} in words", f"x{i % 50:02d}" if i % 3 else "en") for i in range(600)]
+    train = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    models = fit(train, max_langs=8)
+    assert len(models) == 8 and list(models)[0] == "en"
+    assert all(len(v) <= 100 for v in fit(train, dict_bytes=100).values())
