@@ -64,6 +64,54 @@ def test_odd_documents_pass_every_stage(spark, odd, none, scratch):
         for name, stage in corpus_pipeline.STAGES:
             stage(spark, before, SF).write.parquet(f"{scratch}/{label}-{name}")
             before = spark.read.parquet(f"{scratch}/{label}-{name}")
+            assert label == "odd" or before.isEmpty()
+            assert name == "pack" or before.columns == odd.columns
+
+
+def test_what_each_stage_makes_of_odd_rows(spark, docs, odd):
+    """Null, empty and repeated rows and rows without an id."""
+    stages = dict(corpus_pipeline.STAGES)
+    labelled = docs.unionByName(odd.select(*docs.columns))
+    same = lambda rows: sum(r.text == "same text here" and r.doc_id == 6 for r in rows)
+    wordless = lambda rows: [r for r in rows if not (r.text or "").split()]
+    all_rows = labelled.collect()
+
+    rows = stages["language_id"](spark, labelled, SF).collect()
+    assert all(any(map(str.isalpha, r.text or "")) for r in rows)
+    assert not wordless(rows) and same(rows) in (0, 3) and any(r.doc_id is None for r in all_rows)
+    assert {r.text for r in rows if r.doc_id == 5}  # the long text stays
+
+    rows = stages["line_dedup"](spark, labelled, SF).collect()
+    key = lambda r: (r.doc_id is None, r.doc_id or 0)
+    assert sorted(map(key, rows)) == sorted(map(key, all_rows)) and len(wordless(rows)) >= len(wordless(all_rows))
+
+    rows = stages["near_dedup"](spark, labelled, SF).collect()
+    assert len(wordless(rows)) == 1
+    assert sum(r.text == "same text here" for r in rows) == 1
+    assert any(r.text == "other text of the same id" for r in rows) and any(r.text == "two words" for r in rows)
+
+    rows = stages["mix_sources"](spark, labelled, SF).collect()
+    assert len(wordless(rows)) == len(wordless(all_rows)) and same(rows) <= 9
+
+    rows = stages["pack"](spark, labelled, SF).collect()
+    pieces = Counter(r.doc_id for r in rows if r.piece == 0)
+    assert pieces == Counter(r.doc_id for r in all_rows) and all(r.length >= 1 for r in rows)
+
+
+def test_run_leaves_its_last_tables_only(spark):
+    import os
+
+    from reelframe.plans import checkpoint_dir
+
+    tables = os.path.join(checkpoint_dir(spark).replace("file:", ""), "tables")
+    before = set(os.listdir(tables)) if os.path.isdir(tables) else set()
+    out = corpus_pipeline.run(spark, SF)
+    assert out.count() > 0
+    made = set(os.listdir(tables)) - before
+    folder = [m for m in made if m.startswith("pipeline-")]
+    assert len(folder) == 1
+    assert [d for d in os.listdir(os.path.join(tables, folder[0])) if not d.startswith(".")] == ["3-mix_sources"]
+    assert not any(m.startswith(("fingerprints-", "sizes-", "copies-")) for m in made)
 
 
 def test_queries_match_their_sql(spark):
