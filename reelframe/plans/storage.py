@@ -10,6 +10,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,9 +50,30 @@ def shared_folder(spark: SparkSession) -> str:
     return ensure_checkpoint_dir(spark, found)
 
 
+_MADE: ContextVar[list[str] | None] = ContextVar("tables made", default=None)
+
+
 def table_path(spark: SparkSession, name: str) -> str:
     """A new path for an intermediate table in the shared folder."""
-    return f"{shared_folder(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    if _MADE.get() is not None:
+        _MADE.get().append(path)
+    return path
+
+
+@contextmanager
+def dropped_tables(spark: SparkSession) -> Iterator[None]:
+    """Drops, at its end, the intermediate tables that its thread has made
+    inside: for a result that is written before the end. A failed block
+    drops its tables too. Blocks may be nested."""
+    made: list[str] = []
+    outer = _MADE.set(made)
+    try:
+        yield
+    finally:
+        _MADE.reset(outer)
+        for path in made:
+            drop_table(spark, path)
 
 
 def materialize(df: DataFrame, name: str, *, path: str | None = None) -> DataFrame:

@@ -5,7 +5,7 @@ import os
 from edge_fixture import write_csv
 from reelframe import operators as op
 from reelframe.plans import (SCALE_DEFAULTS, apply_defaults, checkpoint_dir, ensure_checkpoint_dir,
-                             drop_table, materialize)
+                             drop_table, dropped_tables, materialize)
 from reelframe.sources import ingest_csv, read_films_csv, typed_films
 
 
@@ -62,3 +62,20 @@ def test_ingest_spreads_few_large_files(spark, scratch):
     assert len(stored.inputFiles()) == 4
     counts = {r.genre: r["count"] for r in op.genre_counts(stored).collect()}
     assert counts == {"Action": 3, "Drama": 7, "Music": 1, "Musical": 2}
+
+
+def test_tables_of_a_block_are_dropped_at_its_end(spark, scratch):
+    kept = materialize(spark.range(2).toDF("id"), "kept")
+    with dropped_tables(spark):
+        inner = materialize(spark.range(5).toDF("id"), "inner")
+        inner.write.parquet(f"{scratch}/out")
+        files = inner.inputFiles()
+    assert files and not any(os.path.exists(f.replace("file:", "")) for f in files)
+    assert kept.count() == 2 and spark.read.parquet(f"{scratch}/out").count() == 5
+    try:
+        with dropped_tables(spark):
+            files = materialize(spark.range(5).toDF("id"), "inner").inputFiles()
+            raise ValueError
+    except ValueError:
+        pass
+    assert files and not any(os.path.exists(f.replace("file:", "")) for f in files)
