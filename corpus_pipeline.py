@@ -16,6 +16,7 @@ from reelframe.llm.line_templates import drop_recurring
 from reelframe.llm.mixing import mixed
 from reelframe.llm.packing import pack_documents
 from reelframe.llm.simhash import one_per_component
+from reelframe.plans.config import settings
 from reelframe.plans.storage import drop_table, dropped_tables, table_path
 
 
@@ -62,6 +63,10 @@ STAGES = [
     ("pack", pack),
 ]
 
+# Whole texts in one Arrow batch: buffers outside the heap, on both sides,
+# grow with it and are kept for the stages that follow.
+ARROW = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
+
 # Compression, fingerprints and rounding have no SQL form: tests hold the
 # stages against brute force instead.
 ORACLE_SQL = None
@@ -76,7 +81,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, before = documents(spark, sf_dir), None
     for k, (name, stage) in enumerate(STAGES[:-1]):
         path = f"{folder}/{k}-{name}"
-        with dropped_tables(spark):
+        with dropped_tables(spark), settings(spark, ARROW):
             stage(spark, docs, sf_dir).write.parquet(path)
         if before:
             drop_table(spark, before)

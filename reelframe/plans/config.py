@@ -3,6 +3,9 @@ creates a session; callers apply these to the session they own."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 # Settings that matter at scale.
@@ -17,6 +20,19 @@ SCALE_DEFAULTS: dict[str, str] = {
 }
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """These session settings inside a block, those of before after it."""
+    before = {name: spark.conf.get(name, None) for name in values}
+    try:
+        for name, value in values.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def apply_defaults(spark: SparkSession, overrides: dict[str, str] | None = None) -> None:
     """Apply ``SCALE_DEFAULTS`` (and ``overrides``) to the caller's session."""
     for key, value in {**SCALE_DEFAULTS, **(overrides or {})}.items():
