@@ -86,7 +86,8 @@ def test_grand_total_is_a_scalar_subquery(stored):
 
 def test_registered_queries_cover_analyses():
     assert set(QUERIES) - set(ANALYSES) == {"csv_roundtrip", "csv_blocks_roundtrip", "csv_lines_roundtrip", "json_sink_roundtrip",
-                                            "json_array_roundtrip", "export_jobs_roundtrip"}
+                                            "json_array_roundtrip", "export_jobs_roundtrip", "export_jobs_resumed",
+                                            "clustered_share_by_year", "genre_results_one_pass"}
 
 
 def test_year_shares_scan_films_once(stored):
