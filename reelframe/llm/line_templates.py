@@ -114,6 +114,39 @@ def _generalised(docs: DataFrame, shapes: DataFrame, min_docs: int, depth: int,
     return general.unionByName(common.distinct().select("leaf", "shape", "template", F.lit(False).alias("rare")))
 
 
+def _found(lines: DataFrame, shapes: DataFrame, wider: DataFrame) -> DataFrame:
+    """``(leaf, template, n_docs, first)`` of generalised templates: the
+    documents that hold any of a template's shapes, and its first line.
+
+    A common shape has very many lines and fits very many templates, so its
+    lines never meet its templates: documents are folded by the set of common
+    shapes that they hold in a leaf, templates by the set that fits them, and
+    the sets are compared. A rare shape has one template, and its lines are few."""
+    members = wider.groupBy("leaf", "shape").agg(F.max(F.when(F.col("rare"), F.col("template"))).alias("template"))
+    rows = lines.join(members, ["leaf", "shape"]).groupBy("leaf", "shape", "template", "id", "digest").agg(F.min("pos").alias("pos"))
+    rows = stored(rows.select("*", F.struct("id", "digest", "pos").alias("line")), "members")
+    of_rare, of_common = rows.filter("template is not null"), rows.filter("template is null")
+    common = wider.filter(~F.col("rare")).select("leaf", "template", "shape")
+    fits = stored(common.groupBy("leaf", "template").agg(F.sort_array(F.collect_set("shape")).alias("fitting")), "fits")
+    held = stored(of_common.groupBy("leaf", "id", "digest").agg(F.sort_array(F.collect_list("shape")).alias("held")), "held")
+    # Each pair of sets with a shape in common once; a document has one set.
+    sets = held.groupBy("leaf", "held").count().select("*", F.explode("held").alias("shape"))
+    kinds = fits.select("leaf", "fitting").distinct().select("*", F.explode("fitting").alias("shape"))
+    holders = (sets.join(kinds, ["leaf", "shape"]).select("leaf", "fitting", "held", "count").distinct()
+               .groupBy("leaf", "fitting").agg(F.sum("count").alias("holders")))
+    firsts = of_common.groupBy("leaf", "shape").agg(F.min("line").alias("first"))
+    early = kinds.join(firsts, ["leaf", "shape"]).groupBy("leaf", "fitting").agg(F.min("first").alias("early"))
+    fits = fits.join(holders.join(early, ["leaf", "fitting"]), ["leaf", "fitting"])
+    # Documents with the template's rare shapes alone.
+    o = of_rare.groupBy("leaf", "template", "id", "digest").agg(F.min("line").alias("line")).alias("o")
+    h = held.alias("h")
+    of_rare = o.join(h, (F.col("o.leaf") == F.col("h.leaf")) & same_key("o", "h"), "left").select("o.*", "held")
+    alone = ~F.coalesce(F.arrays_overlap("held", "fitting"), F.lit(False))
+    return of_rare.join(fits, ["leaf", "template"], "left").groupBy("leaf", "template").agg(
+        (F.count_if(alone) + F.coalesce(F.max("holders"), F.lit(0))).alias("n_docs"),
+        F.least(F.min("line"), F.min("early")).alias("first"))
+
+
 def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, depth: int = DEPTH, *, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """``(id, digest, pos, template, n_docs, is_first)`` of every line of a
@@ -123,7 +156,7 @@ def recurring_lines(docs: DataFrame, min_docs: int = MIN_DOCS, depth: int = DEPT
     shapes = stored(_shared(lines, ["leaf", "shape"]), "shapes")
     exact = shapes.filter(F.col("n_docs") >= min_docs).select("leaf", "shape", F.col("shape").alias("template"), "n_docs", "first")
     wider = stored(_generalised(docs, shapes, min_docs, depth, id_col, text_col), "templates")
-    found = _shared(lines.join(wider, ["leaf", "shape"]), ["leaf", "template"]).filter(F.col("n_docs") >= min_docs)
+    found = _found(lines, shapes, wider).filter(F.col("n_docs") >= min_docs)
     wide = wider.filter("rare").join(found, ["leaf", "template"]).select("leaf", "shape", "template", "n_docs", "first")
     every = stored(exact.unionByName(wide), "recurring")
     hit = lines.join(every, ["leaf", "shape"])

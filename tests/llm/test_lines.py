@@ -8,6 +8,7 @@ from collections import defaultdict
 import duckdb
 import pytest
 
+from reelframe.llm import line_templates
 from reelframe.llm.line_templates import (CONSTANT_SHARE, DEPTH, FIELD, MIN_CONSTANTS, MIN_DOCS, ORACLE, drop_recurring,
                                           recurring_lines)
 
@@ -124,6 +125,48 @@ def test_rare_lines_of_a_common_template(spark):
     assert all(out[100 + i] == (1, 1, "") for i in range(4)) and out[0][1] == 0
 
 
+def test_lines_of_a_common_shape_never_meet_its_templates(spark, monkeypatch):
+    """A line in very many documents and rare ones with two words of their
+    own, at other places each: as many templates that all fit the line. No join makes
+    lines times templates; documents are counted exactly."""
+    common = [f"{w}word" for w in "abcdefghijklm"]
+    places = [(i, j) for i in range(3, 13) for j in range(i + 1, 13)]
+    rows = [(i, " ".join(common)) for i in range(150)]
+    for k, at in enumerate(places):
+        rows.append((1000 + k, " ".join(w + "xyzuvw"[k % 6] + chr(97 + k // 6) if i in at else w for i, w in enumerate(common))))
+        if k % 3 == 0:  # the document holds the common line as well
+            rows[-1] = (1000 + k, f"{rows[-1][1]}\n{' '.join(common)}")
+    rows += [(None, f"{rows[151][1]}\n{rows[152][1]}")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    want = brute(rows)
+    monkeypatch.setattr(line_templates, "stored", lambda df, name: df)  # one plan
+    hits = recurring_lines(docs)
+    found = hits.collect()
+    made = []
+
+    def walk(node):
+        if node.nodeName().startswith("AdaptiveSparkPlan"):
+            return walk(node.executedPlan())
+        if "QueryStage" in node.nodeName():
+            return walk(node.plan())
+        if "Join" in node.nodeName():
+            made.append(node.metrics().apply("numOutputRows").value())
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+
+    walk(hits._jdf.queryExecution().executedPlan())
+    assert made and max(made) <= len(common) * (len(places) + 1)  # tokens of the distinct lines
+    # A template's documents: those with its own line or the common one.
+    assert {r.n_docs for r in found if r.id is not None and r.id < 1000} == {sum(" ".join(common) in t.split("\n") for _, t in rows)}
+    holding = {i for i, t in rows if " ".join(common) in t.split("\n")}
+    for k in range(2, len(places)):
+        own = {r.n_docs for r in found if r.id == 1000 + k and r.pos == 0}
+        assert own == {len(holding | {1000 + k} | ({None} if k <= 2 else set()))}
+    monkeypatch.undo()
+    got = {(r.doc_id, r.old): (r.n_lines, r.n_dropped, r.text) for r in drop_recurring(docs.withColumn("old", docs.text)).collect()}
+    assert got == want
+
+
 def test_table_rows_agree_in_code_sql_and_brute_force(spark):
     outcome(spark, [(i, f"Table {i} {i}.5 10\nTable 3 9.5 10\nLine {i} of a longer text {i}") for i in range(8)])
     outcome(spark, [(i, t) for i, t in LOGS if t is not None])
