@@ -34,21 +34,27 @@ def ingest_films(raw, name: str = "films", *, parse_lists: bool = True, partitio
 
     ``by_date`` clusters the stored table: the rows are range-partitioned by
     release day into about that many files, one shuffle at ingest, so a
-    range of years skips the files of other years by their footers. Days are
+    range of years skips the files of other years by their footers. They are
+    stored unclustered first, as the ranges' sample is a job of its own that
+    would compute ``raw`` once more; that table is dropped at the end. Days are
     cut further by film id, so a day (or null) that very many films share
     spans several files.
     """
     from pyspark.sql import functions as F
 
     from ..functions.json import entry_names
-    from ..plans.storage import materialize
+    from ..plans.storage import drop_table, materialize, table_path
     films = typed_films(raw.repartition(partitions) if partitions else raw)
-    if parse_lists:
-        films = films.select("*", *[entry_names(c).alias(c + NAMES_SUFFIX)
-                                    for c in JSON_COLUMNS if c in films.columns])
-    if by_date:
-        films = films.repartitionByRange(by_date, F.col("release_day"), F.xxhash64("id"))
-    return materialize(films.sortWithinPartitions(F.col("release_day")), name, path=path)
+    lists = [entry_names(c).alias(c + NAMES_SUFFIX) for c in JSON_COLUMNS if parse_lists and c in films.columns]
+    if not by_date:
+        return materialize(films.select("*", *lists).sortWithinPartitions(F.col("release_day")), name, path=path)
+    spark, folder = films.sparkSession, table_path(films.sparkSession, f"{name}-unclustered")
+    try:
+        films = materialize(films, name, path=folder).repartitionByRange(by_date, F.col("release_day"), F.xxhash64("id"))
+        # The lists are parsed where they are written, so the shuffle has their text alone.
+        return materialize(films.select("*", *lists).sortWithinPartitions(F.col("release_day")), name, path=path)
+    finally:
+        drop_table(spark, folder)
 
 
 __all__ = [
