@@ -32,15 +32,16 @@ QUOTE = '"'
 
 def _odd_quotes(line: Column) -> Column:
     """1 if the line has an odd number of quotes, else 0."""
-    return (F.length(line) - F.length(F.replace(line, F.lit(QUOTE), F.lit("")))) % 2
+    return (F.octet_length(line) - F.octet_length(F.replace(line, F.lit(QUOTE), F.lit("")))) % 2
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
     """``(file, block, n, line)``: the lines of each byte range, ``n`` in
     their order there (a task numbers the lines that it reads)."""
     text = spark.read.option("lineSep", "\n").text(path)
+    line = F.when(F.col("value").contains("\r"), F.regexp_replace("value", "\r$", "")).otherwise(F.col("value"))
     return text.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
-                       F.monotonically_increasing_id().alias("n"), F.regexp_replace("value", "\r$", "").alias("line"))
+                       F.monotonically_increasing_id().alias("n"), line.alias("line"))
 
 
 def _block_starts(lines: DataFrame) -> DataFrame:
