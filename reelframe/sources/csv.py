@@ -40,10 +40,11 @@ def malformed_records(spark: SparkSession, path: str, *, multiline: bool = True,
     return rows.filter(F.col(MALFORMED).isNotNull()).select("id", "title", F.col(MALFORMED).alias("record"))
 
 
-def write_films_csv(raw: DataFrame, path: str) -> None:
-    """Raw film rows as CSV in the form that ``read_films_csv`` reads."""
+def write_films_csv(raw: DataFrame, path: str, *, compression: str = "none") -> None:
+    """Raw film rows as CSV in the form that ``read_films_csv`` reads. A file
+    with ``compression="gzip"`` is read by one task, and not by ``blocks``."""
     (raw.select(*RAW_SCHEMA.names).write.mode("overwrite").option("header", "false").option("quote", '"')
-     .option("escape", '"').option("nullValue", NULL_MARKER).option("emptyValue", "").csv(path))
+     .option("escape", '"').option("nullValue", NULL_MARKER).option("emptyValue", "").option("compression", compression).csv(path))
 
 
 def ingest_csv(spark: SparkSession, csv_path: str, parquet_path: str, *, blocks: bool = False) -> DataFrame:

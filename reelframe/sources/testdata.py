@@ -35,16 +35,21 @@ def _text(c):
     return c.cast("string")
 
 
-def _entries(lines: DataFrame, entry, name: str) -> DataFrame:
+def _entries(lines: DataFrame, **entries) -> DataFrame:
     """Per order the distinct entries as JSON text, in a fixed order, so that
-    a recomputed task yields the same text."""
-    return lines.groupBy(F.col("l_orderkey").alias(f"{name}_key")).agg(
-        F.to_json(F.array_sort(F.collect_set(entry))).alias(name))
+    a recomputed task yields the same text; null entries are left out."""
+    key = F.col("l_orderkey").alias(f"{next(iter(entries))}_key")
+    return lines.groupBy(key).agg(*[F.to_json(F.array_sort(F.collect_set(e))).alias(name) for name, e in entries.items()])
 
 
-def films_from_tables(spark: SparkSession, sf_dir: str, first: int | None = None, last: int | None = None) -> DataFrame:
+def films_from_tables(spark: SparkSession, sf_dir: str, first: int | None = None, last: int | None = None, *,
+                      whole: bool = False) -> DataFrame:
     """Raw film rows of all orders, or of those of the years ``first..last``.
 
+    ``whole`` is for callers that need every column: the lists of one
+    dimension share an aggregate, so ``lineitem`` is joined with each
+    dimension, sorted and shuffled once instead of once per list.
+
     With a range the keys of its orders reach ``lineitem`` in a semi-join
     below the aggregates, so only the range's lines are joined with the
     dimensions and grouped; the filter of an analysis alone stays above them.
@@ -73,18 +78,24 @@ def films_from_tables(spark: SparkSession, sf_dir: str, first: int | None = None
         F.sum("l_quantity").cast("bigint").alias("vote_count"),
         F.floor(F.sum(F.col("l_extendedprice").cast("decimal(12,2)"))).cast("bigint").alias("revenue"),
         F.max("l_quantity").cast("bigint").alias("runtime"))
-    lists = {
-        "genres": _entries(of_part, F.struct(F.length("p_type").alias("id"), F.col("p_type").alias("name")), "genres"),
-        "keywords": _entries(of_part, F.struct(F.col("l_partkey").alias("id"), F.col("p_name").alias("name")), "keywords"),
-        "production_companies": _entries(of_supplier, F.struct(F.col("s_name").alias("name"), F.col("l_suppkey").alias("id")),
-                                         "production_companies"),
-        "spoken_languages": _entries(of_nation, F.struct(_text(F.col("n_nationkey")).alias("iso_639_1"),
-                                                         F.col("n_name").alias("name")), "spoken_languages"),
+    entry = {
+        "genres": F.struct(F.length("p_type").alias("id"), F.col("p_type").alias("name")),
+        "keywords": F.struct(F.col("l_partkey").alias("id"), F.col("p_name").alias("name")),
+        "production_companies": F.struct(F.col("s_name").alias("name"), F.col("l_suppkey").alias("id")),
+        "spoken_languages": F.struct(_text(F.col("n_nationkey")).alias("iso_639_1"), F.col("n_name").alias("name")),
     }
+    if whole:
+        of_supplier = of_supplier.join(nation, of_supplier.s_nationkey == nation.n_nationkey, "left")
+        entry["spoken_languages"] = F.when(F.col("n_nationkey").isNotNull(), entry["spoken_languages"])
+        sources = [(of_part, ["genres", "keywords"]), (of_supplier, ["production_companies", "spoken_languages"])]
+    else:
+        sources = [(of_part, ["genres"]), (of_part, ["keywords"]), (of_supplier, ["production_companies"]),
+                   (of_nation, ["spoken_languages"])]
 
     films = orders.join(measures, orders.o_orderkey == measures.measures_key, "left")
-    for name, entries in lists.items():
-        films = films.join(entries, films.o_orderkey == entries[f"{name}_key"], "left")
+    for source, names in sources:
+        entries = _entries(source, **{name: entry[name] for name in names})
+        films = films.join(entries, films.o_orderkey == entries[f"{names[0]}_key"], "left")
     empty = F.lit("[]")
     zero = F.lit(0)
     out = {

@@ -6,6 +6,7 @@ from __future__ import annotations
 import glob
 import json
 import random
+from pathlib import Path
 
 import pyarrow.parquet as pq
 import pytest
@@ -15,8 +16,9 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from reelframe import operators as op
 from reelframe import sinks
-from reelframe.plans import materialize
-from reelframe.sources import films_from_tables, ingest_films, load_films
+from reelframe.plans import materialize, shared_folder
+from reelframe.sources import films_from_tables, ingest_films, load_films, read_films_csv, write_films_csv
+from reelframe.sources.csv_blocks import record_texts
 
 
 def keyword_films(spark, lists):
@@ -100,3 +102,60 @@ def test_finished_jobs_are_skipped_under_the_same_name_only(spark, scratch):
     assert sinks.finished_jobs(spark, scratch, "r2") == {"b"}
     with pytest.raises(ValueError):
         sinks.run_jobs(films, scratch, jobs, run="../x")
+
+
+def test_whole_films_equal_those_of_one_aggregate_per_list(spark, scratch):
+    """Keys that repeat, are null or have no dimension row; fewer shuffles."""
+    day = "timestamp '1996-01-02 00:00:00'"
+    tables = {
+        "orders": ("o_orderkey bigint, o_totalprice double, o_orderstatus string, o_orderpriority string",
+                   [(1, 15000.0, "F", "1-URGENT"), (2, 25000.0, "O", None), (2, 5.0, "O", "x"), (3, None, None, "y"), (None, 1.0, "P", "z")]),
+        "lineitem": ("l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_quantity double, l_extendedprice double, l_discount double, l_tax double",
+                     [(1, 1, 1, 3.0, 10.5, 0.1, 0.2), (1, 2, 2, 4.0, 20.25, 0.05, 0.1), (1, 1, 1, 3.0, 10.5, 0.1, 0.2),
+                      (2, 9, 3, 1.0, 1.0, 0.0, 0.0), (2, None, None, None, None, None, None), (None, 1, 1, 1.0, 1.0, 0.0, 0.0)]),
+        "part": ("p_partkey bigint, p_type string, p_name string", [(1, "ECONOMY", "a b"), (1, "LARGE", "c d"), (2, None, None), (None, "x", "y")]),
+        "supplier": ("s_suppkey bigint, s_name string, s_nationkey int", [(1, "S1", 7), (1, "S1b", 8), (2, "S2", None), (3, "S3", 99)]),
+        "nation": ("n_nationkey int, n_name string", [(7, "PERU"), (7, "PERU2"), (8, None), (None, "NONE")]),
+    }
+    for name, (schema, rows) in tables.items():
+        df = spark.createDataFrame(rows, schema)
+        (df.selectExpr("*", f"{day} as o_orderdate") if name == "orders" else df).write.parquet(f"{scratch}/{name}.parquet")
+    one, each = films_from_tables(spark, scratch, whole=True), films_from_tables(spark, scratch)
+    text = lambda df: sorted(map(repr, df.collect()))
+    assert one.columns == each.columns and len(text(one)) == 5 and text(one) == text(each)
+    scans = lambda df: df._jdf.queryExecution().sparkPlan().toString().count("lineitem.parquet")
+    assert scans(one) < scans(each)
+
+
+def test_compressed_csv_is_read_as_written(spark, scratch):
+    raw = films_from_tables(spark, SF_SMALL).drop("release_day")
+    write_films_csv(raw, f"{scratch}/plain")
+    write_films_csv(raw, f"{scratch}/gzip", compression="gzip")
+    plain, packed = (read_films_csv(spark, f"{scratch}/{k}", multiline=False) for k in ("plain", "gzip"))
+    assert plain.exceptAll(packed).count() == 0 and packed.count() == raw.count()
+    size = lambda k: sum(f.stat().st_size for f in Path(scratch, k).glob("part-*"))
+    assert size("gzip") * 4 < size("plain")
+
+
+def test_clustering_computes_the_films_once(spark, scratch):
+    """The sample of the ranges is a job of its own: it must not compute the
+    input again, and the table that it reads is dropped."""
+    raw = films_from_tables(spark, SF_SMALL)
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    films = ingest_films(raw.mapInArrow(count, raw.schema), "films-once", path=f"{scratch}/films", by_date=4)
+    assert films.count() == raw.count() == seen.value
+    assert not list(Path(shared_folder(spark).removeprefix("file:"), "tables").glob("films-once-unclustered-*"))
+    plain = ingest_films(raw, path=f"{scratch}/plain")
+    assert films.columns == plain.columns and films.exceptAll(plain).count() == 0
+
+
+def test_blocks_end_lines_as_before(spark, scratch):
+    Path(scratch, "x.csv").write_bytes('a,"é\r\n""b"""\r\nc\r,d\r\n"e\n\n"\n'.encode())
+    texts = sorted(r.record for r in record_texts(spark, f"{scratch}/x.csv").collect())
+    assert texts == sorted(['a,"é\n""b"""', "c\r,d", '"e\n\n"'])
