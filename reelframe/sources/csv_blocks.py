@@ -5,16 +5,18 @@ before a newline tell whether it ends a record. The line reader does split a
 file: here every task reads the lines of its byte ranges, and the quotes
 settle what the newlines mean.
 
-1. The quotes of each block (file, start of the byte range) are counted; a
-   prefix sum of the blocks' parities over a file (one small row per block)
-   tells which blocks begin inside a quoted field.
-2. A running parity over the lines of a block tells which lines begin a
-   record; the lines of one record are folded into one text, inside the block.
+1. A running parity of the quotes over the lines of each block (file, start of
+   the byte range) tells, for either state that it may begin in, the first and
+   the last line that begin a record; a prefix sum of the blocks' parities over
+   a file (one small row per block) tells which begin inside a quoted field.
+2. From a block's first such line on, a running parity tells which lines begin
+   a record; the lines of one record are folded into one text, inside the block.
 3. A record that runs over the end of its block is put together from its
-   parts: at most one open end and one open begin per block.
+   parts: at most one open end and one open begin per block. Only their lines
+   are sought for this.
 4. Each record is parsed by ``from_csv``.
 
-The text is scanned twice and shuffled once, by block. Quotes must be balanced
+The text is scanned three times and shuffled once, by block. Quotes must be balanced
 as CSV writers leave them (a field with a quote is quoted, its quotes are
 doubled); a file that has them otherwise needs the multi-line reader. Lines
 end in ``\\n`` or ``\\r\\n``; inside a field both read as ``\\n``. Empty lines
@@ -44,11 +46,20 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
                        F.monotonically_increasing_id().alias("n"), line.alias("line"))
 
 
-def _block_starts(lines: DataFrame) -> DataFrame:
-    """``(file, block, inside)``: whether a block begins in a quoted field."""
-    odd = lines.groupBy("file", "block").agg((F.sum(_odd_quotes(F.col("line"))) % 2).alias("odd"))
+def _block_marks(lines: DataFrame) -> DataFrame:
+    """``(file, block, first, last, open)``: the numbers of the first and the
+    last line of a block that begin a record (null: none does), and whether
+    the block ends in a quoted field."""
+    odd = lines.select("file", "block", "n", _odd_quotes(F.col("line")).alias("odd"))
+    upto = Window.partitionBy("file", "block").orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
+    state = odd.withColumn("state", (F.sum("odd").over(upto) - F.col("odd")) % 2)
+    ends = [f(F.when(F.col("state") == k, F.col("n"))).alias(f"{name}{k}") for k in (0, 1) for name, f in (("first", F.min), ("last", F.max))]
+    blocks = state.groupBy("file", "block").agg(F.sum("odd").alias("odd"), *ends)
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    return odd.select("file", "block", (F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2).alias("inside"))
+    inside = F.coalesce(F.sum("odd").over(before), F.lit(0)) % 2
+    pick = lambda name: F.when(F.col("inside") == 0, F.col(f"{name}0")).otherwise(F.col(f"{name}1")).alias(name)
+    return blocks.withColumn("inside", inside).select("file", "block", pick("first"), pick("last"),
+                                                      ((F.col("inside") + F.col("odd")) % 2 == 1).alias("open"))
 
 
 def _folded(parts: Column) -> Column:
@@ -60,22 +71,24 @@ def record_texts(spark: SparkSession, path: str) -> DataFrame:
     """``(record)``: the text of every record of the CSV files at ``path``,
     newlines inside quoted fields included."""
     lines = _lines(spark, path)
-    in_block = Window.partitionBy("file", "block").orderBy("n")
-    quotes = F.sum(_odd_quotes(F.col("line"))).over(in_block)
-    counted = lines.withColumn("after", quotes).join(_block_starts(lines), ["file", "block"])
-    begins = (F.col("inside") + F.col("after") - _odd_quotes(F.col("line"))) % 2 == 0
-    numbered = counted.withColumn("record", F.sum(begins.cast("int")).over(in_block.rowsBetween(Window.unboundedPreceding, 0)))
-    # record 0 of a block is what its first lines add to a record before them
-    pieces = numbered.groupBy("file", "block", "record").agg(
-        _folded(F.struct("n", F.col("line").alias("text"))).alias("text"), (F.max_by((F.col("inside") + F.col("after")) % 2, "n") == 1).alias("open"))
-    whole = pieces.filter((F.col("record") > 0) & ~F.col("open")).select(F.col("text").alias("record"))
-
-    ends = pieces.filter((F.col("record") == 0) | F.col("open"))
-    along = Window.partitionBy("file").orderBy("block", "record")
-    head = F.last(F.when(F.col("record") > 0, F.col("block")), ignorenulls=True).over(along)
-    joined = (ends.withColumn("head", head).groupBy("file", "head")
-              .agg(_folded(F.struct("block", "text")).alias("record")).select("record"))
-    return whole.unionByName(joined).filter("record <> ''")
+    # The marks are a row per block; lines have the same numbers in every scan of a plan.
+    marked = lines.join(F.broadcast(_block_marks(lines)), ["file", "block"])
+    here = F.coalesce(F.col("n") >= F.col("first"), F.lit(False))
+    tail = F.col("open") & here & (F.col("n") >= F.col("last"))
+
+    in_block = Window.partitionBy("file", "block").orderBy("n").rowsBetween(Window.unboundedPreceding, 0)
+    inner = marked.filter(here & ~tail).select("file", "block", "n", "line")
+    begins = (F.sum(_odd_quotes(F.col("line"))).over(in_block) - _odd_quotes(F.col("line"))) % 2 == 0
+    numbered = inner.withColumn("begins", begins.cast("int")).withColumn("record", F.sum("begins").over(in_block))
+    whole = numbered.groupBy("file", "block", "record").agg(_folded(F.struct("n", F.col("line").alias("text"))).alias("record_text"))
+
+    # What a block's first lines add to a record before them, and its open end.
+    ends = marked.filter(~here | tail).groupBy("file", "block", tail.alias("tail")).agg(
+        _folded(F.struct("n", F.col("line").alias("text"))).alias("text"))
+    along = Window.partitionBy("file").orderBy("block", "tail")
+    head = F.last(F.when(F.col("tail"), F.col("block")), ignorenulls=True).over(along)
+    joined = ends.withColumn("head", head).groupBy("file", "head").agg(_folded(F.struct("block", "text")).alias("record"))
+    return whole.select(F.col("record_text").alias("record")).unionByName(joined.select("record")).filter("record <> ''")
 
 
 def read_csv_blocks(spark: SparkSession, path: str, schema: StructType, options: dict[str, str]) -> DataFrame:

@@ -159,3 +159,32 @@ def test_blocks_end_lines_as_before(spark, scratch):
     Path(scratch, "x.csv").write_bytes('a,"é\r\n""b"""\r\nc\r,d\r\n"e\n\n"\n'.encode())
     texts = sorted(r.record for r in record_texts(spark, f"{scratch}/x.csv").collect())
     assert texts == sorted(['a,"é\n""b"""', "c\r,d", '"e\n\n"'])
+
+
+def test_one_part_of_the_csv_is_on_disk_at_a_time(spark, monkeypatch):
+    """Each part's CSV is gone before the next is written, and all are read:
+    as many rows as films, with the same values."""
+    from reelframe.catalog import queries
+
+    monkeypatch.setattr(queries, "CSV_FILMS", 400)
+    tables, sizes, written = Path(shared_folder(spark).removeprefix("file:"), "tables"), [], []
+
+    def write(raw, path, **options):
+        sizes.append(len(list(tables.glob("films-csv-*/part-*"))))
+        write_films_csv(raw, path, **options)
+        written.append(spark.read.text(path).count())
+
+    before = len(list(tables.glob("films-csv-*/part-*")))
+    monkeypatch.setattr(queries, "write_films_csv", write)
+    got = queries.csv_blocks_roundtrip(spark, SF_SMALL)
+    want = queries._told(films_from_tables(spark, SF_SMALL, whole=True)).drop("release_day")
+    assert len(written) == -(-want.count() // 400) > 1 and min(written) > 0 and set(sizes) == {before}
+    assert len(list(tables.glob("films-csv-*/part-*"))) == before
+    assert got.columns == want.columns and got.count() == want.count()
+    assert got.exceptAll(want).count() == 0
+
+
+def test_the_lines_of_blocks_are_sorted_once_for_their_records(spark, scratch):
+    Path(scratch, "x.csv").write_text('a,"b\nc"\n' * 50)
+    plan = record_texts(spark, scratch)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") == 2
